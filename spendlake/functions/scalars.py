@@ -16,9 +16,14 @@ WHITE_SPACE = (
 )
 
 
+def quoted(name: str) -> str:
+    """A column's exact name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
     """A column by its exact name, which may hold dots or parentheses."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def strip(text: Column) -> Column:
@@ -29,13 +34,15 @@ def title_case(text: Column) -> Column:
     return F.initcap(F.lower(text))
 
 
-def decimal_text(value: Column, places: int) -> Column:
-    return F.round(value.cast(T.DecimalType(38, 10)), places)
+def rounded(value: Column, places: int, strict: bool = True) -> Column:
+    """Round half up in decimal; a number beyond decimal range is an error, or null when not strict."""
+    wide = T.DecimalType(38, 10)
+    return F.round(value.cast(wide) if strict else value.try_cast(wide), places)
 
 
 def round2(value: Column) -> Column:
-    """Round half up to cents, in decimal, so no binary digit decides a tie."""
-    return decimal_text(value, 2).cast(T.DecimalType(30, 2))
+    """Round to cents in decimal, so no binary digit decides a tie."""
+    return rounded(value, 2).cast(T.DecimalType(30, 2))
 
 
 def number(text: Column, kind: T.DataType, strict: bool = True) -> Column:
@@ -63,8 +70,13 @@ def display_name(name: Column, code: Column) -> Column:
     return F.concat(name, F.lit(" ("), code, F.lit(")"))
 
 
+def type_of(name: str, types: Mapping[str, Sequence[str]], default: str = "unknown") -> str:
+    """The type whose list of names holds a constant name."""
+    return next((kind for kind, names in types.items() if name in names), default)
+
+
 def classify(name: Column, types: Mapping[str, Sequence[str]], default: str = "unknown") -> Column:
-    """The type whose list of names holds ``name``."""
+    """The same for a column of names."""
     result = None
     for kind, names in types.items():
         member = name.isin(list(names))
@@ -72,7 +84,24 @@ def classify(name: Column, types: Mapping[str, Sequence[str]], default: str = "u
     return F.lit(default) if result is None else result.otherwise(default)
 
 
-def look_up(key: Column, table: Mapping[str, object]) -> Column:
+def literal(value: str | int) -> str:
+    """A value as SQL text. Long lists go to the engine as one text, not one call per entry."""
+    if isinstance(value, int):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def missing_to_null(name: str, texts: Sequence[str]) -> Column:
+    """A text column with the given spellings of "no value" as null."""
+    return F.expr(f"CASE WHEN NOT {is_in(name, texts)} THEN {quoted(name)} END")
+
+
+def is_in(name: str, values: Sequence[str | int]) -> str:
+    """Membership of a column in a list, as SQL text."""
+    return f"{quoted(name)} IN ({', '.join(literal(value) for value in values)})" if values else "false"
+
+
+def look_up(key: Column, table: Mapping[str | int, str | int]) -> Column:
     """The entry of a short literal table, null where there is none."""
-    pairs = [F.lit(part) for pair in table.items() for part in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(literal(part) for pair in table.items() for part in pair)
+    return F.try_element_at(F.expr(f"map({pairs})"), key)

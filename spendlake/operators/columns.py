@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.functions import scalars as S
+from spendlake.schemas import SOURCE_NUMBER
 
 
 def trim_headers(df: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def tag_entity(df: DataFrame, name: str, kind: str) -> DataFrame:
     return df.withColumns({"entity_type": F.lit(kind), "entity_name": F.lit(name)})
 
 
-def scale(df: DataFrame, column: str, factor: int, kind: T.DecimalType = T.DecimalType(20, 8)) -> DataFrame:
+def scale(df: DataFrame, column: str, factor: int, kind: T.DecimalType = SOURCE_NUMBER) -> DataFrame:
     """Multiply in decimal; ``kind`` must hold every decimal the source gives."""
     return df.withColumn(column, S.named(column).cast(kind) * F.lit(factor))
 
@@ -54,6 +55,11 @@ def to_numeric(df: DataFrame, columns: Iterable[str], kind: T.DataType, strict:
     return df.withColumns({name: S.number(S.named(name).cast("string"), kind, strict) for name in columns})
 
 
+def whole_year(df: DataFrame, column: str = "year") -> DataFrame:
+    """Years read as text become integers."""
+    return df.withColumn(column, S.named(column).cast("int"))
+
+
 def title_case(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, S.title_case(S.named(column)))
 
@@ -82,9 +88,9 @@ def map_reverse(df: DataFrame, column: str, mapping: Mapping[str, str], out: str
 def storage_value(column: Column, kind: T.DataType, strict: bool = False) -> Column:
     """Round half up to the storage type; too large is null, or an error when strict."""
     if isinstance(kind, T.DecimalType):
-        column = S.decimal_text(column, kind.scale)
+        column = S.rounded(column, kind.scale, strict)
     elif isinstance(kind, (T.LongType, T.IntegerType, T.ShortType)):
-        column = S.decimal_text(column, 0)
+        column = S.rounded(column, 0, strict)
     return column.cast(kind) if strict else column.try_cast(kind)
 
 

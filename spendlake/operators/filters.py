@@ -30,12 +30,12 @@ def require(df: DataFrame, column: str) -> DataFrame:
 
 
 def keep_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    return df.where(S.named(column).isin(list(values)))
+    return df.where(S.is_in(column, values))
 
 
 def keep_not_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """The complement of ``keep_in``: a null is in no set, so it stays."""
-    return df.where(~F.coalesce(S.named(column).isin(list(values)), F.lit(False)))
+    return df.where(f"NOT coalesce({S.is_in(column, values)}, false)")
 
 
 def exactly_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,14 +45,13 @@ def exactly_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     of all rows shrinks to one row per map task before the shuffle, and the
     input is neither read twice nor joined to itself.
     """
-    others = [name for name in df.columns if name not in keys]
+    others = [S.quoted(name) for name in df.columns if name not in keys]
     found = df.groupBy(*[S.named(key) for key in keys]).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.first(F.struct(*[S.named(name) for name in others]) if others else F.lit(0)).alias("_row"),
-    )
-    return found.where("_rows = 1").select(
-        *[S.named(name) if name in keys else F.col("_row")[name].alias(name) for name in df.columns]
+        F.expr(f"first(struct({', '.join(others) or '0'}))").alias("_row"),
     )
+    back = [S.quoted(name) if name in keys else f"_row.{S.quoted(name)}" for name in df.columns]
+    return found.where("_rows = 1").selectExpr(*back)
 
 
 def for_node(df: DataFrame, level: str, node_id: int) -> DataFrame:

@@ -52,8 +52,8 @@ def check_length(df: DataFrame, column: str, longest: int) -> DataFrame:
 
 def misfit(column: Column, precision: int, scale: int) -> Column:
     """True where a value does not fit the decimal type after rounding to its scale."""
-    rounded = S.decimal_text(column, scale).try_cast(T.DecimalType(precision, scale))
-    return column.isNotNull() & rounded.isNull()
+    stored = S.rounded(column, scale, strict=False).try_cast(T.DecimalType(precision, scale))
+    return column.isNotNull() & stored.isNull()
 
 
 def check_precision(df: DataFrame, column: str, precision: int, scale: int) -> DataFrame:

@@ -34,10 +34,12 @@ def wide_to_long(
     """
     measure = MEASURES[kind]
     spans = [str(year) for year in range(first, last + 1)]
-    cells = df.select("state_name", *[S.named(year).cast(number).alias(year) for year in spans])
-    # Known names first: what is left has at most one group per state.
-    known = exactly_once(keep_in(cells, "state_name", list(codes)), ["state_name"])
-    rows = known.unpivot("state_name", spans, "year", measure)
+    # Known names first: total rows, which may be out of range, never reach the
+    # conversion, and what is left has at most one group per state.
+    known = keep_in(df.selectExpr("state_name", *map(S.quoted, spans)), "state_name", list(codes))
+    once = exactly_once(known, ["state_name"])
+    typed = [f"CAST({S.quoted(year)} AS {number.simpleString()}) AS {S.quoted(year)}" for year in spans]
+    rows = once.selectExpr("state_name", *typed).unpivot("state_name", spans, "year", measure)
     value = F.col(measure)
     if kind == "Total Payment":
         value = S.round2(value)
@@ -45,7 +47,7 @@ def wide_to_long(
         S.look_up(F.col("state_name"), codes).alias("state_code"),
         F.col("year").cast("int").alias("year"),
         F.lit(entity_name).alias("entity_name"),
-        S.classify(F.lit(entity_name), types).alias("entity_type"),
+        F.lit(S.type_of(entity_name, types)).alias("entity_type"),
         value.alias(measure),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spendlake import fixed_values as V
 from spendlake.operators.columns import (
@@ -14,13 +15,13 @@ from spendlake.operators.columns import (
     to_numeric,
     trim_columns,
     trim_headers,
+    whole_year,
 )
 from spendlake.operators.combine import union_all
 from spendlake.operators.filters import keep_in, keep_not_in
 from spendlake.operators.joins import combine_measures
 from spendlake.operators.reshape import wide_to_long
 from spendlake.schemas import SOURCE_NUMBER
-from pyspark.sql import functions as F
 
 
 def clean(df: DataFrame, columns: Mapping[str, str] = V.COMMODITY_COLUMNS) -> DataFrame:
@@ -58,9 +59,8 @@ def arc_plc_payments(
 
 
 def _dairy_disaster(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    named = clean(df, columns)
-    numeric = to_numeric(named, ["amount", "recipient_count"], SOURCE_NUMBER)
-    return numeric if "year" not in named.columns else numeric.withColumn("year", F.col("year").cast("int"))
+    named = whole_year(clean(df, columns))
+    return to_numeric(named, ["amount", "recipient_count"], SOURCE_NUMBER)
 
 
 def _labelled(

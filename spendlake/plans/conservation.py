@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spendlake import fixed_values as V
 from spendlake.operators.columns import (
@@ -18,6 +17,7 @@ from spendlake.operators.columns import (
     title_case,
     trim_columns,
     trim_headers,
+    whole_year,
 )
 from spendlake.operators.combine import union_missing
 from spendlake.operators.filters import failing, has_value, passing
@@ -32,13 +32,9 @@ def _rules(df: DataFrame, first: int, last: int, names: Mapping[str, str]) -> di
     }
 
 
-def _year(df: DataFrame) -> DataFrame:
-    return df if isinstance(df.schema["year"].dataType, T.IntegerType) else df.withColumn("year", F.col("year").cast("int"))
-
-
 def _practice_rows(df: DataFrame, columns: Mapping[str, str], labels: Mapping[str, str]) -> DataFrame:
     named = trim_columns(rename_synonyms(trim_headers(df), columns), ["practice_code"])
-    return _year(recode(named, "practice_category", labels))
+    return whole_year(recode(named, "practice_category", labels))
 
 
 def practice_payments(
@@ -77,7 +73,7 @@ def _reserve_rows(
     columns: Mapping[str, str],
 ) -> DataFrame:
     stacked = stack_groups(trim_headers(df), ["year", "state"], groups, measures)
-    return _year(title_case(rename_synonyms(scale(stacked, "amount", 1000), columns), "state_name"))
+    return whole_year(title_case(rename_synonyms(scale(stacked, "amount", 1000), columns), "state_name"))
 
 
 def reserve_payments(
@@ -117,7 +113,7 @@ def _easement_rows(
     if recode_before_trim:
         named = recode(named, "state_name", labels)
     named = trim_columns(named, ["state_name"])
-    return _year(named if recode_before_trim else recode(named, "state_name", labels))
+    return whole_year(named if recode_before_trim else recode(named, "state_name", labels))
 
 
 def easement_payments(

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from spendlake import fixed_values as V
-from spendlake.operators.columns import rename_synonyms, tag_entity
+from spendlake.operators.columns import rename_synonyms, tag_entity, whole_year
 from spendlake.operators.filters import years
 
 
@@ -19,4 +19,4 @@ def insurance_benefits(
     entity_name: str = V.CROP_INSURANCE,
     columns: Mapping[str, str] = V.INSURANCE_COLUMNS,
 ) -> DataFrame:
-    return tag_entity(rename_synonyms(years(df, first, last), columns), entity_name, "program")
+    return tag_entity(rename_synonyms(years(whole_year(df), first, last), columns), entity_name, "program")

@@ -72,7 +72,8 @@ def parse_simple(spark: SparkSession, sf: str) -> DataFrame:
     return practices.parse_simple(_lines(table(spark, sf, "part"), line))
 
 
-_NESTED = F.concat("p_name", F.lit(" ("), "p_type", *_in_parens(F.col("p_size").cast("string")), F.lit(")"))
+def _nested_line():
+    return F.concat("p_name", F.lit(" ("), "p_type", *_in_parens(F.col("p_size").cast("string")), F.lit(")"))
 
 
 @QUERIES.add(
@@ -83,18 +84,18 @@ _NESTED = F.concat("p_name", F.lit(" ("), "p_type", *_in_parens(F.col("p_size").
 def paren_depth(spark: SparkSession, sf: str) -> DataFrame:
     turn = F.col("p_size") % 7
     line = (
-        F.when(turn == 0, F.expr("left({0}, length({0}) - 1)".format("nested")))
+        F.when(turn == 0, F.left("nested", F.length("nested") - 1))
         .when(turn == 1, F.concat("p_name", F.lit(")")))
         .otherwise(F.col("nested"))
     )
-    part = table(spark, sf, "part").withColumn("nested", _NESTED)
+    part = table(spark, sf, "part").withColumn("nested", _nested_line())
     return part.select("p_partkey", depth_of(line).alias("depth"))
 
 
 def _mixed_lines(spark: SparkSession, sf: str) -> DataFrame:
     turn = F.col("p_size") % 3
     line = (
-        F.when(turn == 0, _NESTED)
+        F.when(turn == 0, _nested_line())
         .when(turn == 1, F.concat("p_name", *_in_parens(F.col("p_type"))))
         .otherwise(F.col("p_name"))
     )
@@ -244,6 +245,7 @@ def dairy_disaster_payments(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select(
         F.concat(F.lit("NATION_"), (F.col("user_id") % 30).cast("string"), F.lit(" ")).alias(" state"),
         F.to_date("ts").cast("string").alias("day"),
+        F.year("ts").cast("string").alias("year"),
         F.col("event_type").alias("program"),
         F.col("value").cast("string").alias("payments "),
         F.when(count == 0, "").otherwise(count.cast("string")).alias("count"),

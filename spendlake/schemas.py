@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # Source amounts carry more decimals than storage keeps; scale and round later.
-SOURCE_NUMBER = T.DecimalType(20, 8)
+SOURCE_NUMBER = T.DecimalType(28, 8)
 MONEY = T.DecimalType(14, 2)
 ACRES = T.DecimalType(10, 2)
 RATIO = T.DecimalType(38, 10)

@@ -21,19 +21,14 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     """
     raw = spark.read.option("header", True).csv(path)
     if schema is None:
-        return raw.select([_filled(S.named(name)).alias(name) for name in raw.columns])
+        return raw.select([S.missing_to_null(name, MISSING_TEXTS).alias(name) for name in raw.columns])
     headers = {name.strip(): name for name in raw.columns}
-    return raw.select([_typed(S.named(headers[field.name]), field).alias(field.name) for field in schema.fields])
+    return raw.select([_typed(headers[field.name], field).alias(field.name) for field in schema.fields])
 
 
-def _filled(cell: Column) -> Column:
-    return F.when(~cell.isin(MISSING_TEXTS), cell)
-
-
-def _typed(cell: Column, field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.StringType):
-        return _filled(cell)
-    return S.number(_filled(cell), field.dataType)
+def _typed(header: str, field: T.StructField) -> Column:
+    filled = S.missing_to_null(header, MISSING_TEXTS)
+    return filled if isinstance(field.dataType, T.StringType) else S.number(filled, field.dataType)
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
