@@ -85,11 +85,13 @@ def map_reverse(df: DataFrame, column: str, mapping: Mapping[str, str], out: str
     return df.withColumn(out, S.look_up(S.named(column), {name: code for code, name in mapping.items()}))
 
 
-def storage_value(column: Column, kind: T.DataType, strict: bool = False) -> Column:
+def storage_value(column: Column, have: T.DataType, kind: T.DataType, strict: bool = False) -> Column:
     """Round half up to the storage type; too large is null, or an error when strict."""
+    if have == kind:
+        return column
     if isinstance(kind, T.DecimalType):
         column = S.rounded(column, kind.scale, strict)
-    elif isinstance(kind, (T.LongType, T.IntegerType, T.ShortType)):
+    elif isinstance(kind, T.IntegralType) and not isinstance(have, T.IntegralType):
         column = S.rounded(column, 0, strict)
     return column.cast(kind) if strict else column.try_cast(kind)
 
@@ -99,8 +101,8 @@ def to_storage(df: DataFrame, schema: T.StructType, strict: bool = False) -> Dat
     kinds = {field.name: field.dataType for field in schema.fields}
     return df.select(
         [
-            storage_value(S.named(field.name), kinds[field.name], strict).alias(field.name)
-            if field.name in kinds and field.dataType != kinds[field.name]
+            storage_value(S.named(field.name), field.dataType, kinds[field.name], strict).alias(field.name)
+            if field.name in kinds
             else S.named(field.name)
             for field in df.schema.fields
         ]
@@ -117,8 +119,6 @@ def project_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         value = S.named(field.name)
         if isinstance(have[field.name], (T.DoubleType, T.FloatType)):
             value = S.nan_to_null(value)
-        if have[field.name] != field.dataType:
-            value = storage_value(value, field.dataType)
-        return value.alias(field.name)
+        return storage_value(value, have[field.name], field.dataType).alias(field.name)
 
     return df.select([column(field) for field in schema.fields])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,20 +17,22 @@ def rank_report(df: DataFrame, measure: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_first(measure))
 
 
-def order_by_code(df: DataFrame, column: str = "practice_code") -> DataFrame:
-    """Order by code as text."""
-    return df.orderBy(column)
+def order_by_code(df: DataFrame, column: str = "practice_code", ties: Sequence[str] = ()) -> DataFrame:
+    """Order by code as text; ``ties`` order rows of equal code, and let a hot one be split."""
+    return df.orderBy(column, *ties)
 
 
 def with_position(df: DataFrame, *order: str | Column, start: int = 1, out: str = "position") -> DataFrame:
-    """Number the rows in a total order without gathering them in one task.
+    """Number the rows in order without gathering them in one task; equal rows come in any order.
 
     The rows are range-sorted and written to the checkpoint folder, which fixes
     the split; each partition then numbers its own rows and adds the count of
     all earlier ones. Only one row per partition passes through the window.
     """
     shared_dir(df.sparkSession)
-    marked = df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()).checkpoint()
+    # The last sort key tells equal rows apart, so a hot value spreads over partitions.
+    told = df.withColumn("_row", F.monotonically_increasing_id())
+    marked = told.orderBy(*order, "_row").withColumn("_mark", F.monotonically_increasing_id()).drop("_row").checkpoint()
     part = F.shiftright("_mark", _ROW_BITS)
     within = F.col("_mark").bitwiseAND((1 << _ROW_BITS) - 1)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -122,8 +122,9 @@ def accepted(judged: DataFrame, first_id: int = 100) -> DataFrame:
     def column(field: T.StructField):
         if field.name == "id":
             return number.alias("id")
-        value = named(sources.get(field.name, field.name))
-        return storage_value(value, field.dataType, strict=True).alias(field.name)
+        source = sources.get(field.name, field.name)
+        have = judged.schema[source].dataType
+        return storage_value(named(source), have, field.dataType, strict=True).alias(field.name)
 
     return judged.where("reason IS NULL").select([column(field) for field in schemas.PAYMENTS.fields])
 

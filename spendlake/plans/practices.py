@@ -106,9 +106,9 @@ def practice_lists(national: DataFrame, csp: DataFrame, eqip: DataFrame) -> Prac
         )
 
     return PracticeLists(
-        national=order_by_code(national.select("practice_name", "practice_unit", "practice_code")),
-        csp=order_by_code(csp.select("practice_code", "practice_name")),
-        eqip=order_by_code(eqip.select("practice_code", "practice_name")),
+        national=order_by_code(national, ties=["ord"]).select("practice_name", "practice_unit", "practice_code"),
+        csp=order_by_code(csp, ties=["ord"]).select("practice_code", "practice_name"),
+        eqip=order_by_code(eqip, ties=["ord"]).select("practice_code", "practice_name"),
         merged=order_by_code(merged),
         csp_matches=matches(csp),
         eqip_matches=matches(eqip),

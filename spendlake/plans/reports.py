@@ -14,10 +14,17 @@ from pyspark.sql import functions as F
 
 from spendlake.fixed_values import CONTINUOUS_SIGN_UP, TOTAL_CRP
 from spendlake.operators.filters import for_node, years
-from spendlake.operators.joins import small_side, with_name
+from spendlake.operators.joins import Dimensions, small_side, with_name
 from spendlake.operators.ordering import rank_report
 
 
+def register_views(facts: DataFrame, dims: Dimensions) -> None:
+    """Temporary views of the facts (``payments``) and every dimension, for reports written in SQL."""
+    facts.createOrReplaceTempView("payments")
+    for name in Dimensions.__dataclass_fields__:
+        getattr(dims, name).createOrReplaceTempView(name)
+
+
 def total(facts: DataFrame, level: str, node_id: int, first: int, last: int) -> DataFrame:
     """One number: all payments of a node over a span of years."""
     return years(for_node(facts, level, node_id), first, last).agg(F.sum("payment").alias("total_payments"))

@@ -61,15 +61,16 @@ def payments(
     ]
     nation = table(spark, sf_dir, "nation")
     if hierarchy:
+        # One table at a time: the planner knows the size of a table, not of a join.
         supplier = table(spark, sf_dir, "supplier")
-        tree = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-            "s_suppkey",
+        home = nation.select(
+            F.col("n_nationkey").alias("home_key"),
             (F.col("n_regionkey") + 100).alias("title_id"),
             (F.col("n_nationkey") + 100).alias("subtitle_id"),
-            (F.col("s_suppkey") + 100).alias("program_id"),
         )
-        lines = lines.join(tree, F.col("l_suppkey") == F.col("s_suppkey"))
-        columns += [F.col("title_id"), F.col("subtitle_id"), F.col("program_id")]
+        lines = lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines = lines.join(home, F.col("s_nationkey") == F.col("home_key"))
+        columns += [F.col("title_id"), F.col("subtitle_id"), (F.col("s_suppkey") + 100).alias("program_id")]
     if state:
         placed = (
             table(spark, sf_dir, "orders")
@@ -118,14 +119,12 @@ def payments_sql(*extra: str, hierarchy: bool = False, state: bool = False, part
 
 def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the nation of their supplier."""
-    homes = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "s_name", "s_nationkey", "n_name")
-    )
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         table(spark, sf_dir, "lineitem")
-        .join(homes, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumns({"year": F.year("l_shipdate"), "price": money("l_extendedprice")})
     )
 

@@ -45,7 +45,9 @@ def write_sorted_csv(df: DataFrame, keys: Sequence[str], path: str) -> str:
     """Rows in key order with a header; part files in name order hold the whole order.
 
     The sort is a range shuffle, so a long list stays spread over tasks, while
-    adaptive execution merges a short one into a single file.
+    adaptive execution merges a short one into a single file. Rows of equal key
+    are ordered by the other columns, so a hot key is spread too.
     """
-    df.orderBy(*keys).write.mode("overwrite").option("header", True).csv(path)
+    others = [S.named(name) for name in df.columns if name not in keys]
+    df.orderBy(*keys, *others).write.mode("overwrite").option("header", True).csv(path)
     return path

@@ -346,3 +346,18 @@ def test_program_totals(spark, few_facts, rows):
 def test_dimension_tables_open_again(spark, dims, tmp_path, rows):
     store_dimensions(dims, str(tmp_path))
     assert rows(open_dimensions(spark, str(tmp_path)).titles, "id") == [(100,), (101,), (102,), (103,)]
+
+
+def test_reports_in_sql(spark, loaded, dims):
+    reports.register_views(loaded[0], dims)
+    share = spark.sql(
+        """SELECT state_code AS state, subtitles.name AS subtitle_name, sum(payment) AS total_payment_in_dollars,
+                  round(sum(payment) / (SELECT sum(payment) FROM payments
+                                        WHERE subtitle_id = 100 AND year BETWEEN 2014 AND 2015) * 100, 2)
+                  AS total_payment_in_percentage_nationwide
+           FROM payments JOIN subtitles ON payments.subtitle_id = subtitles.id
+           WHERE subtitle_id = 100 GROUP BY state_code, subtitles.name
+           ORDER BY total_payment_in_percentage_nationwide DESC NULLS FIRST"""
+    )
+    built = reports.state_share(loaded[0], dims.subtitles, "subtitle", 100, 2014, 2015, bounded=False)
+    assert share.collect() == built.collect() and len(built.collect()) == 3

@@ -10,11 +10,11 @@ from spendlake.sources.files import read_lines, write_sorted_csv
 
 NATIONAL = [
     "Cover Crop (Ac.) (340)",
+    "",
     "Seeding (Ac.) (384)",
     "Seeding again (Ac.) (384)",
     "Sealing - Clay (soil) (Ft2) (520)",
     "No unit (999)",
-    "",
 ]
 CSP = [
     "Crop Bundle (21 - Crop Bundle (Organic))",
