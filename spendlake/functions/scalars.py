@@ -34,15 +34,18 @@ def title_case(text: Column) -> Column:
     return F.initcap(F.lower(text))
 
 
-def rounded(value: Column, places: int, strict: bool = True) -> Column:
-    """Round half up in decimal; a number beyond decimal range is an error, or null when not strict."""
-    wide = T.DecimalType(38, 10)
-    return F.round(value.cast(wide) if strict else value.try_cast(wide), places)
+def to_decimal(value: Column, precision: int, places: int, strict: bool = True) -> Column:
+    """Round half up; the cast rounds by itself, from the shortest decimal form of a double.
+
+    A number that does not fit is an error, or null when not strict.
+    """
+    kind = T.DecimalType(precision, places)
+    return value.cast(kind) if strict else value.try_cast(kind)
 
 
 def round2(value: Column) -> Column:
     """Round to cents in decimal, so no binary digit decides a tie."""
-    return rounded(value, 2).cast(T.DecimalType(30, 2))
+    return to_decimal(value, 30, 2)
 
 
 def number(text: Column, kind: T.DataType, strict: bool = True) -> Column:
@@ -62,8 +65,7 @@ def nan_to_null(value: Column) -> Column:
 
 def normalise_code(code: Column) -> Column:
     """The first run of three digits in a code, or the whole code where there is none."""
-    digits = F.regexp_extract(code, r"(\d{3})", 1)
-    return F.when(digits != "", digits).otherwise(code)
+    return F.coalesce(F.regexp_substr(code, F.lit(r"\d{3}")), code)
 
 
 def display_name(name: Column, code: Column) -> Column:

@@ -89,10 +89,8 @@ def storage_value(column: Column, have: T.DataType, kind: T.DataType, strict: bo
     """Round half up to the storage type; too large is null, or an error when strict."""
     if have == kind:
         return column
-    if isinstance(kind, T.DecimalType):
-        column = S.rounded(column, kind.scale, strict)
-    elif isinstance(kind, T.IntegralType) and not isinstance(have, T.IntegralType):
-        column = S.rounded(column, 0, strict)
+    if isinstance(kind, T.IntegralType) and not isinstance(have, T.IntegralType):
+        column = S.to_decimal(column, 20, 0, strict)
     return column.cast(kind) if strict else column.try_cast(kind)
 
 

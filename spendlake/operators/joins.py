@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.functions import scalars as S
-from spendlake.operators.combine import first_by_key, union_missing
+from spendlake.operators.combine import first_by_key, union_all, union_missing
 
 # Dimension rows are a few short columns, so this many stay far below 100 MB.
 BROADCAST_ROWS = 200_000
@@ -31,14 +31,17 @@ class Dimensions:
     practices: DataFrame
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, *bounds: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a count shows ``df`` is small.
 
-    Otherwise the join shuffles, and splits hot partitions of the other side at
-    run time. Only for sides whose size the planner cannot know beforehand, such
-    as joins of dimensions; plain tables it measures and broadcasts by itself.
+    ``bounds`` are frames that together have at least as many rows and are
+    cheaper to count. Above the limit the join shuffles, and splits hot
+    partitions of the other side at run time. Only for sides whose size the
+    planner cannot know beforehand, such as joins of dimensions; plain tables it
+    measures and broadcasts by itself.
     """
-    return F.broadcast(df) if df.count() <= limit else df
+    counted = union_all(*[frame.select(F.lit(1).alias("row")) for frame in bounds or (df,)])
+    return F.broadcast(df) if counted.count() <= limit else df
 
 
 def combine_measures(base: DataFrame, *others: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -107,6 +110,13 @@ def entity_dimension(dims: Dimensions) -> DataFrame:
     return stacked.select("entity_type", "entity_name", *ENTITY_IDS)
 
 
+def small_entity_dimension(dims: Dimensions) -> DataFrame:
+    """The same, to be broadcast if small: it has at most one row per row of the four tables."""
+    return small_side(
+        entity_dimension(dims), dims.subtitles, dims.programs, dims.sub_programs, dims.sub_sub_programs
+    )
+
+
 def resolve_subtitle(df: DataFrame, dims: Dimensions) -> DataFrame:
     return df.join(subtitle_entities(dims), "entity_name")
 
@@ -116,16 +126,16 @@ def resolve_program(df: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def resolve_sub_program(df: DataFrame, dims: Dimensions) -> DataFrame:
-    return df.join(small_side(sub_program_entities(dims)), "entity_name")
+    return df.join(small_side(sub_program_entities(dims), dims.sub_programs), "entity_name")
 
 
 def resolve_sub_sub_program(df: DataFrame, dims: Dimensions) -> DataFrame:
-    return df.join(small_side(sub_sub_program_entities(dims)), "entity_name")
+    return df.join(small_side(sub_sub_program_entities(dims), dims.sub_sub_programs), "entity_name")
 
 
 def resolve_entities(df: DataFrame, dims: Dimensions, how: str = "inner") -> DataFrame:
     """Resolve rows of every entity type in one join on (type, name)."""
-    return df.join(small_side(entity_dimension(dims)), ["entity_type", "entity_name"], how)
+    return df.join(small_entity_dimension(dims), ["entity_type", "entity_name"], how)
 
 
 def resolve_category(df: DataFrame, categories: DataFrame) -> DataFrame:

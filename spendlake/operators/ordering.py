@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spendlake.functions.scalars import named
 from spendlake.session import shared_dir
 
 _ROW_BITS = 33
@@ -23,16 +24,17 @@ def order_by_code(df: DataFrame, column: str = "practice_code", ties: Sequence[s
 
 
 def with_position(df: DataFrame, *order: str | Column, start: int = 1, out: str = "position") -> DataFrame:
-    """Number the rows in order without gathering them in one task; equal rows come in any order.
+    """Number the rows in order without gathering them in one task.
 
     The rows are range-sorted and written to the checkpoint folder, which fixes
     the split; each partition then numbers its own rows and adds the count of
     all earlier ones. Only one row per partition passes through the window.
+    All columns break ties: a value held by many rows spreads over partitions,
+    and a task that runs again puts each row where it was.
     """
     shared_dir(df.sparkSession)
-    # The last sort key tells equal rows apart, so a hot value spreads over partitions.
-    told = df.withColumn("_row", F.monotonically_increasing_id())
-    marked = told.orderBy(*order, "_row").withColumn("_mark", F.monotonically_increasing_id()).drop("_row").checkpoint()
+    ties = [named(name) for name in df.columns]
+    marked = df.orderBy(*order, *ties).withColumn("_mark", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("_mark", _ROW_BITS)
     within = F.col("_mark").bitwiseAND((1 << _ROW_BITS) - 1)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

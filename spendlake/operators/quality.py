@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spendlake.functions import scalars as S
 from spendlake.operators.ordering import with_position
@@ -51,9 +51,12 @@ def check_length(df: DataFrame, column: str, longest: int) -> DataFrame:
 
 
 def misfit(column: Column, precision: int, scale: int) -> Column:
-    """True where a value does not fit the decimal type after rounding to its scale."""
-    stored = S.rounded(column, scale, strict=False).try_cast(T.DecimalType(precision, scale))
-    return column.isNotNull() & stored.isNull()
+    """True where a value does not fit the decimal type after rounding to its scale.
+
+    A comparison, since a cast that fails in many rows is slow.
+    """
+    wide = S.to_decimal(column, 38, scale, strict=False)
+    return column.isNotNull() & (wide.isNull() | (F.abs(wide) >= F.lit(Decimal(10) ** (precision - scale))))
 
 
 def check_precision(df: DataFrame, column: str, precision: int, scale: int) -> DataFrame:

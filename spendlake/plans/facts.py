@@ -17,9 +17,8 @@ from spendlake.operators.columns import storage_value
 from spendlake.operators.joins import (
     ENTITY_IDS,
     Dimensions,
-    entity_dimension,
     resolve_category,
-    small_side,
+    small_entity_dimension,
 )
 from spendlake.operators.quality import (
     check_fk,
@@ -83,7 +82,7 @@ def judge_payments(payments: DataFrame, dims: Dimensions, entities: DataFrame |
     ``entities`` is the entity dimension where the caller has it at hand.
     """
     if entities is None:
-        entities = small_side(entity_dimension(dims))
+        entities = small_entity_dimension(dims)
     entities = entities.withColumn("_known", F.lit(True))
     rows = _known_columns(payments).join(entities, ["entity_type", "entity_name"], "left")
     rows = resolve_category(rows, dims.practice_categories)

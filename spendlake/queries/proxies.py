@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spendlake.operators.joins import Dimensions
 from spendlake.session import scratch_path, tune
@@ -22,8 +23,16 @@ NATION_NAMES = {code: name for name, code in NATION_CODES.items()}
 ENTITY_TYPES = {"program": [f"flag {flag}" for flag in FLAGS]}
 
 
+# Schemas by path, so that only the first use of a table reads a footer for it.
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    tune(spark)
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def doubles(df: DataFrame, *columns: str) -> DataFrame:

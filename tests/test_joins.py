@@ -72,8 +72,11 @@ def test_rejects_keep_null_keys(spark, dims, rows):
 
 def test_large_sides_are_not_broadcast(spark, plan):
     big = spark.range(1000)
-    assert "ResolvedHint" in joins.small_side(big, 1000)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in joins.small_side(big, 999)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in joins.small_side(big, limit=1000)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in joins.small_side(big, limit=999)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in joins.small_side(big, spark.range(5), limit=10)._jdf.queryExecution().analyzed().toString()
+    bounds = (spark.range(5), spark.range(6))
+    assert "ResolvedHint" not in joins.small_side(big, *bounds, limit=10)._jdf.queryExecution().analyzed().toString()
 
 
 def test_match_contains_against_brute_force(spark):

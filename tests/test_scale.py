@@ -58,7 +58,7 @@ def test_positions_of_equal_keys_are_all_kept(hot):
 
 
 def test_a_hot_sort_key_is_spread(spark):
-    same = spark.range(80_000).select(F.lit("hot").alias("key"))
+    same = spark.range(80_000).select(F.lit("hot").alias("key"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         placed = with_position(same, "key")
