@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendlake import fixed_values as V
+from spendlake.functions.scalars import is_in
 from spendlake.operators.columns import (
     map_reverse,
     recode_all,
@@ -92,3 +93,18 @@ def disaster_payments(
 ) -> DataFrame:
     """All other rows of the same source, paid at program level."""
     return _labelled(keep_not_in(_dairy_disaster(df, columns), "entity_name", dairy), "program", labels, names)
+
+
+def dairy_disaster_payments(
+    df: DataFrame,
+    *,
+    columns: Mapping[str, str] = V.COMMODITY_COLUMNS,
+    dairy: Sequence[str] = V.DAIRY_LABELS,
+    labels: Mapping[str, str] = V.COMMODITY_LABELS,
+    names: Mapping[str, str] = V.NAME_BY_CODE,
+) -> DataFrame:
+    """Dairy and disaster rows together, out of one scan of their source."""
+    rows = _dairy_disaster(df, columns)
+    at_subtitle = F.expr(is_in("entity_name", dairy))
+    typed = rows.withColumn("entity_type", F.when(at_subtitle, "subtitle").otherwise("program"))
+    return map_reverse(recode_all(typed, labels), "state_name", names, "state_code")

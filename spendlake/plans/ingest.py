@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendlake import fixed_values as V
 from spendlake.operators.combine import union_missing
 from spendlake.operators.joins import Dimensions, entity_dimension
-from spendlake.plans.commodity import arc_plc_payments, dairy_payments, disaster_payments
+from spendlake.plans.commodity import arc_plc_payments, dairy_disaster_payments
 from spendlake.plans.conservation import (
     conservation_union,
     easement_payments,
@@ -64,7 +64,7 @@ def source_payments(
         }
         commodity.append(arc_plc_payments(**tables, first=first, last=last))
     if "dairy_disaster" in read:
-        commodity += [dairy_payments(read["dairy_disaster"]), disaster_payments(read["dairy_disaster"])]
+        commodity.append(dairy_disaster_payments(read["dairy_disaster"]))
     if commodity:
         result["commodity"] = union_missing(*commodity)
 

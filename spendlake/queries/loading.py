@@ -250,8 +250,9 @@ def dairy_disaster_payments(spark: SparkSession, sf: str) -> DataFrame:
         F.col("value").cast("string").alias("payments "),
         F.when(count == 0, "").otherwise(count.cast("string")).alias("count"),
     )
-    options = {"dairy": ["click", "view"], "labels": _EVENT_LABELS, "names": NATION_NAMES}
-    both = union_all(commodity.dairy_payments(rows, **options), commodity.disaster_payments(rows, **options))
+    both = commodity.dairy_disaster_payments(
+        rows, dairy=["click", "view"], labels=_EVENT_LABELS, names=NATION_NAMES
+    )
     sums = both.groupBy("entity_type", "entity_name", "state_code", "day").agg(
         F.sum("amount").alias("amount"), F.count("recipient_count").alias("recipients")
     )

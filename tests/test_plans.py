@@ -100,6 +100,14 @@ def test_dairy_and_disaster_keep_all_years_and_states(sources, rows):
     )
 
 
+def test_dairy_and_disaster_apart_are_the_same_rows(spark, files, rows):
+    raw = read_csv(spark, files["dairy_disaster"])
+    both = commodity.dairy_disaster_payments(raw)
+    apart = commodity.dairy_payments(raw).unionByName(commodity.disaster_payments(raw))
+    assert rows(both, *sorted(both.columns)) == rows(apart, *sorted(both.columns))
+    assert commodity.dairy_payments(raw).count() == 3
+
+
 def test_disaster_text_that_is_no_number_fails(spark):
     df = spark.createDataFrame([("Iowa", "2014", "LFP", "1,000", "1")], ["state", "year", "program", "payments", "count"])
     with pytest.raises(Exception, match="not a number"):
