@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import decontaminate, quality, secrets
+from spendlake.llm import decontaminate, language_id, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, url_filter
 from spendlake.llm.text import table
 from spendlake.queries import Registry
 
@@ -15,6 +15,12 @@ QUERIES = Registry()
 LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+
+def fold(doc_id: Column) -> Column:
+    """The remainder by five of the checksum of the id as text; a null id counts as empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
+
+
 OP1_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -89,7 +95,7 @@ def _per_rule(call: str) -> str:
     """DuckDB wants a constant pattern, so each rule gets a branch of its own."""
     quoted = lambda rule: rule.pattern.replace("'", "''")
     return "CASE k " + " ".join(
-        f"WHEN {n} THEN " + call.format(pattern=f"'{quoted(rule)}'", group=rule.value) for n, rule in enumerate(secrets.RULES)
+        f"WHEN {n} THEN " + call.format(pattern=f"'{quoted(rule)}'", group=rule.value) for n, rule in enumerate(secret_scan.RULES)
     ) + " END"
 
 
@@ -104,15 +110,15 @@ OP9_SQL = OP9_SQL.replace(
 @QUERIES.add("op9_secrets", "LLM9", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document as spans."""
-    kinds = [rule.kind for rule in secrets.RULES]
-    base = len(secrets.BASE_RULES)
+    kinds = [rule.kind for rule in secret_scan.RULES]
+    base = len(secret_scan.BASE_RULES)
     count = lambda n: F.size(F.filter("found", lambda s: s["rule"] == n)).cast("long")
     first = F.filter("found", lambda s: s["rule"] < base)
-    return secrets.scan(table(spark, sf_dir, "documents")).select(
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
         F.col("k_id").alias("doc_id"),
         *[count(n).alias(f"n_{kinds[n]}") for n in range(base)],
-        F.sha2(secrets.span_text(first, kinds), 256).alias("base_sha256"),
-        secrets.span_text(F.col("found"), kinds).alias("spans"),
+        F.sha2(secret_scan.span_text(first, kinds), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("found"), kinds).alias("spans"),
     )
 
 
@@ -165,3 +171,226 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~base_failed & quality.kept_by(QUALITY_POLICY)).alias("kept"),
         "failed_bits",
     )
+
+
+OP2_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {SQL_WORDS.format(LOW.format("coalesce(text, '')"))} AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * m >= 85 * (p.n + q.n - m)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id, d.doc_id = min(r.b) AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+
+@QUERIES.add("op2_near_dedup", "LLM2", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, similarity of 0.85 or more."""
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select(F.col("k_id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@QUERIES.add("op4_language", "LLM4", "")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id")) == 0
+    return language_id.identify(docs, ~held_out).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "language.lang_pred",
+        "language.score",
+        language_id.accepted(F.col("language")).alias("accepted"),
+    )
+
+
+@QUERIES.add("op6_sharding", "LLM6", "")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    return sharding.placed(docs).select(
+        "row.doc_id",
+        "size",
+        "row.text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# Dated list entries and fetch days that every engine derives from the pages in the same way.
+DAY_ZERO = "DATE '2023-01-01'"
+DAYS = 720
+
+
+def drawn(text: Column, most: int) -> Column:
+    """A number below ``most`` that the text decides."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("long") % most
+
+
+def listed_hosts(pages: DataFrame) -> DataFrame:
+    """Two lists over the hosts of the pages: hosts come, go and come back; parent domains come and stay."""
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).filter("host <> ''").distinct()
+    day = lambda n: F.date_add(F.expr(DAY_ZERO), n.cast("int"))
+    first, gap = drawn(F.col("host"), DAYS), drawn(F.concat(F.lit("gap:"), "host"), 200) + 1
+    turns = F.array(
+        F.struct(day(first).alias("day"), F.lit("add").alias("action")),
+        F.struct(day(first + gap).alias("day"), F.lit("remove").alias("action")),
+        F.struct(day(first + 2 * gap).alias("day"), F.lit("add").alias("action")),
+    )
+    ads = hosts.filter(drawn(F.concat(F.lit("ads:"), "host"), 2) == 0).select(F.lit("ads").alias("list"), F.col("host").alias("pattern"), F.inline(turns))
+    parent = F.concat_ws(".", F.slice(F.split("host", r"\."), -2, 2))
+    parents = hosts.filter(F.size(F.split("host", r"\.")) > 1).select(parent.alias("pattern")).distinct()
+    some = parents.filter(drawn(F.concat(F.lit("mal:"), "pattern"), 2) == 0)
+    malware = some.select(F.lit("malware").alias("list"), "pattern", day(drawn(F.col("pattern"), DAYS)).alias("day"), F.lit("add").alias("action"))
+    return ads.unionByName(malware)
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?([^/?#:]*)', 1)), '.') AS host,
+         DATE '2023-01-01' + CAST(CAST('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 7) AS BIGINT) % 720 AS INTEGER) AS day
+  FROM pages
+), h AS (SELECT DISTINCT host, string_split(host, '.') AS l FROM p WHERE host <> ''),
+a AS (
+  SELECT host, CAST('0x' || substr(md5(host), 1, 7) AS BIGINT) % 720 AS f, CAST('0x' || substr(md5('gap:' || host), 1, 7) AS BIGINT) % 200 + 1 AS g
+  FROM h WHERE CAST('0x' || substr(md5('ads:' || host), 1, 7) AS BIGINT) % 2 = 0
+), q AS (SELECT DISTINCT array_to_string(l[-2:], '.') AS pattern FROM h WHERE len(l) > 1),
+e AS (
+  SELECT 'ads' AS list, host AS pattern, f AS n, 'add' AS action FROM a
+  UNION ALL SELECT 'ads', host, f + g, 'remove' FROM a UNION ALL SELECT 'ads', host, f + 2 * g, 'add' FROM a
+  UNION ALL SELECT 'malware', pattern, CAST('0x' || substr(md5(pattern), 1, 7) AS BIGINT) % 720, 'add' FROM q
+  WHERE CAST('0x' || substr(md5('mal:' || pattern), 1, 7) AS BIGINT) % 2 = 0
+), k AS (
+  SELECT p.page_id, p.url, p.day, unnest(list_distinct(list_transform(range(1, greatest(len(string_split(host, '.')), 2)), lambda i: array_to_string(string_split(host, '.')[i:], '.')))) AS pattern
+  FROM p WHERE host <> ''
+), m AS (
+  SELECT k.page_id, k.url, e.list, arg_max(e.action, e.n) AS last
+  FROM k JOIN e ON e.pattern = k.pattern AND DATE '2023-01-01' + CAST(e.n AS INTEGER) <= k.day GROUP BY k.page_id, k.url, e.list, e.pattern
+), b AS (SELECT page_id, url, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM m WHERE last = 'add' GROUP BY page_id, url)
+SELECT p.page_id, p.host, p.day AS fetch_day, coalesce(b.lists, '') AS lists, b.lists IS NOT NULL AS blocked
+FROM p LEFT JOIN b ON p.page_id IS NOT DISTINCT FROM b.page_id AND p.url IS NOT DISTINCT FROM b.url
+"""
+
+
+@QUERIES.add("op7_url_filters", "LLM7", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries that were active on the day it was fetched."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.expr(DAY_ZERO), drawn(F.coalesce(F.col("page_id").cast("string"), F.lit("")), DAYS).cast("int"))
+    found = url_filter.active_lists(pages.withColumn("day", fetched), listed_hosts(pages), "page_id", "url", "day")
+    return found.select(
+        F.col("id").alias("page_id"),
+        url_filter.host_of(F.col("url")).alias("host"),
+        F.col("day").alias("fetch_day"),
+        F.array_join("lists", ",").alias("lists"),
+        (F.size("lists") > 0).alias("blocked"),
+    )
+
+
+# The tree of the mix: a domain is every fourth source, languages and domains are weighted, sources are equal.
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = {
+    "domain": {"web0": 4, "web1": 3, "web2": 2, "web3": 2},
+    "lang": {"en": 6, "de": 2, "fr": 2, "es": 1},
+}
+MIX_DOMAIN = "concat('web', coalesce(try_cast(regexp_extract(source, '([0-9]+)', 1) AS bigint), 0) % 4)"
+
+
+def _mix_sql() -> str:
+    weight = {
+        level: "CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in named.items()) + " ELSE 1 END"
+        for level, named in MIX_WEIGHTS.items()
+    } | {"source": "1"}
+    parts = [
+        f"""
+WITH d AS (
+  SELECT doc_id, coalesce({MIX_DOMAIN}, '') AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         md5(coalesce(text, '')) AS text_hash, CAST(len({SQL_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS tokens
+  FROM documents
+), leaf AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS held, sum(tokens)::BIGINT * 2 AS cap FROM d GROUP BY ALL),
+b0 AS (SELECT least((SELECT sum(held)::BIGINT * 4 // 5 FROM leaf), (SELECT sum(cap)::BIGINT FROM leaf)) AS budget)"""
+    ]
+    for depth, level in enumerate(MIX_LEVELS, 1):
+        path, above = ", ".join(MIX_LEVELS[:depth]), ", ".join(MIX_LEVELS[: depth - 1])
+        by = f"PARTITION BY {above}" if above else ""
+        join = f"JOIN b{depth - 1} USING ({above})" if above else "CROSS JOIN b0"
+        parts.append(
+            f"""
+n{depth} AS (SELECT {path}, cap, {weight[level]} AS w, budget AS pb FROM (SELECT {path}, sum(cap)::BIGINT AS cap FROM leaf GROUP BY ALL) {join}),
+c{depth} AS (
+  SELECT *, sum(w) OVER ({by})::BIGINT AS aw, coalesce(sum(cap) OVER x, 0)::BIGINT AS cb, coalesce(sum(w) OVER x, 0)::BIGINT AS wb
+  FROM n{depth} WINDOW x AS ({by} ORDER BY cap / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), f{depth} AS (SELECT *, cap * (aw - wb) <= (pb - cb) * w AS filled FROM c{depth}),
+s{depth} AS (
+  SELECT *, coalesce(sum(cap) FILTER (filled) OVER ({by}), 0)::BIGINT AS fc, coalesce(sum(w) FILTER (filled) OVER ({by}), 0)::BIGINT AS fw FROM f{depth}
+), b{depth} AS (SELECT {path}, CAST(CASE WHEN filled THEN cap ELSE ((pb - fc) * w) // nullif(aw - fw, 0) END AS BIGINT) AS budget FROM s{depth})"""
+        )
+    return (
+        ",".join(parts)
+        + """,
+plan AS (
+  SELECT domain, lang, source, budget, CASE WHEN held > 0 THEN budget // held ELSE 0 END AS epochs,
+         CASE WHEN held > 0 THEN budget % held ELSE 0 END AS rest
+  FROM leaf JOIN b3 USING (domain, lang, source)
+), o AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source
+                              ORDER BY md5('mix-1:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_hash)) AS upto
+  FROM d JOIN plan USING (domain, lang, source)
+)
+SELECT doc_id, domain, lang, source, tokens, budget, CAST(epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS n_taken FROM o
+"""
+    )
+
+
+@QUERIES.add("op8_mixing", "LLM8", _mix_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken into a mix of four fifths of all tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").withColumn("domain", F.expr(MIX_DOMAIN))
+    found = mixing.selection(docs, MIX_LEVELS, MIX_WEIGHTS)
+    return found.select(F.col("id").alias("doc_id"), *MIX_LEVELS, "tokens", "budget", "n_taken")
+
+
+@QUERIES.add("op5_pii", "LLM5", "")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document as spans, and the fingerprint of its sanitised text."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("k_id").alias("doc_id"),
+        "n_email",
+        "n_ip",
+        "n_card",
+        "n_phone",
+        F.sha2("base", 256).alias("base_sha256"),
+        "spans",
+        "n_term",
+        F.sha2("sanitised", 256).alias("sanitised_sha256"),
+    )
+
+
+@QUERIES.add("op3_lm_scores", "LLM3", "")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm.scores(docs, fold(F.col("doc_id")) != 1)
+    return found.select(
+        F.col("k_id").alias("doc_id"),
+        (fold(F.col("k_id")) == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )

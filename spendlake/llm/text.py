@@ -43,7 +43,7 @@ def gram_hashes(tokens: Column, size: int) -> Column:
         lambda h: F.when(
             F.size(h) >= size,
             F.transform(F.sequence(F.lit(1), F.size(h) - size + 1), lambda i: F.xxhash64(F.slice(h, i, size))),
-        ).otherwise(F.array().cast("array<bigint>")),
+        ).otherwise(F.slice(h, 1, 0)),
     )
 
 
