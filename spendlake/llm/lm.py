@@ -234,13 +234,13 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
     drawn = F.pmod(F.xxhash64(F.lit("lm"), *KEY), F.lit(1_000_000)) < int(share * 1_000_000)
     sample = docs.filter(drawn).select("text").repartition(TRAIN_TASKS)
     sample = stored(sample, "lm-sample")
-    shared_head = spark.sparkContext.broadcast(head)
+    shared_head = spark.sparkContext.broadcast(vars(head))
     weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
     for _ in range(ROUNDS if head.words else 0):
         current = spark.sparkContext.broadcast(weights)
 
         def update(rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            reader = Reader(shared_head.value)
+            reader = Reader(Head(**shared_head.value))
             chunks = read_texts(reader, (row.text for row in rows))
             new, seen = fit(current.value, ((c[3], c[5]) for c in chunks))
             yield new * seen[:, None], seen
@@ -257,11 +257,11 @@ def scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     vocabulary = stored(count_words(learn), "vocabulary")
     head = vocabulary_head(vocabulary)
     weights = spark.sparkContext.broadcast(trained(learn, head))
-    shared_head = spark.sparkContext.broadcast(head)
+    shared_head = spark.sparkContext.broadcast(vars(head))
     columns = ["k_id", "k_text", "n_tokens", "n_known", "base", "own", "rare", "times"]
 
     def scored(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head = shared_head.value
+        head = Head(**shared_head.value)
         reader = Reader(head)
         base = np.log10((head.counts + 0.5) / (head.total + 0.5 * (head.distinct + 1)))
         within = head.within(head.counts, reader.classes)
