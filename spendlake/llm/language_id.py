@@ -3,7 +3,8 @@
 Per language one zstandard dictionary of raw text is built from a bounded sample
 of labelled documents. A text is cut into pieces, each piece is compressed with
 every dictionary, and the language with the fewest bytes over the whole text is
-chosen. The margin to the runner-up, as a share of the runner-up's bytes, is the
+chosen. Short texts and near ties are encoded again with more effort, which then
+decides. The margin to the runner-up, as a share of the runner-up's bytes, is the
 score; a text whose margin is narrow is rejected.
 
 The sample is bounded by ``rows_per_language`` documents, of which at most
@@ -33,7 +34,10 @@ CHARS_PER_ROW = 2_000
 DICTIONARY_BYTES = 1 << 17
 MAX_LANGUAGES = 500
 PIECE_BYTES = 2_048
-LEVEL = 6
+# Effort of the first encoding, and of the one that decides short texts and near ties.
+LEVEL, CLOSE_LEVEL = 3, 12
+CLOSE_MARGIN = 0.04
+SHORT_BYTES = 400
 # A margin below this is no evidence for either language.
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
@@ -66,22 +70,21 @@ def dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     return {lang: content[-DICTIONARY_BYTES:] for lang, content in sorted(raw.items()) if content.strip()}
 
 
-def compressors(raw: dict[str, bytes]) -> dict[str, zstandard.ZstdCompressor]:
+Compressors = dict[str, zstandard.ZstdCompressor]
+
+
+def compressors(raw: dict[str, bytes], level: int) -> Compressors:
     made = {}
     for lang, content in raw.items():
         content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        content.precompute_compress(level=LEVEL)
+        content.precompute_compress(level=level)
         made[lang] = zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
+            level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False
         )
     return made
 
 
-def classify(text: str | None, by_language: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float]:
-    """The language of the smallest encoding of the whole text, and its margin."""
-    content = letters_only(text)
-    if not content or not by_language:
-        return UNKNOWN, 0.0
+def smallest(content: bytes, by_language: Compressors) -> tuple[str, float]:
     pieces = [content[i : i + PIECE_BYTES] for i in range(0, len(content), PIECE_BYTES)]
     sizes = sorted((sum(len(c.compress(piece)) for piece in pieces), lang) for lang, c in by_language.items())
     if len(sizes) == 1:
@@ -89,6 +92,18 @@ def classify(text: str | None, by_language: dict[str, zstandard.ZstdCompressor])
     return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
 
 
+def classify(text: str | None, fast: Compressors, close: Compressors) -> tuple[str, float]:
+    """The language of the smallest encoding of the whole text, and its margin."""
+    content = letters_only(text)
+    if not content or not fast:
+        return UNKNOWN, 0.0
+    if len(content) > SHORT_BYTES:
+        lang, margin = smallest(content, fast)
+        if margin >= CLOSE_MARGIN:
+            return lang, margin
+    return smallest(content, close)
+
+
 def predictor(docs: DataFrame, raw: dict[str, bytes]):
     """A column function: text to struct<lang_pred, score>."""
     shared = docs.sparkSession.sparkContext.broadcast(raw)
@@ -96,8 +111,8 @@ def predictor(docs: DataFrame, raw: dict[str, bytes]):
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         if "made" not in cache:
-            cache["made"] = compressors(shared.value)
-        return pd.DataFrame([classify(text, cache["made"]) for text in texts], columns=["lang_pred", "score"])
+            cache["made"] = [compressors(shared.value, level) for level in (LEVEL, CLOSE_LEVEL)]
+        return pd.DataFrame([classify(text, *cache["made"]) for text in texts], columns=["lang_pred", "score"])
 
     cache: dict = {}
     return predict

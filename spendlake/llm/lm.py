@@ -46,7 +46,7 @@ ENDINGS = 64
 CLASSES = SINGLE + ENDINGS
 ROWS = 1 << 13
 HEAD = 300_000
-SAMPLE = 0.1
+SAMPLE = 0.06
 SAMPLE_TOKENS = 2_000_000
 ROUNDS = 2
 TRAIN_TASKS = 24
@@ -185,8 +185,8 @@ def class_scores(weights: np.ndarray, classes: np.ndarray, rows: list[np.ndarray
 
 
 def fit(weights: np.ndarray, chunks: Iterable[tuple[np.ndarray, list[np.ndarray]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Adagrad over (classes, feature rows): the new weights and how often each row was seen."""
-    weights, squares, seen = weights.copy(), np.full_like(weights, 1e-2), np.zeros(ROWS, dtype=np.float32)
+    """Adagrad, one rate per row, over (classes, feature rows): the new weights and how often each row was seen."""
+    weights, squares, seen = weights.copy(), np.full(ROWS, 1e-2, dtype=np.float32), np.zeros(ROWS, dtype=np.float32)
     for classes, rows in chunks:
         for at in range(0, len(classes), BATCH):
             part = slice(at, at + BATCH)
@@ -200,8 +200,9 @@ def fit(weights: np.ndarray, chunks: Iterable[tuple[np.ndarray, list[np.ndarray]
                 first = np.flatnonzero(np.diff(r[order], prepend=-1))
                 hit = r[order][first]
                 step = np.add.reduceat(p[order], first, axis=0)
-                squares[hit] += step * step
-                weights[hit] -= RATE * step / np.sqrt(squares[hit])
+                squares[hit] += np.einsum("ij,ij->i", step, step)
+                step *= (RATE / np.sqrt(squares[hit]))[:, None]
+                weights[hit] -= step
                 seen[hit] += np.diff(np.append(first, len(r)))
     return weights, seen
 

@@ -147,38 +147,56 @@ def candidates(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def _matches(docs: DataFrame, number: int, rule: Rule) -> DataFrame:
-    """Rows (key, rule, start, end) of the leftmost non-overlapping matches, in code points."""
-    piece = F.transform(F.split("text", rule.pattern, -1), lambda p: F.length(p))
-    whole = F.transform(F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0)), lambda m: F.length(m))
-    value = F.transform(F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.value)), lambda m: F.length(m))
-    seen = docs.select(*KEY, "text").filter(F.col("text").rlike(rule.pattern))
-    rows = seen.select(*KEY, F.posexplode(F.arrays_zip(piece.alias("gap"), whole.alias("size"), value.alias("value"))).alias("n", "m"))
-    # The text is its gaps and matches in turn, so a match ends at the sum of all up to it.
-    upto = F.sum(F.col("m.gap") + F.col("m.size")).over(
-        Window.partitionBy(*KEY).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        rows.filter("m.size IS NOT NULL")
-        .select(*KEY, "m", upto.alias("end"))
-        .filter(F.col("m.value") >= rule.least)
-        .select(*KEY, F.lit(number).alias("rule"), (F.col("end") - F.col("m.size")).cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    )
+def _found(text: Column, number: int, rule: Rule) -> Column:
+    """The matches of one rule in order, as structs: rule, gap before it, its size, its value's size.
+
+    The text is its gaps and matches in turn, so a match ends at the sum of all up to it.
+    """
+    pattern = F.lit(rule.pattern)
+    sizes = lambda group: F.transform(F.regexp_extract_all(text, pattern, F.lit(group)), lambda m: F.length(m))
+    gaps = F.transform(F.split(text, rule.pattern, -1), lambda gap: F.length(gap))
+    both = F.arrays_zip(gaps.alias("gap"), sizes(0).alias("size"), sizes(rule.value).alias("value"))
+    rows = F.transform(both, lambda m: F.struct(F.lit(number).alias("rule"), m["gap"].alias("gap"), m["size"].alias("size"), m["value"].alias("value")))
+    return F.when(text.rlike(rule.pattern), rows)
+
+
+def _searched(docs: DataFrame, rules: Sequence[tuple[int, Rule]], asked: Column | None) -> DataFrame:
+    """Rows (key, n, m): all matches of the rules, of those in ``asked`` if given, numbered within a document."""
+    nothing = F.expr("CAST(array() AS array<struct<rule:int,gap:int,size:int,value:int>>)")
+    text = F.col("text")
+    lists = [
+        F.coalesce(_found(text, n, rule) if asked is None else F.when(F.array_contains(asked, n), _found(text, n, rule)), nothing)
+        for n, rule in rules
+    ]
+    return docs.select(*KEY, F.posexplode(F.concat(nothing, *lists)).alias("n", "m"))
 
 
 def secret_spans(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Rows (key, rule, start, end), rule being the position in ``rules``. ``docs`` is keyed."""
-    asked = [n for n, rule in enumerate(rules) if trigram_query(rule.pattern)]
-    likely = stored(candidates(docs, rules), "secret-candidates")
-    found = []
-    for n, rule in enumerate(rules):
-        if n in asked:
-            wanted = likely.filter(F.col("rule") == n)
-            source = docs.join(wanted, same_key(docs, wanted), "left_semi")
-        else:
-            source = docs
-        found.append(_matches(source, n, rule))
-    return reduce(DataFrame.unionByName, found).distinct()
+    numbered = list(enumerate(rules))
+    indexed = [(n, rule) for n, rule in numbered if trigram_query(rule.pattern)]
+    scanned = [(n, rule) for n, rule in numbered if not trigram_query(rule.pattern)]
+    parts = []
+    if indexed:
+        likely = candidates(docs, rules).groupBy(*KEY).agg(F.collect_set("rule").alias("asked"))
+        likely = stored(likely, "secret-candidates")
+        some = docs.join(likely, same_key(docs, likely)).select(docs["k_id"], docs["k_text"], docs["text"], "asked")
+        parts.append(_searched(some, indexed, F.col("asked")))
+    if scanned:
+        parts.append(_searched(docs, scanned, None))
+    least = F.array(*[F.lit(rule.least) for rule in rules])
+    upto = F.sum(F.col("m.gap") + F.col("m.size")).over(
+        Window.partitionBy(*KEY, "m.rule").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .filter("m.size IS NOT NULL")
+        # Rows that repeat id and text found the same matches.
+        .distinct()
+        .select(*KEY, "m", upto.cast("long").alias("end"))
+        .filter(F.col("m.value") >= F.get(least, F.col("m.rule")))
+        .select(*KEY, F.col("m.rule").alias("rule"), (F.col("end") - F.col("m.size")).alias("start"), "end")
+    )
 
 
 def span_text(rows: Column, kinds: Sequence[str]) -> Column:
