@@ -95,7 +95,7 @@ def draw(id_col: Column, text_hash: Column, epoch: Column, seed: str = SEED) ->
 
 def selection(
     docs: DataFrame,
-    levels: Sequence[str],
+    levels: Mapping[str, str],
     weights: Mapping[str, Mapping[str, int]],
     share: Fraction = SHARE,
     max_epochs: int = MAX_EPOCHS,
@@ -103,47 +103,50 @@ def selection(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Per row: id, text_hash, levels, tokens, budget of its leaf and how often it is taken."""
-    levels = list(levels)
+    """Per row: id, text_hash, levels, tokens, budget of its leaf and how often it is taken.
+
+    ``levels`` gives the tree from the top down: a name and the SQL expression of a row's node.
+    """
+    names = list(levels)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = stored(
         docs.select(
             F.col(id_col).alias("id"),
             F.md5(text.cast("binary")).alias("text_hash"),
-            *[F.coalesce(F.col(level).cast("string"), F.lit("")).alias(level) for level in levels],
+            *[F.coalesce(F.expr(node).cast("string"), F.lit("")).alias(name) for name, node in levels.items()],
             F.size(words(text)).cast("long").alias("tokens"),
         ),
         "mix-rows",
     )
-    leaves = stored(rows.groupBy(*levels).agg(F.sum("tokens").alias("held")), "mix-leaves")
+    leaves = stored(rows.groupBy(*names).agg(F.sum("tokens").alias("held")), "mix-leaves")
     total = leaves.agg(F.sum("held")).first()[0] or 0
-    plan = leaf_budgets(leaves, levels, weights, int(total * share), max_epochs)
+    plan = leaf_budgets(leaves, names, weights, int(total * share), max_epochs)
     plan = stored(
         plan.select(
-            *levels,
+            *names,
             "budget",
             F.expr("CASE WHEN held > 0 THEN budget DIV held ELSE 0 END").alias("epochs"),
             F.expr("CASE WHEN held > 0 THEN budget % held ELSE 0 END").alias("rest"),
         ),
         "mix-plan",
     )
-    drawn = rows.join(plan, levels).withColumn("draw", draw(F.col("id"), F.col("text_hash"), F.col("epochs"), seed))
+    drawn = rows.join(plan, names).withColumn("draw", draw(F.col("id"), F.col("text_hash"), F.col("epochs"), seed))
     drawn = drawn.withColumn("bin", F.substring("draw", 1, 3))
-    bins = drawn.groupBy(*levels, "bin").agg(F.sum("tokens").alias("in_bin"))
-    upto = F.sum("in_bin").over(Window.partitionBy(*levels).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
-    edges = bins.withColumn("upto", upto).select(*levels, "bin", "upto", (F.col("upto") - F.col("in_bin")).alias("below"))
-    cut = drawn.join(edges, [*levels, "bin"])
+    bins = drawn.groupBy(*names, "bin").agg(F.sum("tokens").alias("in_bin"))
+    upto = F.sum("in_bin").over(Window.partitionBy(*names).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    edges = bins.withColumn("upto", upto).select(*names, "bin", "upto", (F.col("upto") - F.col("in_bin")).alias("below"))
+    cut = drawn.join(edges, [*names, "bin"])
     at_edge = (F.col("upto") > F.col("rest")) & (F.col("below") <= F.col("rest"))
     clear = cut.filter(~at_edge).withColumn("taken", (F.col("upto") <= F.col("rest")).cast("int"))
     # Rows with equal draws are summed together, so they fall on the same side.
-    reached = F.sum("tokens").over(Window.partitionBy(*levels, "bin").orderBy("draw")) + F.col("below")
+    reached = F.sum("tokens").over(Window.partitionBy(*names, "bin").orderBy("draw")) + F.col("below")
     edge = cut.filter(at_edge).withColumn("reached", reached)
     edge = edge.withColumn("taken", (F.col("reached") <= F.col("rest")).cast("int")).drop("reached")
     found = clear.unionByName(edge)
-    return found.select("id", "text_hash", *levels, "tokens", "budget", (F.col("epochs") + F.col("taken")).cast("long").alias("n_taken"))
+    return found.select("id", "text_hash", *names, "tokens", "budget", (F.col("epochs") + F.col("taken")).cast("long").alias("n_taken"))
 
 
-def mixed(docs: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, int]], **options) -> DataFrame:
+def mixed(docs: DataFrame, levels: Mapping[str, str], weights: Mapping[str, Mapping[str, int]], **options) -> DataFrame:
     """The documents with all their columns, each as often as it is taken."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     taken = selection(docs, levels, weights, **options).filter("n_taken > 0").select("id", "text_hash", "n_taken").distinct()

@@ -301,12 +301,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The tree of the mix: a domain is every fourth source, languages and domains are weighted, sources are equal.
-MIX_LEVELS = ("domain", "lang", "source")
 MIX_WEIGHTS = {
     "domain": {"web0": 4, "web1": 3, "web2": 2, "web3": 2},
     "lang": {"en": 6, "de": 2, "fr": 2, "es": 1},
 }
 MIX_DOMAIN = "concat('web', coalesce(try_cast(regexp_extract(source, '([0-9]+)', 1) AS bigint), 0) % 4)"
+MIX_LEVELS = {"domain": MIX_DOMAIN, "lang": "lang", "source": "source"}
 
 
 def _mix_sql() -> str:
@@ -324,7 +324,7 @@ WITH d AS (
 b0 AS (SELECT least((SELECT sum(held)::BIGINT * 4 // 5 FROM leaf), (SELECT sum(cap)::BIGINT FROM leaf)) AS budget)"""
     ]
     for depth, level in enumerate(MIX_LEVELS, 1):
-        path, above = ", ".join(MIX_LEVELS[:depth]), ", ".join(MIX_LEVELS[: depth - 1])
+        path, above = ", ".join(list(MIX_LEVELS)[:depth]), ", ".join(list(MIX_LEVELS)[: depth - 1])
         by = f"PARTITION BY {above}" if above else ""
         join = f"JOIN b{depth - 1} USING ({above})" if above else "CROSS JOIN b0"
         parts.append(
@@ -358,7 +358,7 @@ SELECT doc_id, domain, lang, source, tokens, budget, CAST(epochs + CASE WHEN upt
 @QUERIES.add("op8_mixing", "LLM8", _mix_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is taken into a mix of four fifths of all tokens."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").withColumn("domain", F.expr(MIX_DOMAIN))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     found = mixing.selection(docs, MIX_LEVELS, MIX_WEIGHTS)
     return found.select(F.col("id").alias("doc_id"), *MIX_LEVELS, "tokens", "budget", "n_taken")
 
