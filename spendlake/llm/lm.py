@@ -207,6 +207,20 @@ def fit(weights: np.ndarray, chunks: Iterable[tuple[np.ndarray, list[np.ndarray]
     return weights, seen
 
 
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def add_rows(a: Rows, b: Rows) -> Rows:
+    """The sum of two sparse tables (row numbers, rows, times seen)."""
+    hit = np.union1d(a[0], b[0])
+    rows, seen = np.zeros((len(hit), CLASSES), dtype=np.float32), np.zeros(len(hit), dtype=np.float32)
+    for own, more, times in (a, b):
+        at = np.searchsorted(hit, own)
+        rows[at] += more
+        seen[at] += times
+    return hit, rows, seen
+
+
 def read_texts(reader: Reader, texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Chunks of whole texts: lengths, words, head numbers, classes, hashes' features."""
     words: list[bytes] = []
@@ -244,10 +258,12 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
             reader = Reader(Head(**shared_head.value))
             chunks = read_texts(reader, (row.text for row in rows))
             new, seen = fit(current.value, ((c[3], c[5]) for c in chunks))
-            yield new * seen[:, None], seen
+            hit = np.flatnonzero(seen)
+            yield hit, new[hit] * seen[hit][:, None], seen[hit]
 
-        summed, seen = sample.rdd.mapPartitions(update).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]))
-        weights = np.where(seen[:, None] > 0, summed / np.maximum(seen[:, None], 1), weights).astype(np.float32)
+        hit, summed, seen = sample.rdd.mapPartitions(update).treeReduce(add_rows)
+        weights = weights.copy()
+        weights[hit] = summed / np.maximum(seen, 1)[:, None]
     return weights
 
 

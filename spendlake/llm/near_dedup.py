@@ -40,9 +40,8 @@ from spendlake.llm.text import KEY, gram_hashes, keyed, let, lower_ascii, same_k
 SKETCH = 64
 # Chance that a link exactly at the threshold is estimated away.
 MISS = 1e-7
-# Star rounds go on while more cross pairs than this per class would follow.
+# Star rounds go on while more cross pairs than this per class are ahead and each round halves them.
 PAIRS_PER_CLASS = 8
-STAR_ROUNDS = 6
 # Rows up to which the ids of candidates are sent to every task (24 bytes each).
 BROADCAST_IDS = 400_000
 
@@ -148,6 +147,18 @@ def _star_pairs(lists: DataFrame, turn: int, similarity: float) -> DataFrame:
     return _ordered(counted.withColumn("best", best).filter("best <= 2"))
 
 
+def _ahead(lists: DataFrame) -> int:
+    """How many pairs of different components the lists hold, counted from sums and not from pairs."""
+    sides = stored(lists.groupBy("v", "band", "label").agg(F.count("*").alias("m")), "sides")
+    totals = sides.groupBy("v", "band").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own"))
+    below = totals.select("v", (F.col("band") + 1).alias("band"), F.col("n").alias("n2"))
+    counted = totals.join(below, ["v", "band"], "left")
+    every = counted.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2 + F.col("n") * F.coalesce("n2", F.lit(0)))).first()[0]
+    lower = sides.select("v", "label", (F.col("band") + 1).alias("band"), F.col("m").alias("m2"))
+    same = sides.join(lower, ["v", "label", "band"]).agg(F.sum(F.col("m") * F.col("m2"))).first()[0]
+    return int((every or 0) - (same or 0))
+
+
 def _cross(lists: DataFrame) -> DataFrame:
     """Per list: two components of the same or adjacent bands and the sizes of both sides."""
     sides = lists.groupBy("v", "band", "label").agg(F.count("*").alias("m"))
@@ -185,25 +196,21 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
     source = keyed(docs, "doc_id", "text")
     texts = source.join(sent, same_key(source, sent)).select("c", "text")
     sets = stored(texts.select("c", shingles(F.col("text"), size).alias("set")).dropDuplicates(["c"]), "sets")
-    links, labels, turn = None, None, 0
+    links, labels, turn, before = None, None, 0, None
     while True:
         named = stored(_labelled(lists, labels), "named-lists")
         mixed = named.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
         named = named.join(mixed.select("v"), "v", "left_semi")
-        cross = stored(_cross(named), "cross")
-        ahead = cross.agg(F.sum(F.col("m1") * F.col("m2"))).first()[0] or 0
+        ahead = _ahead(named)
         if not ahead:
             return links
-        last = turn == STAR_ROUNDS or ahead <= PAIRS_PER_CLASS * n_members
-        pairs = _cross_pairs(named, cross, similarity) if last else _star_pairs(named, turn, similarity)
+        last = ahead <= PAIRS_PER_CLASS * n_members or (before is not None and 2 * ahead > before)
+        pairs = _cross_pairs(named, _cross(named), similarity) if last else _star_pairs(named, turn, similarity)
         new = _linked(pairs, chosen, sets, percent)
         links = new if links is None else links.union(new)
         if last:
             return links
-        if new.isEmpty():
-            turn = STAR_ROUNDS
-            continue
-        labels, turn = components(links), turn + 1
+        labels, turn, before = components(links), turn + 1, ahead
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
