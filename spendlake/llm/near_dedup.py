@@ -9,10 +9,12 @@ and discards what is clearly below the threshold; the full sets decide.
 Two linked sets share at least ``needed`` sketch values: all of them surely if
 both sets fit into their sketches, else but for one link in ten million at the
 very threshold (binomial tail of the k smallest values of the union). So values
-held by one class only are dropped, classes left with fewer than ``needed``
-values have no partner, and of the others only the rarest values are searched,
-as many as any partner must meet. Frequent values are thus left out where rarer
-ones suffice, without a cap.
+held by one class only are dropped, and classes left with fewer than ``needed``
+values have no partner. The few classes that remain get a larger sketch, which
+is the whole set for most of them, and are thinned in the same way. Of those
+sketches only the rarest values are searched, as many as any partner must meet,
+and two classes meet only where the values that follow could still be enough.
+Frequent values are thus left out where rarer ones suffice, without a cap.
 
 Groups of thousands of near copies are not expanded to pairs: every class is
 first compared with a leader of its lists, links are merged into components,
@@ -38,6 +40,8 @@ from spendlake.llm.components import components
 from spendlake.llm.text import KEY, gram_hashes, keyed, let, lower_ascii, same_key, stored, words
 
 SKETCH = 64
+# Values of the sketch that screens pairs of the classes the first one leaves.
+FINE = 512
 # Chance that a link exactly at the threshold is estimated away.
 MISS = 1e-7
 # Star rounds go on while more cross pairs than this per class are ahead and each round halves them.
@@ -68,8 +72,9 @@ def shingles(text: Column, size: int) -> Column:
     return F.sort_array(F.array_distinct(grams))
 
 
-def _least_shared(n: Column, similarity: float) -> Column:
-    return F.least(F.lit(needed(similarity)), F.ceil(F.lit(similarity) * n - 1e-9)).cast("int")
+def _least_shared(n: Column, similarity: float, k: int) -> Column:
+    """Values of a sketch of ``k`` that a partner of a set of ``n`` shares."""
+    return F.least(F.lit(needed(similarity, k)), F.ceil(F.lit(similarity) * n - 1e-9)).cast("int")
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
@@ -83,7 +88,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _shared(postings: DataFrame, similarity: float) -> DataFrame:
+def _shared(postings: DataFrame, similarity: float, k: int) -> DataFrame:
     """Postings (c, n, v) with the list length ``df``, of classes that may have a partner.
 
     A value of one class is dropped, then a class with too few values; what
@@ -93,21 +98,25 @@ def _shared(postings: DataFrame, similarity: float) -> DataFrame:
         lists = postings.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1")
         postings = stored(postings.drop("df").join(lists, "v"), "postings")
         enough = postings.groupBy("c").agg(F.count("*").alias("s"), F.first("n").alias("size"))
-        enough = enough.filter(F.col("s") >= _least_shared(F.col("size"), similarity)).select("c")
+        enough = enough.filter(F.col("s") >= _least_shared(F.col("size"), similarity, k)).select("c")
         postings = postings.join(enough, "c", "left_semi")
     return postings
 
 
 def _prefix(postings: DataFrame, similarity: float) -> DataFrame:
-    """The rarest values of each class, so many that a partner must hold one of them."""
+    """The rarest values of each class, so many that a partner must hold one of them.
+
+    ``left`` is how many values follow in the order from rare to frequent, values
+    of the class alone being first; two classes whose first common value is
+    followed by ``left1`` and ``left2`` share at most one more than the smaller.
+    """
     own = Window.partitionBy("c")
     rank = F.row_number().over(own.orderBy("df", "v"))
-    size = F.count("*").over(own)
-    kept = postings.withColumn("rank", rank).withColumn("s", size)
-    kept = kept.filter(F.col("rank") <= F.col("s") - _least_shared(F.col("n"), similarity) + 1)
+    left = F.count("*").over(own) - rank
+    kept = postings.withColumn("left", left).filter(F.col("left") + 1 >= _least_shared(F.col("n"), similarity, FINE))
     # Linked sets differ in size by at most the threshold: their bands are equal or next to each other.
-    band = F.floor(F.log("n") / F.log(F.lit(1 / similarity))).cast("int")
-    return kept.select("c", "n", "v", band.alias("band"))
+    band = F.floor(F.log("n") / F.log(F.lit(1 / (similarity - 0.001)))).cast("int")
+    return kept.select("c", "n", "v", "left", band.alias("band"))
 
 
 def _fits(a: Column, b: Column, similarity: float) -> Column:
@@ -118,30 +127,35 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _linked(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _meet(n1: Column, left1: Column, n2: Column, left2: Column, similarity: float) -> Column:
+    """Whether a common value at these places can be the first one of linked sets."""
+    both_whole = F.greatest(n1, n2) <= FINE
+    whole = F.ceil((n1 + n2) * F.lit(similarity / (1 + similarity)) - 1e-9)
+    cut = F.greatest(_least_shared(n1, similarity, FINE), _least_shared(n2, similarity, FINE))
+    return _fits(n1, n2, similarity) & (F.least(left1, left2) + 1 >= F.when(both_whole, whole).otherwise(cut))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches leave it open and whose full sets agree."""
-    a = sketches.select(F.col("c").alias("a"), F.col("sketch").alias("sa"))
-    b = sketches.select(F.col("c").alias("b"), F.col("sketch").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb", F.slice(F.sort_array(F.array_union("sa", "sb")), 1, SKETCH).alias("u"))
-    hit = F.size(F.array_intersect("u", F.array_intersect("sa", "sb")))
-    floor = F.when(F.size("u") < SKETCH, F.ceil(F.size("u") * F.lit(percent / 100) - 1e-9)).otherwise(needed(percent / 100))
-    likely = stored(both.filter(hit >= floor).select("a", "b"), "pairs")
     a = sets.select(F.col("c").alias("a"), F.col("set").alias("sa"))
     b = sets.select(F.col("c").alias("b"), F.col("set").alias("sb"))
-    full = likely.join(a, "a").join(b, "b")
+    both = pairs.join(a, "a").join(b, "b")
+    low = lambda name: F.slice(name, 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union(low("sa"), low("sb"))), 1, SKETCH)
+    hit = F.size(F.array_intersect(union, F.array_intersect(low("sa"), low("sb"))))
+    floor = F.when(F.size(union) < SKETCH, F.ceil(F.size(union) * F.lit(percent / 100) - 1e-9)).otherwise(needed(percent / 100))
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-    union = F.size("sa").cast("long") + F.size("sb") - shared
-    return stored(full.filter(100 * shared >= percent * union).select("a", "b"), "links")
+    alike = 100 * shared >= percent * (F.size("sa").cast("long") + F.size("sb") - shared)
+    return stored(both.filter(F.when(hit >= floor, alike).otherwise(False)).select("a", "b"), "links")
 
 
 def _star_pairs(lists: DataFrame, turn: int, similarity: float) -> DataFrame:
     """Each class with the two leaders of another component it meets in most lists."""
-    draw = F.struct(F.xxhash64(F.lit(turn), "label", "v").alias("draw"), F.col("c").alias("c"), F.col("n").alias("n"), F.col("label").alias("label"))
+    draw = F.struct(F.xxhash64(F.lit(turn), "label", "v").alias("draw"), "c", "n", "left", "label")
     leaders = lists.groupBy("v", "band").agg(F.min(draw).alias("leader"))
     asked = lists.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    met = asked.join(leaders, ["v", "band"]).filter(
-        (F.col("label") != F.col("leader.label")) & _fits(F.col("n"), F.col("leader.n"), similarity)
-    )
+    near = _meet(F.col("n"), F.col("left"), F.col("leader.n"), F.col("leader.left"), similarity)
+    met = asked.join(leaders, ["v", "band"]).filter((F.col("label") != F.col("leader.label")) & near)
     counted = met.groupBy(F.col("c").alias("x"), F.col("leader.c").alias("y")).agg(F.count("*").alias("met"))
     best = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("met"), "y"))
     return _ordered(counted.withColumn("best", best).filter("best <= 2"))
@@ -159,20 +173,20 @@ def _ahead(lists: DataFrame) -> int:
     return int((every or 0) - (same or 0))
 
 
-def _cross(lists: DataFrame) -> DataFrame:
-    """Per list: two components of the same or adjacent bands and the sizes of both sides."""
-    sides = lists.groupBy("v", "band", "label").agg(F.count("*").alias("m"))
-    left = sides.select("v", F.col("band").alias("band1"), F.col("label").alias("l1"), F.col("m").alias("m1"), F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
-    right = sides.select("v", "band", F.col("label").alias("l2"), F.col("m").alias("m2"))
-    other = (F.col("l1") < F.col("l2")) | ((F.col("l1") > F.col("l2")) & (F.col("band1") != F.col("band")))
-    return left.join(right, ["v", "band"]).filter(other).select("v", "band1", "l1", "m1", F.col("band").alias("band2"), "l2", "m2")
-
-
-def _cross_pairs(lists: DataFrame, cross: DataFrame, similarity: float) -> DataFrame:
-    one = lists.select("v", F.col("band").alias("band1"), F.col("label").alias("l1"), F.col("c").alias("x"), F.col("n").alias("nx"))
-    two = lists.select("v", F.col("band").alias("band2"), F.col("label").alias("l2"), F.col("c").alias("y"), F.col("n").alias("ny"))
-    met = cross.join(one, ["v", "band1", "l1"]).join(two, ["v", "band2", "l2"])
-    return _ordered(met.filter(_fits(F.col("nx"), F.col("ny"), similarity)))
+def _cross_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of classes of different components that can be linked by what their lists tell."""
+    one = lists.select(
+        "v", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("label").alias("l1"), F.col("c").alias("x"), F.col("n").alias("n1"), F.col("left").alias("left1")
+    )
+    two = lists.select("v", "band", F.col("label").alias("l2"), F.col("c").alias("y"), F.col("n").alias("n2"), F.col("left").alias("left2"))
+    # The smaller set, or of equal sizes the smaller class, is on the left, so a pair meets once in a list.
+    ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("x") < F.col("y")))
+    # As the other set is no smaller, more of the values of this one must follow.
+    share = 2 * similarity / (1 + similarity)
+    far = F.when(F.col("n1") <= FINE, F.least(F.ceil(F.col("n1") * F.lit(share) - 1e-9), F.lit(needed(similarity, FINE))))
+    one = one.filter(F.col("left1") + 1 >= F.coalesce(far, F.lit(needed(similarity, FINE))))
+    near = _meet(F.col("n1"), F.col("left1"), F.col("n2"), F.col("left2"), similarity)
+    return _ordered(one.join(two, ["v", "band"]).filter((F.col("l1") != F.col("l2")) & ordered & near))
 
 
 def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -185,17 +199,18 @@ def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
 def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Links (a, b) between classes that join all classes which belong together; None if there are none."""
     similarity = percent / 100
-    postings = classes.filter("n > 0").select("c", "n", F.explode("sketch").alias("v"))
-    lists = stored(_prefix(_shared(postings, similarity), similarity), "lists")
-    members = stored(lists.select("c").distinct(), "members")
+    coarse = classes.filter("n > 0").select("c", "n", F.explode("sketch").alias("v"))
+    members = stored(_shared(coarse, similarity, SKETCH).select("c").distinct(), "members")
     n_members = members.count()
     if not n_members:
         return None
-    chosen = stored(classes.join(members, "c", "left_semi").select("c", "sketch", "rep.*"), "sketches")
-    sent = F.broadcast(chosen.drop("sketch")) if n_members <= BROADCAST_IDS else chosen.drop("sketch")
+    chosen = classes.join(members, "c", "left_semi").select("c", "rep.*")
+    sent = F.broadcast(chosen) if n_members <= BROADCAST_IDS else chosen
     source = keyed(docs, "doc_id", "text")
     texts = source.join(sent, same_key(source, sent)).select("c", "text")
     sets = stored(texts.select("c", shingles(F.col("text"), size).alias("set")).dropDuplicates(["c"]), "sets")
+    fine = sets.select("c", F.size("set").alias("n"), F.explode(F.slice("set", 1, FINE)).alias("v"))
+    lists = stored(_prefix(_shared(fine, similarity, FINE), similarity), "lists")
     links, labels, turn, before = None, None, 0, None
     while True:
         named = stored(_labelled(lists, labels), "named-lists")
@@ -205,8 +220,8 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         if not ahead:
             return links
         last = ahead <= PAIRS_PER_CLASS * n_members or (before is not None and 2 * ahead > before)
-        pairs = _cross_pairs(named, _cross(named), similarity) if last else _star_pairs(named, turn, similarity)
-        new = _linked(pairs, chosen, sets, percent)
+        pairs = _cross_pairs(named, similarity) if last else _star_pairs(named, turn, similarity)
+        new = _linked(pairs, sets, percent)
         links = new if links is None else links.union(new)
         if last:
             return links
