@@ -45,8 +45,8 @@ SINGLE = 63
 ENDINGS = 64
 CLASSES = SINGLE + ENDINGS
 ROWS = 1 << 13
-HEAD = 300_000
-SAMPLE = 0.06
+HEAD = 200_000
+SAMPLE = 0.03
 SAMPLE_TOKENS = 2_000_000
 ROUNDS = 2
 TRAIN_TASKS = 24
@@ -75,7 +75,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for frame in frames:
             for text in frame["text"]:
                 total.update(tokens(text))
-            if len(total) > 1 << 19:
+            if len(total) > 1 << 18:
                 yield pd.DataFrame(total.items(), columns=["word", "n"])
                 total = Counter()
         yield pd.DataFrame(total.items(), columns=["word", "n"])
@@ -108,8 +108,20 @@ class Head:
 
 
 def vocabulary_head(vocabulary: DataFrame) -> Head:
-    rows = vocabulary.orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    words, counts = [bytes(r.word) for r in rows], np.array([r.c for r in rows], dtype=np.float64)
+    # Counts to three digits: a bounded histogram tells from which count on the words fit into the head.
+    digits = F.greatest(F.floor(F.log10(F.col("c"))) - 2, F.lit(0))
+    least = (F.floor(F.col("c") / F.pow(F.lit(10.0), digits)) * F.pow(F.lit(10.0), digits)).cast("long")
+    bins = sorted(((r.least, r.n) for r in vocabulary.groupBy(least.alias("least")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    from_count, held = None, 0
+    for low, n in bins:
+        held += n
+        if held > HEAD:
+            break
+        from_count = low
+    frequent = vocabulary.filter(F.col("c") >= from_count) if from_count is not None else vocabulary.limit(0)
+    found = frequent.select("word", "c").toArrow()
+    rows = sorted(zip(found["word"].to_pylist(), found["c"].to_pylist()), key=lambda r: (-r[1], r[0]))
+    words, counts = [word for word, _ in rows], np.array([c for _, c in rows], dtype=np.float64)
     by_end = vocabulary.groupBy((F.crc32(F.expr("substring(word, -2, 2)")) % ENDINGS).alias("e"))
     sums = {r.e: (r.c, r.n) for r in by_end.agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
     total, distinct = sum(c for c, _ in sums.values()), sum(n for _, n in sums.values())
@@ -251,7 +263,7 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
     sample = stored(sample, "lm-sample")
     shared_head = spark.sparkContext.broadcast(vars(head))
     weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
-    for _ in range(ROUNDS if head.words else 0):
+    for _ in range(ROUNDS if head.total else 0):
         current = spark.sparkContext.broadcast(weights)
 
         def update(rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
