@@ -24,7 +24,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.llm.text import KEY, keyed, same_key, stored
@@ -89,7 +89,10 @@ def terms(text: str) -> set[str]:
 
 
 def contexts(text: str, window: int = WINDOW) -> set[tuple[str, str, int]]:
-    """(entity, term, context) of the words next to each entity; the term is '' once per entity."""
+    """(entity, term, context) of the words next to each entity.
+
+    Besides, once each: every entity with the term '', and every such word with the entity ''.
+    """
     rows = set()
     for _, start, end in entities(text):
         entity = text[start:end].lower()
@@ -100,6 +103,7 @@ def contexts(text: str, window: int = WINDOW) -> set[tuple[str, str, int]]:
         context = int.from_bytes(hashlib.blake2b(" ".join(near).encode(), digest_size=7).digest())
         rows.add((entity, "", 0))
         rows.update((entity, word, context) for word in near)
+        rows.update(("", word, 0) for word in near)
     return rows
 
 
@@ -136,18 +140,23 @@ def disclosing_terms(
 ) -> DataFrame:
     """(term, entity, disclosure) of the terms that give an entity away, over keyed documents."""
     pairs = stored(co_occurrences(docs), "co-occurrences")
-    candidates = pairs.filter((F.col("term") != "") & (F.col("contexts") >= min_contexts))
+    total = math.log(max(docs.count(), 1))
+
+    def disclosure(n_term: str) -> Column:
+        surprise = F.lit(total) - F.log("n_entity")
+        given = F.log(F.least(F.col("n_docs") / F.col(n_term), F.lit(1.0)))
+        return F.when(surprise > 0, (given + surprise) / surprise).otherwise(0.0)
+
     held = pairs.filter("term = ''").select("entity", F.col("n_docs").alias("n_entity"))
-    candidates = stored(candidates.join(held, "entity"), "candidates")
-    words = candidates.select("term").distinct()
+    # A word is in no fewer documents than it is next to some entity, so this bound keeps all that can reach the threshold.
+    near_any = pairs.filter("entity = ''").select("term", F.col("n_docs").alias("n_near"))
+    candidates = pairs.filter((F.col("term") != "") & (F.col("entity") != "") & (F.col("contexts") >= min_contexts))
+    candidates = candidates.join(held, "entity").join(near_any, "term").filter(disclosure("n_near") >= min_disclosure)
+    candidates = stored(candidates, "candidates")
     if candidates.isEmpty():
         return candidates.select("term", "entity", F.lit(1.0).alias("disclosure"))
-    n_term = _terms_of(docs, words).groupBy("term").agg(F.count("*").alias("n_term"))
-    total = math.log(docs.count())
-    surprise = F.lit(total) - F.log("n_entity")
-    given = F.log(F.least(F.col("n_docs") / F.col("n_term"), F.lit(1.0)))
-    share = F.when(surprise > 0, (given + surprise) / surprise).otherwise(0.0)
-    scored = candidates.join(n_term, "term").withColumn("disclosure", share)
+    n_term = _terms_of(docs, candidates.select("term").distinct()).groupBy("term").agg(F.count("*").alias("n_term"))
+    scored = candidates.join(n_term, "term").withColumn("disclosure", disclosure("n_term"))
     return scored.filter(F.col("disclosure") >= min_disclosure).select("term", "entity", "disclosure")
 
 
