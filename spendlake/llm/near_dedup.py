@@ -46,6 +46,8 @@ FINE = 512
 MISS = 1e-7
 # Star rounds go on while more cross pairs than this per class are ahead and each round halves them.
 PAIRS_PER_CLASS = 8
+# Leaders a class is compared with in a star round; what they miss is left to the comparison of all.
+LEADERS = 8
 # Rows up to which the ids of candidates are sent to every task (24 bytes each).
 BROADCAST_IDS = 400_000
 
@@ -150,7 +152,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _star_pairs(lists: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """Each class with the two leaders of another component it meets in most lists."""
+    """Each class with the few leaders of another component it meets in most lists."""
     draw = F.struct(F.xxhash64(F.lit(turn), "label", "v").alias("draw"), "c", "n", "left", "label")
     leaders = lists.groupBy("v", "band").agg(F.min(draw).alias("leader"))
     asked = lists.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
@@ -158,7 +160,7 @@ def _star_pairs(lists: DataFrame, turn: int, similarity: float) -> DataFrame:
     met = asked.join(leaders, ["v", "band"]).filter((F.col("label") != F.col("leader.label")) & near)
     counted = met.groupBy(F.col("c").alias("x"), F.col("leader.c").alias("y")).agg(F.count("*").alias("met"))
     best = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("met"), "y"))
-    return _ordered(counted.withColumn("best", best).filter("best <= 2"))
+    return _ordered(counted.withColumn("best", best).filter(F.col("best") <= LEADERS))
 
 
 def _ahead(lists: DataFrame) -> int:
