@@ -221,6 +221,35 @@ RESERVE_MEASURES = {
 
 # Dimension seeds in id order.
 TITLES = [TITLE_COMMODITIES, TITLE_CONSERVATION, TITLE_NUTRITION, TITLE_INSURANCE]
+# The texts stored with the titles.
+TITLE_DESCRIPTIONS = {
+    TITLE_COMMODITIES: (
+        "Title I, Commodities cover price and income support for the farmers who raise widely-produced and traded "
+        "non-perishable crops, like corn, soybeans, wheat, cotton and rice – as well as dairy and sugar. The title also "
+        "includes agricultural disaster assistance. The map shows the total benefits paid to farmers from of the "
+        "commodities programs by state from 2018-2022."
+    ),
+    TITLE_CONSERVATION: (
+        "Title II of the law authorizes the Farm Bill’s conservation programs. The programs in this title programs help "
+        "agricultural producers and landowners adopt conservation activities on private farm and forest lands. In general, "
+        "conservation activities are intended to protect and improve water quality and quantity, soil health, wildlife "
+        "habitat, and air quality. The map shows the total benefit of the conservation program by state from 2018-2022."
+    ),
+    TITLE_NUTRITION: (
+        "The Supplemental Nutrition Assistance Program [SNAP] provides financial assistance to low-income families to help "
+        "cover the cost of food. Benefits can only be used to purchase food products and are provided in electronic format "
+        "similar to a credit card and known as the Electronic Benefit Transfer (EBT) card. The map shows the total SNAP "
+        "costs of the nutrition title by state from 2018-2022."
+    ),
+    TITLE_INSURANCE: (
+        "Crop Insurance provides farmers with the option to purchase insurance policies on the acres of crops they plant to "
+        "help manage the risks of farming, including to indemnify against losses in yields, crop or whole farm revenue, crop "
+        "margins and other risks. The program also offsets the cost of the insurance policies through premium subsidies. In "
+        "addition, the program provides Administrative and Operating (A&O) subsidies to the private crop insurance companies "
+        "who provide federal crop insurance to farmers. The map shows the total farmer net benefit of the crop insurance "
+        "program by state from 2018-2022."
+    ),
+}
 # (subtitle, title)
 SUBTITLES = [
     (SUBTITLE_A, TITLE_COMMODITIES),

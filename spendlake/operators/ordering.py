@@ -23,18 +23,15 @@ def order_by_code(df: DataFrame, column: str = "practice_code", ties: Sequence[s
     return df.orderBy(column, *ties)
 
 
-def with_position(df: DataFrame, *order: str | Column, start: int = 1, out: str = "position") -> DataFrame:
-    """Number the rows in order without gathering them in one task.
+def numbered(ordered: DataFrame, start: int = 1, out: str = "position") -> DataFrame:
+    """Number rows in the order they are in, without gathering them in one task.
 
-    The rows are range-sorted and written to the checkpoint folder, which fixes
-    the split; each partition then numbers its own rows and adds the count of
-    all earlier ones. Only one row per partition passes through the window.
-    All columns break ties: a value held by many rows spreads over partitions,
-    and a task that runs again puts each row where it was.
+    The rows are written to the checkpoint folder, which fixes their split; each
+    partition then numbers its own rows and adds the count of all earlier ones.
+    Only one row per partition passes through the window.
     """
-    shared_dir(df.sparkSession)
-    ties = [named(name) for name in df.columns]
-    marked = df.orderBy(*order, *ties).withColumn("_mark", F.monotonically_increasing_id()).checkpoint()
+    shared_dir(ordered.sparkSession)
+    marked = ordered.withColumn("_mark", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("_mark", _ROW_BITS)
     within = F.col("_mark").bitwiseAND((1 << _ROW_BITS) - 1)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -45,4 +42,14 @@ def with_position(df: DataFrame, *order: str | Column, start: int = 1, out: str
     )
     # One row per partition: small however large the data.
     placed = marked.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return placed.select(*df.columns, (F.col("_before") + within + start).cast("long").alias(out))
+    return placed.select(*ordered.columns, (F.col("_before") + within + start).cast("long").alias(out))
+
+
+def with_position(df: DataFrame, *order: str | Column, start: int = 1, out: str = "position") -> DataFrame:
+    """Sort by range and number the rows.
+
+    All columns break ties: a value held by many rows spreads over partitions,
+    and a task that runs again puts each row where it was.
+    """
+    ties = [named(name) for name in df.columns]
+    return numbered(df.orderBy(*order, *ties), start, out)

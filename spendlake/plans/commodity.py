@@ -21,7 +21,7 @@ from spendlake.operators.columns import (
 from spendlake.operators.combine import union_all
 from spendlake.operators.filters import keep_in, keep_not_in
 from spendlake.operators.joins import combine_measures
-from spendlake.operators.reshape import wide_to_long
+from spendlake.operators.reshape import wide_rejects, wide_to_long
 from spendlake.schemas import SOURCE_NUMBER
 
 
@@ -59,6 +59,16 @@ def arc_plc_payments(
     )
 
 
+def arc_plc_rejects(
+    *tables: Mapping[str, DataFrame],
+    columns: Mapping[str, str] = V.COMMODITY_COLUMNS,
+    codes: Mapping[str, str] = V.CODE_BY_NAME,
+) -> DataFrame:
+    """State names of all year-wide tables that ``arc_plc_payments`` leaves out, with the reason."""
+    frames = [frame for group in tables for frame in group.values()]
+    return union_all(*[wide_rejects(clean(frame, columns), codes) for frame in frames])
+
+
 def _dairy_disaster(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     named = whole_year(clean(df, columns))
     return to_numeric(named, ["amount", "recipient_count"], SOURCE_NUMBER)

@@ -60,7 +60,7 @@ def _seed_rows(spark: SparkSession, rows: Sequence[tuple], **columns: T.DataType
 def seed_titles(
     spark: SparkSession, descriptions: Mapping[str, str] | None = None, existing: DataFrame | None = None
 ) -> DataFrame:
-    texts = descriptions or {}
+    texts = V.TITLE_DESCRIPTIONS if descriptions is None else descriptions
     rows = [(name, texts.get(name)) for name in V.TITLES]
     seeds = _seed_rows(spark, rows, name=T.StringType(), description=T.StringType())
     return add_members(existing, first_by_key(seeds, ["name"], ["ord"]), ["name"]).select(*schemas.TITLES.names)
@@ -117,16 +117,22 @@ def seed_practice_categories(
 
 
 def seed_practices(merged: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Practices out of the merged list (code, name, source); a known code takes the new texts."""
+    """Practices out of the merged list (code, name, source); a known code takes the new texts.
+
+    Of several lines of one code the last one in the file wins, if the list was
+    read with its order in the column ``ord``; else the greatest name.
+    """
     rows = merged.select(
         F.col("practice_code").alias("code"),
         F.col("practice_name").alias("name"),
         display_name(F.col("practice_name"), F.col("practice_code")).alias("display_name"),
         "source",
+        *[name for name in ("ord",) if name in merged.columns],
     )
     if existing is None:
-        existing = rows.limit(0)
-    return upsert(existing, rows, ["code"], ["name"]).select(*schemas.PRACTICES.names)
+        existing = rows.limit(0).select(*schemas.PRACTICES.names)
+    order = "ord" if "ord" in rows.columns else "name"
+    return upsert(existing, rows, ["code"], [order]).select(*schemas.PRACTICES.names)
 
 
 def seed_dimensions(
@@ -159,15 +165,31 @@ def seed_dimensions(
     )
 
 
+def _version(spark: SparkSession, path: str) -> int:
+    """The newest complete version below a path, 0 if there is none."""
+    versions = f"{path.rstrip('/')}/versions"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(versions)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return 0
+    return spark.read.schema("version int").parquet(versions).agg(F.max("version")).first()[0] or 0
+
+
 def store_dimensions(dims: Dimensions, path: str) -> Dimensions:
-    """Write every dimension as a table and read it back: loads then start from files, not from seeds."""
+    """Write every dimension as a table and read it back: loads then start from files, not from seeds.
+
+    Each call writes a new version and names it only when all its tables are
+    there, so dimensions may be stored where they are read from, and a call that
+    fails leaves the former version in force.
+    """
     spark = dims.titles.sparkSession
+    number = _version(spark, path) + 1
     for name in Dimensions.__dataclass_fields__:
-        getattr(dims, name).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+        getattr(dims, name).write.mode("overwrite").parquet(f"{path.rstrip('/')}/v{number}/{name}")
+    done = spark.createDataFrame([(number,)], "version int").coalesce(1)
+    done.write.mode("append").parquet(f"{path.rstrip('/')}/versions")
     return open_dimensions(spark, path)
 
 
 def open_dimensions(spark: SparkSession, path: str) -> Dimensions:
-    return Dimensions(
-        **{name: spark.read.parquet(f"{path.rstrip('/')}/{name}") for name in Dimensions.__dataclass_fields__}
-    )
+    base = f"{path.rstrip('/')}/v{_version(spark, path)}"
+    return Dimensions(**{name: spark.read.parquet(f"{base}/{name}") for name in Dimensions.__dataclass_fields__})

@@ -6,7 +6,7 @@ which are never shuffled for it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,9 @@ _PROGRAM_NUMBERS = [
     "net_farmer_benefit_amount",
 ]
 _PROGRAM_TEXTS = ["practice_category", "practice_code"]
+_WHOLE_NUMBERS = ["recipient_count", "farm_count", "contract_count", *[n for n in _PROGRAM_NUMBERS if n != "loss_ratio"]]
+# What tells the facts of one source apart.
+_NATURAL_KEY = [*ENTITY_IDS, "practice_category_id", "practice_code_variant", "state_code", "year"]
 
 
 def _known_columns(payments: DataFrame) -> DataFrame:
@@ -109,23 +112,46 @@ def judge_payments(payments: DataFrame, dims: Dimensions, entities: DataFrame |
         .when(F.col("practice_code").isNotNull() & F.col("_practice").isNull(), "unknown practice code")
         .when(misfit(F.col("amount"), 14, 2), "payment too large")
         .when(misfit(F.col("base_acres"), 10, 2), "base acres too large")
+        .when(misfit(F.col("loss_ratio"), 28, 10), "loss ratio too large")
     )
+    for column in _WHOLE_NUMBERS:
+        reason = F.coalesce(reason, F.when(misfit(F.col(column), 18, 0), f"{column} too large"))
     return rows.withColumn("reason", reason).drop("_known", "_state", "_practice")
 
 
-def accepted(judged: DataFrame, first_id: int = 100) -> DataFrame:
-    """Storable rows in the fact schema. Ids are unique and rise, but leave gaps."""
-    number = F.monotonically_increasing_id() + F.lit(first_id)
+def fact_id(source: str) -> Column:
+    """A number that the source and the natural key decide, and the place where a key repeats.
+
+    Absent values take part, so a key of one level never equals one of another.
+    """
+    key = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in _NATURAL_KEY]
+    place = F.when(F.col("_repeats"), F.monotonically_increasing_id()).otherwise(-1)
+    return F.xxhash64(F.lit(source), *key, place).bitwiseAND(F.lit((1 << 63) - 1))
+
+
+def _with_repeats(rows: DataFrame) -> DataFrame:
+    """Marks rows whose natural key is not theirs alone. The keys that repeat are few or none."""
+    many = rows.groupBy(*[F.col(name).alias(f"_{name}") for name in _NATURAL_KEY]).agg(F.count(F.lit(1)).alias("_rows"))
+    same = F.lit(True)
+    for name in _NATURAL_KEY:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    repeats = F.col("_rows").isNotNull().alias("_repeats")
+    return rows.join(many.where("_rows > 1"), same, "left").select(*rows.columns, repeats)
+
+
+def accepted(judged: DataFrame, source: str = "") -> DataFrame:
+    """Storable rows in the fact schema; ids are the same whenever the same rows are loaded."""
     sources = {fact: source for source, fact in _COMMON.items()}
+    rows = _with_repeats(judged.where("reason IS NULL"))
 
     def column(field: T.StructField):
         if field.name == "id":
-            return number.alias("id")
-        source = sources.get(field.name, field.name)
-        have = judged.schema[source].dataType
-        return storage_value(named(source), have, field.dataType, strict=True).alias(field.name)
+            return fact_id(source).alias("id")
+        held = sources.get(field.name, field.name)
+        have = judged.schema[held].dataType
+        return storage_value(named(held), have, field.dataType, strict=True).alias(field.name)
 
-    return judged.where("reason IS NULL").select([column(field) for field in schemas.PAYMENTS.fields])
+    return rows.select([column(field) for field in schemas.PAYMENTS.fields])
 
 
 def rejected(judged: DataFrame) -> DataFrame:
@@ -133,14 +159,9 @@ def rejected(judged: DataFrame) -> DataFrame:
     return judged.where("reason IS NOT NULL").drop(*ENTITY_IDS, "practice_category_id")
 
 
-def load_facts(payments: DataFrame, dims: Dimensions, first_id: int = 100) -> tuple[DataFrame, DataFrame]:
+def load_facts(payments: DataFrame, dims: Dimensions, source: str = "") -> tuple[DataFrame, DataFrame]:
     judged = judge_payments(payments, dims)
-    return accepted(judged, first_id), rejected(judged)
-
-
-def next_id(facts: DataFrame) -> int:
-    """The first id after those of a fact table."""
-    return facts.agg(F.coalesce(F.max("id") + 1, F.lit(100))).first()[0]
+    return accepted(judged, source), rejected(judged)
 
 
 def check_facts(facts: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:

@@ -1,31 +1,36 @@
-"""The whole load: source files to a fact table, one bulk write per source."""
+"""The whole load: source files to a fact table, one partition and one bulk write per source."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlake import fixed_values as V
+from spendlake.operators.columns import to_numeric
 from spendlake.operators.combine import union_missing
 from spendlake.operators.joins import Dimensions, entity_dimension
-from spendlake.plans.commodity import arc_plc_payments, dairy_disaster_payments
+from spendlake.plans.commodity import arc_plc_payments, arc_plc_rejects, dairy_disaster_payments
 from spendlake.plans.conservation import (
     conservation_union,
     easement_payments,
+    easement_rejects,
     practice_payments,
+    practice_rejects,
     reserve_payments,
+    reserve_rejects,
 )
-from spendlake.plans.facts import accepted, judge_payments, next_id, rejected
-from spendlake.plans.insurance import insurance_benefits
-from spendlake.plans.nutrition import costs_participation
-from spendlake.operators.columns import to_numeric
+from spendlake.plans.facts import accepted, check_facts, judge_payments, rejected
+from spendlake.plans.insurance import insurance_benefits, insurance_rejects
+from spendlake.plans.nutrition import costs_participation, costs_participation_rejects
 from spendlake.schemas import PAYMENTS, SOURCE_NUMBER
-from spendlake.sources.files import read_csv
 from spendlake.session import scratch_path
+from spendlake.sources.files import read_csv
 from spendlake.sources.tables import replace_source
 
-# Sources by the name their path is given under. A group runs when it is complete.
 ARC_PLC = {
     "payments": {V.ARC_CO: "arc_co_payments", V.ARC_IC: "arc_ic_payments", V.PLC: "plc_payments"},
     "base_acres": {V.ARC_CO: "arc_co_base_acres", V.PLC: "plc_base_acres"},
@@ -33,6 +38,38 @@ ARC_PLC = {
 }
 PRACTICE_PROGRAMS = {"eqip": V.EQIP, "csp": V.CSP}
 EASEMENT_PROGRAMS = {"acep": V.ACEP, "rcpp": V.RCPP}
+# Source -> the files it is made of, by the name their path is given under. A source loads as a whole.
+SOURCES = {
+    "arc_plc": tuple(name for group in ARC_PLC.values() for name in group.values()),
+    "dairy_disaster": ("dairy_disaster",),
+    **{name: (name,) for name in (*PRACTICE_PROGRAMS, "crp", *EASEMENT_PROGRAMS)},
+    "snap": ("snap_costs", "snap_participation"),
+    "crop_insurance": ("crop_insurance",),
+}
+TITLES = {
+    "commodity": ("arc_plc", "dairy_disaster"),
+    "conservation": ("eqip", "csp", "crp", "acep", "rcpp"),
+    "nutrition": ("snap",),
+    "insurance": ("crop_insurance",),
+}
+REJECTS = T.StructType([T.StructField(name, T.StringType()) for name in ("step", "reason", "row")])
+
+
+@dataclass(frozen=True)
+class Source:
+    """The payments of one source, and the rows its cleaning leaves out with the reason."""
+
+    payments: DataFrame
+    left_out: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class Load:
+    """The tables after a load, and for every constraint that is broken the number of rows."""
+
+    facts: DataFrame
+    rejects: DataFrame
+    broken: dict[str, int]
 
 
 def _source_numbers(df: DataFrame) -> DataFrame:
@@ -46,52 +83,96 @@ def _source_numbers(df: DataFrame) -> DataFrame:
     return to_numeric(df, [*amount, *numbers], SOURCE_NUMBER)
 
 
-def source_payments(
+def given_sources(paths: Mapping[str, str]) -> list[str]:
+    """The sources whose files are all given; a name that is unknown or a source in part is an error."""
+    unknown = sorted(set(paths) - {name for names in SOURCES.values() for name in names})
+    if unknown:
+        raise ValueError(f"unknown source files: {', '.join(unknown)}")
+    found = []
+    for source, names in SOURCES.items():
+        missing = [name for name in names if name not in paths]
+        if len(missing) < len(names):
+            if missing:
+                raise ValueError(f"source {source} lacks the files {', '.join(missing)}")
+            found.append(source)
+    return found
+
+
+def read_sources(
     spark: SparkSession,
     paths: Mapping[str, str],
     first: int = 2014,
     last: int = 2023,
     nutrition_last: int = 2024,
-) -> dict[str, DataFrame]:
-    """Payments of each title whose files are given."""
+) -> dict[str, Source]:
+    """Payments and cleaning rejects of every source given."""
+    sources = given_sources(paths)
     read = {name: read_csv(spark, path) for name, path in paths.items()}
-    result = {}
+    found = {}
+    for source in sources:
+        if source == "arc_plc":
+            tables = {m: {entity: read[name] for entity, name in group.items()} for m, group in ARC_PLC.items()}
+            found[source] = Source(arc_plc_payments(**tables, first=first, last=last), arc_plc_rejects(*tables.values()))
+        elif source == "dairy_disaster":
+            found[source] = Source(dairy_disaster_payments(read[source]))
+        elif source in PRACTICE_PROGRAMS:
+            rows = practice_payments(read[source], PRACTICE_PROGRAMS[source], first, last)
+            found[source] = Source(_source_numbers(rows), practice_rejects(read[source], first, last))
+        elif source == "crp":
+            rows = reserve_payments(read[source], first, last)
+            found[source] = Source(_source_numbers(rows), reserve_rejects(read[source], first, last))
+        elif source in EASEMENT_PROGRAMS:
+            rows = easement_payments(read[source], EASEMENT_PROGRAMS[source], first, last)
+            found[source] = Source(_source_numbers(rows), easement_rejects(read[source], first, last))
+        elif source == "snap":
+            tables = read["snap_costs"], read["snap_participation"]
+            found[source] = Source(
+                costs_participation(*tables, first, nutrition_last), costs_participation_rejects(*tables, first, nutrition_last)
+            )
+        else:
+            rows = insurance_benefits(read[source], first, last)
+            found[source] = Source(_source_numbers(rows), insurance_rejects(read[source], first, last))
+    return found
 
-    commodity = []
-    if all(name in read for group in ARC_PLC.values() for name in group.values()):
-        tables = {
-            measure: {entity: read[name] for entity, name in group.items()} for measure, group in ARC_PLC.items()
-        }
-        commodity.append(arc_plc_payments(**tables, first=first, last=last))
-    if "dairy_disaster" in read:
-        commodity.append(dairy_disaster_payments(read["dairy_disaster"]))
-    if commodity:
-        result["commodity"] = union_missing(*commodity)
-
-    conservation = [
-        _source_numbers(practice_payments(read[name], program, first, last))
-        for name, program in PRACTICE_PROGRAMS.items()
-        if name in read
-    ]
-    if "crp" in read:
-        conservation.append(_source_numbers(reserve_payments(read["crp"], first, last)))
-    conservation += [
-        _source_numbers(easement_payments(read[name], program, first, last))
-        for name, program in EASEMENT_PROGRAMS.items()
-        if name in read
-    ]
-    if conservation:
-        result["conservation"] = conservation_union(*conservation)
-
-    if "snap_costs" in read and "snap_participation" in read:
-        result["nutrition"] = costs_participation(
-            read["snap_costs"], read["snap_participation"], first, nutrition_last
-        )
-    if "crop_insurance" in read:
-        result["insurance"] = _source_numbers(insurance_benefits(read["crop_insurance"], first, last))
+
+def source_payments(spark: SparkSession, paths: Mapping[str, str], *years: int) -> dict[str, DataFrame]:
+    """Payments of each title whose files are given, its sources put together."""
+    found = read_sources(spark, paths, *years)
+    result = {}
+    for title, names in TITLES.items():
+        frames = [found[name].payments for name in names if name in found]
+        if frames:
+            union = conservation_union if title == "conservation" else union_missing
+            result[title] = union(*frames)
     return result
 
 
+def _reject_rows(rows: DataFrame, step: str) -> DataFrame:
+    """Rejects of any layout in one: the step, the reason and the row as it came."""
+    others = [name for name in rows.columns if name != "reason"]
+    return rows.select(F.lit(step).alias("step"), F.col("reason"), F.to_json(F.struct(*[F.col(f"`{n}`") for n in others])).alias("row"))
+
+
+def load_source(name: str, source: Source, dims: Dimensions, entities: DataFrame, table: str, rejects_table: str) -> None:
+    """Judge a source once, as a stored table, and put its facts and rejects in place of what it held."""
+    spark = source.payments.sparkSession
+    judged_path = scratch_path(spark, f"judged-{name}")
+    # By status, so that either side reads its own files only.
+    judged = judge_payments(source.payments, dims, entities).withColumn("accepted", F.col("reason").isNull())
+    judged.write.partitionBy("accepted").parquet(judged_path)
+    rows = spark.read.schema(judged.schema).parquet(judged_path)
+    replace_source(accepted(rows.where("accepted").drop("accepted"), name), table, name)
+    left_out = _reject_rows(rejected(rows.where("NOT accepted").drop("accepted")), "load")
+    if source.left_out is not None:
+        left_out = left_out.unionByName(_reject_rows(source.left_out, "cleaning"))
+    left_out.write.mode("overwrite").parquet(f"{rejects_table.rstrip('/')}/source={name}")
+
+
+def open_facts(spark: SparkSession, table: str) -> DataFrame:
+    """The fact table with its source, by declared schema: also right while it has no rows."""
+    return spark.read.schema(T.StructType([*PAYMENTS.fields, T.StructField("source", T.StringType())])).parquet(table)
+
+
 def ingest(
     spark: SparkSession,
     paths: Mapping[str, str],
@@ -101,20 +182,17 @@ def ingest(
     first: int = 2014,
     last: int = 2023,
     nutrition_last: int = 2024,
-) -> DataFrame:
-    """Load every given source; loading a source again replaces its rows. Gives the fact table.
+) -> Load:
+    """Load every given source; other sources of the tables stay, and loading one again replaces its rows.
 
-    The entity dimension is built once, as a table, and each source is read and
-    judged once: accepted and rejected rows come from the same stored rows.
+    The entity dimension is built once, as a table. What the load leaves behind
+    is checked against all constraints of the fact table.
     """
-    known = 100
     entities = scratch_path(spark, "entities")
     entity_dimension(dims).write.parquet(entities)
-    for source, payments in source_payments(spark, paths, first, last, nutrition_last).items():
-        judged_path = scratch_path(spark, f"judged-{source}")
-        judge_payments(payments, dims, spark.read.parquet(entities)).write.parquet(judged_path)
-        judged = spark.read.parquet(judged_path)
-        replace_source(accepted(judged, known), table, source)
-        rejected(judged).write.mode("overwrite").parquet(f"{rejects_table.rstrip('/')}/source={source}")
-        known = next_id(spark.read.parquet(table))
-    return spark.read.parquet(table)
+    for name, source in read_sources(spark, paths, first, last, nutrition_last).items():
+        load_source(name, source, dims, spark.read.parquet(entities), table, rejects_table)
+    facts = open_facts(spark, table)
+    broken = {name: rows.count() for name, rows in check_facts(facts, dims).items()}
+    rejects = spark.read.schema(T.StructType([*REJECTS.fields, T.StructField("source", T.StringType())])).parquet(rejects_table)
+    return Load(facts, rejects, {name: n for name, n in broken.items() if n})

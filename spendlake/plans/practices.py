@@ -14,6 +14,7 @@ from spendlake.functions.scalars import normalise_code
 from spendlake.operators.combine import priority_merge, union_all
 from spendlake.operators.joins import match_contains
 from spendlake.operators.ordering import order_by_code
+from spendlake.sources.files import write_sorted_csv
 from spendlake.sources.literals import literal_relation
 
 _MERGED = T.StructType([T.StructField(name, T.StringType()) for name in ("practice_code", "practice_name", "source")])
@@ -114,3 +115,10 @@ def practice_lists(national: DataFrame, csp: DataFrame, eqip: DataFrame) -> Prac
         eqip_matches=matches(eqip),
         rejects=rejected,
     )
+
+
+def store_practice_lists(lists: PracticeLists, path: str) -> dict[str, str]:
+    """Write the four lists as CSV in order of their codes; the folder of each by its name."""
+    names = ("national", "csp", "eqip", "merged")
+    base = path.rstrip("/")
+    return {name: write_sorted_csv(getattr(lists, name), ["practice_code"], f"{base}/{name}") for name in names}

@@ -25,7 +25,7 @@ from spendlake.queries.proxies import (
     wide,
 )
 from spendlake.session import scratch_path
-from spendlake.sources.files import read_csv, read_lines, write_sorted_csv
+from spendlake.sources.files import csv_rejects, read_csv, read_lines, write_sorted_csv
 from spendlake.sources.literals import literal_relation
 from spendlake.sources.tables import append_facts, insert_if_absent, upsert
 
@@ -40,6 +40,34 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, part.schema)
 
 
+@QUERIES.add(
+    "src_csv_bad_rows",
+    "S1",
+    """SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN p_name || ', "' || p_type || '"' END AS label, NULL AS reason
+       FROM part WHERE p_size % 5 <> 0
+       UNION ALL
+       SELECT NULL, CAST(p_partkey AS VARCHAR) || ',x,y', 'more fields than headers' FROM part WHERE p_size % 5 = 0""",
+)
+def src_csv_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Quotes in quotes, rows with a field too few, and rows with one too many, in several files."""
+    quoted = F.concat(F.lit('"'), "p_name", F.lit(', ""'), "p_type", F.lit('"""'))
+    line = F.when(F.col("p_size") % 5 == 0, F.concat_ws(",", "p_partkey", F.lit("x"), F.lit("y")))
+    line = line.when(F.col("p_size") % 7 == 0, F.col("p_partkey").cast("string")).otherwise(F.concat_ws(",", "p_partkey", quoted))
+    paths = []
+    for half in (0, 1):
+        # A header on top of either file.
+        rows = table(spark, sf, "part").where(F.col("p_partkey") % 2 == half).select("p_partkey", line.alias("value"))
+        head = spark.createDataFrame([(-1, "p_partkey,label")], "p_partkey long, value string")
+        path = scratch_path(spark, "bad-csv")
+        head.unionByName(rows.withColumn("p_partkey", F.col("p_partkey").cast("long"))).coalesce(1).sortWithinPartitions("p_partkey").select("value").write.text(path)
+        paths.append(path)
+    kind = table(spark, sf, "part").schema["p_partkey"].dataType
+    schema = T.StructType([T.StructField("p_partkey", kind), T.StructField("label", T.StringType())])
+    kept = read_csv(spark, paths, schema, skip_surplus=True).withColumn("reason", F.lit(None).cast("string"))
+    left = csv_rejects(spark, paths).select(F.lit(None).cast(kind).alias("p_partkey"), F.col("line").alias("label"), "reason")
+    return kept.unionByName(left)
+
+
 @QUERIES.add(
     "src_lines",
     "S2",
@@ -390,7 +418,7 @@ def to_storage(spark: SparkSession, sf: str) -> DataFrame:
         FROM ({payments_sql()}) WHERE year BETWEEN 1996 AND 1998""",
 )
 def flt_years(spark: SparkSession, sf: str) -> DataFrame:
-    return doubles(filters.years(payments(spark, sf), 1996, 1998), "payment")
+    return doubles(filters.years(payments(spark, sf, years=(1996, 1998)), 1996, 1998), "payment")
 
 
 @QUERIES.add(

@@ -9,7 +9,10 @@ from spendlake.functions.parens import paren_depth as depth_of
 from spendlake.functions.scalars import normalise_code
 from spendlake.operators import quality
 from spendlake.operators.combine import union_all
+from spendlake.operators.joins import entity_dimension
+from spendlake.operators.ordering import with_position
 from spendlake.plans import commodity, conservation, dimensions, facts, insurance, nutrition, practices
+from spendlake.plans.ingest import Source, load_source, open_facts
 from spendlake.queries import Registry
 from spendlake.queries.proxies import (
     CELLS_SQL,
@@ -28,12 +31,15 @@ from spendlake.queries.proxies import (
     money,
     padded_code,
     payments,
+    stored,
     supplier_lines,
     table,
     wide,
 )
 from spendlake.queries.proxies import dimensions as proxy_dimensions
 from spendlake.queries.resolving import MIXED_SQL, mixed_entities
+from spendlake.session import scratch_path
+from spendlake.sources.files import read_csv
 
 QUERIES = Registry()
 
@@ -501,6 +507,45 @@ def practice_lists(spark: SparkSession, sf: str) -> DataFrame:
     return practices.practice_lists(*_list_sources(spark, sf)).merged
 
 
+@QUERIES.add(
+    "practice_list_files",
+    "L9",
+    f"""SELECT 'merged' AS list, practice_code, practice_name, source AS detail,
+               row_number() OVER (ORDER BY practice_code, practice_name, source) AS position
+        FROM (SELECT practice_code, practice_name, source FROM (
+                  SELECT * FROM ({_LIST_CODES})
+                  QUALIFY row_number() OVER (PARTITION BY practice_code ORDER BY rank, p_partkey) = 1)
+              UNION ALL VALUES ('OTP', 'Other Payment', 'CSP'), ('EUP', 'Erroneous Underpayment', 'CSP'),
+                               ('ERP', 'Equitable Relief Payment', 'CSP'))
+        UNION ALL
+        SELECT 'national', k, practice_name, p_type, row_number() OVER (ORDER BY k, practice_name, p_type)
+        FROM ({_LIST_CODES}) WHERE turn = 0""",
+)
+def practice_list_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of the four files, read back with the place of each line."""
+    found = practices.practice_lists(*_list_sources(spark, sf))
+    paths = practices.store_practice_lists(found, scratch_path(spark, "practice-lists"))
+    frames = []
+    for name, detail in (("merged", "source"), ("national", "practice_unit")):
+        rows = with_position(read_csv(spark, paths[name], order="ord"), "ord")
+        columns = [F.lit(name).alias("list"), "practice_code", "practice_name", F.col(detail).alias("detail"), "position"]
+        frames.append(rows.select(*columns))
+    return union_all(*frames)
+
+
+@QUERIES.add(
+    "seed_practices_last_wins",
+    "L10",
+    """SELECT p_name AS code, max_by(p_brand, p_partkey) AS name FROM part GROUP BY p_name""",
+)
+def seed_practices_last_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """A list with many lines per code: the last line of the file counts."""
+    lines = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("ord"), F.col("p_name").alias("practice_code"), F.col("p_brand").alias("practice_name"), F.lit("X").alias("source")
+    )
+    return dimensions.seed_practices(lines).select("code", "name")
+
+
 @QUERIES.add(
     "practice_matches",
     "L9",
@@ -570,7 +615,7 @@ def seed_dims(spark: SparkSession, sf: str) -> DataFrame:
 _LOAD_SQL = f"""
 WITH {DIMENSIONS_SQL},
 source AS (
-    SELECT l_orderkey, l_linenumber, entity_type, entity_name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state_code,
+    SELECT l_orderkey, l_linenumber, l_returnflag, entity_type, entity_name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state_code,
            CAST(year(l_shipdate) AS INT) AS year, CAST(l_extendedprice AS DECIMAL(14,2)) * 1.005 AS amount,
            CAST(l_quantity + 0.5 AS DECIMAL(14,2)) AS recipient_count,
            CASE WHEN entity_type = 'program' THEN 'E' || CAST(l_partkey % 700 AS VARCHAR) || 'X' END AS variant,
@@ -592,11 +637,12 @@ judged AS (
 """
 
 
-def _judged(spark: SparkSession, sf: str) -> DataFrame:
+def _load_rows(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     kinds = table(spark, sf, "part").select("p_partkey", "p_type")
     lines = mixed_entities(supplier_lines(spark, sf)).join(kinds, F.col("l_partkey") == F.col("p_partkey"))
     category = F.when((F.col("l_linestatus") == "F") & (F.col("l_suppkey") < 3), F.col("p_type"))
-    rows = lines.select(
+    return lines.select(
+        *extra,
         "entity_type",
         "entity_name",
         padded_code("s_nationkey").alias("state_code"),
@@ -606,7 +652,10 @@ def _judged(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("E"), (F.col("l_partkey") % 700).cast("string"), F.lit("X")).alias("practice_code"),
         category.alias("practice_category"),
     )
-    return facts.judge_payments(rows, proxy_dimensions(spark, sf))
+
+
+def _judged(spark: SparkSession, sf: str) -> DataFrame:
+    return facts.judge_payments(_load_rows(spark, sf), proxy_dimensions(spark, sf))
 
 
 @QUERIES.add(
@@ -642,3 +691,45 @@ def load_facts(spark: SparkSession, sf: str) -> DataFrame:
 @QUERIES.add("load_rejects", "L11", f"{_LOAD_SQL} SELECT reason, count(*) AS row_count FROM judged WHERE reason IS NOT NULL GROUP BY reason")
 def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return facts.rejected(_judged(spark, sf)).groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _load_by_flag(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Line items as one source per return flag, each loaded in a call of its own and the first one twice."""
+    dims = proxy_dimensions(spark, sf)
+    entities = stored(entity_dimension(dims), "entities")
+    rows = _load_rows(spark, sf, "l_returnflag")
+    base = scratch_path(spark, "load")
+    for flag in [*FLAGS, FLAGS[0]]:
+        own = rows.where(F.col("l_returnflag") == flag).drop("l_returnflag")
+        # Early years are what a cleaning step would leave out.
+        early = own.where("year < 1996").select("state_code", "year", F.lit("year out of range").alias("reason"))
+        load_source(flag, Source(own.where("year >= 1996"), early), dims, entities, f"{base}/facts", f"{base}/rejects")
+    rejects = spark.read.schema("step string, reason string, row string, source string").parquet(f"{base}/rejects")
+    return open_facts(spark, f"{base}/facts"), rejects
+
+
+@QUERIES.add(
+    "load_in_steps",
+    "L11",
+    f"""{_LOAD_SQL} SELECT l_returnflag AS source, count(*) AS row_count, count(*) AS id_count,
+                           CAST(sum(round(amount, 2)) AS DOUBLE) AS payment
+        FROM judged WHERE reason IS NULL AND year >= 1996 GROUP BY l_returnflag""",
+)
+def load_in_steps(spark: SparkSession, sf: str) -> DataFrame:
+    loaded, _ = _load_by_flag(spark, sf)
+    sums = loaded.groupBy("source").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("id").alias("id_count"), F.sum("payment").alias("payment")
+    )
+    return doubles(sums, "payment")
+
+
+@QUERIES.add(
+    "load_all_rejects",
+    "L11",
+    f"""{_LOAD_SQL} SELECT l_returnflag AS source, CASE WHEN year < 1996 THEN 'year out of range' ELSE reason END AS reason,
+                           CASE WHEN year < 1996 THEN 'cleaning' ELSE 'load' END AS step, count(*) AS row_count
+        FROM judged WHERE reason IS NOT NULL OR year < 1996 GROUP BY ALL""",
+)
+def load_all_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejects = _load_by_flag(spark, sf)
+    return rejects.groupBy("source", "reason", "step").agg(F.count(F.lit(1)).alias("row_count"))

@@ -58,9 +58,16 @@ def payments(
     hierarchy: bool = False,
     state: bool = False,
     part: bool = False,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Line items as payments, with the parts asked for and further line item columns."""
+    """Line items as payments, with the parts asked for and further line item columns.
+
+    ``years`` bounds the ship dates, a range that reaches the scan.
+    """
     lines = table(spark, sf_dir, "lineitem")
+    if years:
+        first, last = (F.lit(f"{year}-01-01").cast(lines.schema["l_shipdate"].dataType) for year in (years[0], years[1] + 1))
+        lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < last))
     columns = [
         F.col("l_orderkey"),
         F.col("l_linenumber"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendlake.functions import scalars as S
 from spendlake.operators import combine, joins, reshape
-from spendlake.operators.ordering import order_by_code, rank_report, with_position
+from spendlake.operators.ordering import numbered, order_by_code, rank_report
 from spendlake.plans import reports
 from spendlake.queries import Registry
 from spendlake.queries.proxies import (
@@ -259,13 +259,11 @@ def facts_with_dim(spark: SparkSession, sf: str) -> DataFrame:
     "match_contains",
     "J11",
     """SELECT p_partkey, p_brand, CAST(n_nationkey AS VARCHAR) AS matched_code
-       FROM part LEFT JOIN nation ON contains(p_brand, CAST(n_nationkey AS VARCHAR)) AND n_nationkey >= 5
+       FROM part LEFT JOIN nation ON contains(p_brand, CAST(n_nationkey AS VARCHAR))
        QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY n_nationkey) = 1""",
 )
 def match_contains(spark: SparkSession, sf: str) -> DataFrame:
-    listed = table(spark, sf, "nation").where("n_nationkey >= 5").select(
-        F.col("n_nationkey").cast("string").alias("code"), "n_nationkey"
-    )
+    listed = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("code"), "n_nationkey")
     part = table(spark, sf, "part").select("p_partkey", "p_brand")
     return joins.match_contains(part, listed, "p_brand", "code", "n_nationkey")
 
@@ -308,17 +306,17 @@ def first_by_key(spark: SparkSession, sf: str) -> DataFrame:
     "priority_merge",
     "U4",
     """SELECT p_name, p_partkey, source FROM (
-           SELECT p_name, p_partkey, 'first' AS source, 0 AS rank FROM part WHERE p_type = 'SMALL' AND p_size < 10
-           UNION ALL SELECT p_name, p_partkey, 'second', 1 FROM part WHERE p_type = 'LARGE' AND p_size < 10
-           UNION ALL SELECT p_name, p_partkey, 'third', 2 FROM part WHERE p_type = 'PROMO')
+           SELECT p_name, p_partkey, 'first' AS source, 0 AS rank FROM part WHERE p_size % 3 = 0
+           UNION ALL SELECT p_name, p_partkey, 'second', 1 FROM part WHERE p_size % 3 = 1
+           UNION ALL SELECT p_name, p_partkey, 'third', 2 FROM part WHERE p_size % 3 = 2)
        QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY rank, p_partkey) = 1""",
 )
 def priority_merge(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     slices = [
-        (part.where("p_type = 'SMALL' AND p_size < 10"), "first"),
-        (part.where("p_type = 'LARGE' AND p_size < 10"), "second"),
-        (part.where("p_type = 'PROMO'"), "third"),
+        (part.where("p_size % 3 = 0"), "first"),
+        (part.where("p_size % 3 = 1"), "second"),
+        (part.where("p_size % 3 = 2"), "third"),
     ]
     sources = [(frame.select("p_name", "p_partkey"), tag) for frame, tag in slices]
     return combine.priority_merge(sources, ["p_name"], ["p_partkey"])
@@ -336,7 +334,7 @@ _BY_TITLE = f"({payments_sql(hierarchy=True, state=True)}) WHERE title_id = 100"
         WHERE title_id = 100 AND year >= 1996 AND year <= 1998""",
 )
 def total(spark: SparkSession, sf: str) -> DataFrame:
-    facts = payments(spark, sf, hierarchy=True)
+    facts = payments(spark, sf, hierarchy=True, years=(1996, 1998))
     return doubles(reports.total(facts, "title", 100, 1996, 1998), "total_payments")
 
 
@@ -347,7 +345,7 @@ def total(spark: SparkSession, sf: str) -> DataFrame:
         FROM {_BY_TITLE} AND year >= 1996 AND year <= 1998 GROUP BY state_code ORDER BY 2 DESC""",
 )
 def state_totals(spark: SparkSession, sf: str) -> DataFrame:
-    facts = payments(spark, sf, hierarchy=True, state=True)
+    facts = payments(spark, sf, hierarchy=True, state=True, years=(1996, 1998))
     return doubles(reports.state_totals(facts, "title", 100, 1996, 1998), "total_payments")
 
 
@@ -366,7 +364,7 @@ _SHARE_COLUMNS = ["total_payment_in_dollars", "total_payment_in_percentage_natio
         WHERE title_id = 100 AND year BETWEEN 1996 AND 1998 GROUP BY state_code, r_name""",
 )
 def state_share(spark: SparkSession, sf: str) -> DataFrame:
-    facts = payments(spark, sf, hierarchy=True, state=True)
+    facts = payments(spark, sf, hierarchy=True, state=True, years=(1996, 1998))
     titles = dimensions(spark, sf).titles
     return doubles(reports.state_share(facts, titles, "title", 100, 1996, 1998), *_SHARE_COLUMNS)
 
@@ -431,10 +429,38 @@ def program_state_totals_leaf(spark: SparkSession, sf: str) -> DataFrame:
 # Sorts ---------------------------------------------------------------------
 
 
+def place_in_output(report: DataFrame, measure: str) -> DataFrame:
+    """The rows of a report in the order they come, numbered; equal values share the first place among them."""
+    return numbered(report).withColumn("position", F.min("position").over(Window.partitionBy(measure)))
+
+
+def _ranked(level: str, *extra: str) -> str:
+    return f"""SELECT state_code AS state, CAST(sum(payment) AS DOUBLE) AS total_payments,
+                       rank() OVER (ORDER BY sum(payment) DESC NULLS FIRST) AS position
+                FROM ({payments_sql(*extra, hierarchy=True, state=True)})
+                WHERE {level} AND year BETWEEN 1996 AND 1998 GROUP BY state_code"""
+
+
+@QUERIES.add("state_totals_subtitle", "A2", _ranked("subtitle_id = 103"))
+def state_totals_subtitle(spark: SparkSession, sf: str) -> DataFrame:
+    facts = payments(spark, sf, hierarchy=True, state=True, years=(1996, 1998))
+    totals = place_in_output(reports.state_totals(facts, "subtitle", 103, 1996, 1998), "total_payments")
+    return doubles(totals, "total_payments")
+
+
+@QUERIES.add("state_totals_sub_program", "A2", _ranked("program_id = 102 AND l_returnflag = 'R'", "l_returnflag"))
+def state_totals_sub_program(spark: SparkSession, sf: str) -> DataFrame:
+    lines = payments(spark, sf, "l_returnflag", hierarchy=True, state=True, years=(1996, 1998))
+    place = F.array_position(F.array(*[F.lit(flag) for flag in FLAGS]), F.col("l_returnflag")) - 1
+    facts = lines.withColumn("sub_program_id", (F.col("program_id") - 100) * 3 + place + 100)
+    totals = place_in_output(reports.state_totals(facts, "sub_program", 2 * 3 + 2 + 100, 1996, 1998), "total_payments")
+    return doubles(totals, "total_payments")
+
+
 @QUERIES.add(
     "rank_report",
     "O1",
-    f"""SELECT state, total_payments, row_number() OVER (ORDER BY total_payments DESC NULLS FIRST, state) AS position
+    f"""SELECT state, total_payments, rank() OVER (ORDER BY total_payments DESC NULLS FIRST) AS position
         FROM (SELECT s_name AS state, CAST(CASE WHEN s_name NOT LIKE '%3' THEN sum(payment) END AS DOUBLE)
                      AS total_payments
               FROM ({payments_sql(hierarchy=True)}) JOIN supplier ON program_id = s_suppkey + 100 GROUP BY s_name)""",
@@ -446,7 +472,7 @@ def rank_of_report(spark: SparkSession, sf: str) -> DataFrame:
     named = joins.with_name(sums, programs, "program_id", "state").select(
         "state", F.when(~F.col("state").like("%3"), F.col("payment")).cast("double").alias("total_payments")
     )
-    return with_position(rank_report(named, "total_payments"), F.desc_nulls_first("total_payments"), "state")
+    return place_in_output(rank_report(named, "total_payments"), "total_payments")
 
 
 @QUERIES.add(
@@ -458,4 +484,4 @@ def rank_of_report(spark: SparkSession, sf: str) -> DataFrame:
 def order_of_codes(spark: SparkSession, sf: str) -> DataFrame:
     code = F.concat_ws("-", "p_brand", (F.col("p_partkey") % 700).cast("string"))
     codes = table(spark, sf, "part").select(code.alias("practice_code")).distinct()
-    return with_position(order_by_code(codes), "practice_code")
+    return numbered(order_by_code(codes))

@@ -12,18 +12,72 @@ from spendlake.fixed_values import MISSING_TEXTS
 from spendlake.functions import scalars as S
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+# A comma outside quotes: an even number of quotes follows it.
+_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_MISFIT = "_misfit"
+
+
+def _raw_csv(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:
+    """The header, and all rows as text with the line of those whose fields are not as many as the headers.
+
+    Every file is checked for the header of the first one.
+    """
+    quoted = spark.read.option("header", True).option("escape", '"')
+    headers = quoted.csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*headers, _MISFIT]])
+    options = {"enforceSchema": False, "columnPruning": False, "columnNameOfCorruptRecord": _MISFIT, "mode": "PERMISSIVE"}
+    # The reader wants a field to be asked for besides the line itself; this one is always true.
+    field = F.coalesce(F.length(S.named(headers[0])) >= 0, F.lit(True))
+    return headers, quoted.schema(schema).options(**options).csv(path).where(field)
+
+
+def _surplus(headers: Sequence[str]) -> Column:
+    return F.coalesce(F.size(F.split(_MISFIT, _COMMA)) > len(headers), F.lit(False))
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    *,
+    skip_surplus: bool = False,
+    order: str | None = None,
+) -> DataFrame:
     """A CSV with a header line.
 
     Types are declared, not inferred: with a schema its columns are picked by
     trimmed header and converted, bad text being an error. Without one every
-    column comes as text under its raw header.
+    column comes as text under its raw header. A row with missing fields has
+    nulls there. A row with surplus fields is an error, or with
+    ``skip_surplus`` left to ``csv_rejects``. ``order`` names a further column
+    that sorts the rows by file and place in it.
     """
-    raw = spark.read.option("header", True).csv(path)
+    headers, raw = _raw_csv(spark, path)
+    if skip_surplus:
+        raw = raw.where(~_surplus(headers))
+    else:
+        error = F.raise_error(F.concat(F.lit("more fields than headers: "), F.col(_MISFIT)))
+        raw = raw.where(F.when(_surplus(headers), error.cast("boolean")).otherwise(True))
     if schema is None:
-        return raw.select([S.missing_to_null(name, MISSING_TEXTS).alias(name) for name in raw.columns])
-    headers = {name.strip(): name for name in raw.columns}
-    return raw.select([_typed(headers[field.name], field).alias(field.name) for field in schema.fields])
+        columns = [S.missing_to_null(name, MISSING_TEXTS).alias(name) for name in headers]
+    else:
+        spelled = {name.strip(): name for name in headers}
+        columns = [_typed(spelled[field.name], field).alias(field.name) for field in schema.fields]
+    return raw.select(*columns, *([_place().alias(order)] if order else []))
+
+
+def csv_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines that ``read_csv`` does not take, with the reason."""
+    headers, raw = _raw_csv(spark, path)
+    return raw.where(_surplus(headers)).select(F.lit("more fields than headers").alias("reason"), F.col(_MISFIT).alias("line"))
+
+
+def _place() -> Column:
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
 
 
 def _typed(header: str, field: T.StructField) -> Column:
@@ -33,12 +87,7 @@ def _typed(header: str, field: T.StructField) -> Column:
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The lines of text files with ``ord``, which sorts them by file and place in it."""
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    return spark.read.text(path).select(F.col("value").alias("line"), place.alias("ord"))
+    return spark.read.text(path).select(F.col("value").alias("line"), _place().alias("ord"))
 
 
 def write_sorted_csv(df: DataFrame, keys: Sequence[str], path: str) -> str:

@@ -45,7 +45,7 @@ def dims(spark, paths, tmp_path_factory):
 def facts(spark, paths, dims, tmp_path_factory):
     base = tmp_path_factory.mktemp("golden")
     given = {name: path for name, path in paths.items() if name not in LISTS}
-    return ingest(spark, given, dims, str(base / "facts"), str(base / "rejects"))
+    return ingest(spark, given, dims, str(base / "facts"), str(base / "rejects")).facts
 
 
 def sums(df, *columns):

@@ -12,8 +12,8 @@ from spendlake import fixed_values as V
 from spendlake import schemas
 from spendlake.plans import commodity, conservation, reports
 from spendlake.plans.dimensions import open_dimensions, seed_dimensions, store_dimensions
-from spendlake.plans.facts import check_dimensions, check_facts, load_facts, next_id
-from spendlake.plans.ingest import ingest, source_payments
+from spendlake.plans.facts import check_dimensions, check_facts, load_facts
+from spendlake.plans.ingest import ingest, read_sources, source_payments
 from spendlake.sources.files import read_csv
 
 
@@ -43,9 +43,13 @@ def loaded(spark, files, dims, tmp_path_factory):
     def load():
         return ingest(spark, paths, dims, table, rejects, 2014, 2016, 2016)
 
-    first = load().groupBy("source").agg(F.count("*"), F.sum("payment")).collect()
+    once = load()
+    first = once.facts.groupBy("source").agg(F.count("*"), F.sum("payment")).collect()
+    ids = {row.id for row in once.facts.select("id").collect()}
     # All further tests look at the second load of the same files.
-    return load(), spark.read.parquet(rejects), first
+    again = load()
+    assert again.broken == {} and {row.id for row in again.facts.select("id").collect()} == ids
+    return again.facts, again.rejects, first
 
 
 def text(*names):
@@ -219,27 +223,71 @@ def test_seeding_adds_what_is_missing(spark, files, dims, rows):
 
 def test_load(loaded, rows):
     facts, rejected, _ = loaded
-    assert rows(facts.groupBy("source").count()) == [
-        ("commodity", 20),
-        ("conservation", 20),
-        ("insurance", 2),
-        ("nutrition", 6),
+    counts = dict(rows(facts.groupBy("source").count()))
+    assert (counts["crop_insurance"], counts["snap"], counts["arc_plc"] + counts["dairy_disaster"]) == (2, 6, 20)
+    assert sum(counts[name] for name in ("eqip", "csp", "crp", "acep", "rcpp") if name in counts) == 20
+    at_load = rejected.where("step = 'load'")
+    assert rows(at_load.groupBy("reason").count()) == [
+        ("state code missing", 1),
+        ("unknown entity name", 1),
+        ("unknown practice category", 1),
+        ("unknown practice code", 1),
+        ("unknown state code", 1),
     ]
-    assert rows(rejected.groupBy("source", "reason").count()) == [
-        ("commodity", "state code missing", 1),
-        ("commodity", "unknown entity name", 1),
-        ("conservation", "unknown practice category", 1),
-        ("conservation", "unknown practice code", 1),
-        ("insurance", "unknown state code", 1),
+
+
+def test_cleaning_rejects_are_loaded_with_their_reason(spark, files, loaded, rows):
+    _, rejected, _ = loaded
+    cleaned = rejected.where("step = 'cleaning'")
+    assert rows(cleaned.where("source = 'eqip'"), "reason") == [("amount missing",), ("unknown state",), ("year out of range",)]
+    assert rows(cleaned.where("source = 'crp'").groupBy("reason").count()) == [
+        ("amount missing", 1), ("unknown state", 14), ("year out of range", 7)
     ]
+    # Every row read is a fact or a reject.
+    for name in ("eqip", "acep", "crop_insurance"):
+        read = read_csv(spark, files[name]).count()
+        kept = loaded[0].where(F.col("source") == name).count()
+        assert kept + rejected.where(F.col("source") == name).count() == read, name
+
+
+def test_sources_loaded_one_after_another_stay(spark, files, dims, tmp_path, rows):
+    table, rejects = str(tmp_path / "facts"), str(tmp_path / "rejects")
+    for name in ("eqip", "crp", "crop_insurance"):
+        result = ingest(spark, {name: files[name]}, dims, table, rejects, 2014, 2016, 2016)
+    assert [name for name, _ in rows(result.facts.groupBy("source").count())] == ["crop_insurance", "crp", "eqip"]
+    assert result.facts.select("id").distinct().count() == result.facts.count() and result.broken == {}
+
+
+def test_a_source_of_rejects_only(spark, dims, tmp_path, files):
+    header = open(files["crop_insurance"]).readline()
+    (tmp_path / "none.csv").write_text(header)
+    result = ingest(spark, {"crop_insurance": str(tmp_path / "none.csv")}, dims, str(tmp_path / "f"), str(tmp_path / "r"), 2014, 2016, 2016)
+    assert result.facts.count() == 0 and result.rejects.count() == 0
+
+
+def test_unknown_names_and_sources_in_part_are_errors(spark, files):
+    with pytest.raises(ValueError, match="unknown source files: eqqip"):
+        read_sources(spark, {"eqqip": files["eqip"]})
+    with pytest.raises(ValueError, match="snap lacks the files snap_participation"):
+        read_sources(spark, {"snap_costs": files["snap_costs"]})
+
+
+def test_rows_of_equal_key_have_ids_of_their_own(spark, dims):
+    payments = spark.createDataFrame(
+        [("program", V.PLC, "IA", 2014, 1.0)] * 3 + [("program", V.PLC, "IA", 2015, 1.0)],
+        "entity_type string, entity_name string, state_code string, year int, amount double",
+    )
+    facts, _ = load_facts(payments, dims, "x")
+    assert facts.select("id").distinct().count() == 4
+    # Another source has other ids for the same rows.
+    other, _ = load_facts(payments, dims, "y")
+    assert facts.join(other, "id").count() == 0
 
 
-def test_load_types_and_ids(loaded):
+def test_load_types(loaded):
     facts, _, _ = loaded
     kinds = {field.name: field.dataType for field in schemas.PAYMENTS}
     assert {field.name: field.dataType for field in facts.schema if field.name != "source"} == kinds
-    assert facts.select("id").distinct().count() == facts.count()
-    assert next_id(facts) == facts.agg(F.max("id")).first()[0] + 1
 
 
 def test_load_values(loaded, rows):
@@ -351,6 +399,37 @@ def test_program_totals(spark, few_facts, rows):
     assert rows(one, "state") == [("AL",)]
 
 
+def test_storing_dimensions_where_they_are_read_from(spark, files, dims, tmp_path, rows):
+    path = str(tmp_path / "dims")
+    first = store_dimensions(dims, path)
+    again = store_dimensions(seed_dimensions(spark, read_csv(spark, files["practices"]), existing=open_dimensions(spark, path)), path)
+    for name in dims.__dataclass_fields__:
+        assert rows(getattr(again, name)) == rows(getattr(first, name)), name
+    assert rows(again.titles.where("description IS NULL")) == []
+
+
+def test_last_line_of_a_practice_code_wins(spark, tmp_path, rows):
+    from spendlake.plans.dimensions import seed_practices
+
+    (tmp_path / "list.csv").write_text("practice_code,practice_name,source\n384,Zeta,X\n385,Beta,X\n384,Alpha,X\n")
+    merged = read_csv(spark, str(tmp_path / "list.csv"), order="ord")
+    assert rows(seed_practices(merged), "code", "name") == [("384", "Alpha"), ("385", "Beta")]
+
+
+def test_csv_rows_that_do_not_fit_their_header(spark, tmp_path, rows):
+    from spendlake.sources.files import csv_rejects
+
+    one, two = tmp_path / "one.csv", tmp_path / "two.csv"
+    one.write_text('a,b\n1,"x ""y"" z"\n3,4,5\n6\n')
+    assert rows(read_csv(spark, str(one), skip_surplus=True)) == [("1", 'x "y" z'), ("6", None)]
+    assert rows(csv_rejects(spark, str(one)), "line") == [("3,4,5",)]
+    with pytest.raises(Exception, match="more fields than headers"):
+        read_csv(spark, str(one)).collect()
+    two.write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, [str(one), str(two)], skip_surplus=True).collect()
+
+
 def test_dimension_tables_open_again(spark, dims, tmp_path, rows):
     store_dimensions(dims, str(tmp_path))
     assert rows(open_dimensions(spark, str(tmp_path)).titles, "id") == [(100,), (101,), (102,), (103,)]
