@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.text import KEY, keyed, same_key, stored
+from spendlake.llm.text import KEY, keyed, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 5
@@ -188,7 +188,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     chosen = docs.sparkSession.sparkContext.broadcast(few)
     if few is None:
         own = _terms_of(source, revealing).groupBy(*KEY).agg(F.collect_set("term").alias("own"))
-        source = source.join(own, same_key(source, own), "left").select(source["k_id"], source["k_text"], "text", "own")
+        own = own.withColumnsRenamed({"k_id": "own_id", "k_text": "own_text"})
+        same = F.col("k_id").eqNullSafe(F.col("own_id")) & (F.col("k_text") == F.col("own_text"))
+        source = source.join(own, same, "left").select(*KEY, "text", "own")
     else:
         source = source.withColumn("own", F.lit(None).cast("array<string>"))
     counts = ", ".join(f"n_{kind} long" for kind in KINDS)
