@@ -10,10 +10,9 @@ fitted weights are its relative frequency: counts over all training documents,
 less a discount that goes to the class's unseen words as one word.
 
 Weights are fitted by distributed gradient updates: in every round each task
-starts from the same weights, runs Adagrad over its share of the training
-sample, and the rows of the weight table are averaged, each weighted by how
-often a task saw the feature. The sample is ``SAMPLE`` of the training
-documents, and all of them in a corpus of fewer than ``SAMPLE_TOKENS`` tokens.
+starts from the same weights, runs Adagrad over its partition of the training
+documents, and the rows of the weight table are averaged, each weighted by how
+often a task saw the feature. All training documents are read in every round.
 Texts are scored whole in numpy batches.
 
 The counts are a table. The ``HEAD`` most frequent words of it go to every
@@ -46,10 +45,9 @@ ENDINGS = 64
 CLASSES = SINGLE + ENDINGS
 ROWS = 1 << 13
 HEAD = 200_000
-SAMPLE = 0.03
-SAMPLE_TOKENS = 2_000_000
 ROUNDS = 2
-TRAIN_TASKS = 24
+# Parts of the weight table that are summed apart.
+SHARDS = 12
 RATE = 0.25
 BATCH = 1_024
 DISCOUNT = 0.5
@@ -225,7 +223,8 @@ Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
 def add_rows(a: Rows, b: Rows) -> Rows:
     """The sum of two sparse tables (row numbers, rows, times seen)."""
     hit = np.union1d(a[0], b[0])
-    rows, seen = np.zeros((len(hit), CLASSES), dtype=np.float32), np.zeros(len(hit), dtype=np.float32)
+    # Doubles, so that the order of the tasks does not show in the weights.
+    rows, seen = np.zeros((len(hit), a[1].shape[1])), np.zeros(len(hit))
     for own, more, times in (a, b):
         at = np.searchsorted(hit, own)
         rows[at] += more
@@ -255,27 +254,28 @@ def read_texts(reader: Reader, texts: Iterable[str | None]) -> Iterator[tuple[li
 
 
 def trained(docs: DataFrame, head: Head) -> np.ndarray:
-    """The weights after all rounds over a sample of keyed training documents."""
+    """The weights after all rounds over all keyed training documents, a task per partition of them."""
     spark = docs.sparkSession
-    share = max(SAMPLE, min(1.0, SAMPLE_TOKENS / max(head.total, 1)))
-    drawn = F.pmod(F.xxhash64(F.lit("lm"), *KEY), F.lit(1_000_000)) < int(share * 1_000_000)
-    sample = docs.filter(drawn).select("text").repartition(TRAIN_TASKS)
-    sample = stored(sample, "lm-sample")
+    texts = docs.select("text")
     shared_head = spark.sparkContext.broadcast(vars(head))
     weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
     for _ in range(ROUNDS if head.total else 0):
         current = spark.sparkContext.broadcast(weights)
 
-        def update(rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def update(rows) -> Iterator[tuple[int, Rows]]:
             reader = Reader(Head(**shared_head.value))
             chunks = read_texts(reader, (row.text for row in rows))
             new, seen = fit(current.value, ((c[3], c[5]) for c in chunks))
             hit = np.flatnonzero(seen)
-            yield hit, new[hit] * seen[hit][:, None], seen[hit]
+            for shard in range(SHARDS):
+                own = hit[hit % SHARDS == shard]
+                if len(own):
+                    yield shard, (own, new[own] * seen[own][:, None], seen[own])
 
-        hit, summed, seen = sample.rdd.mapPartitions(update).treeReduce(add_rows)
         weights = weights.copy()
-        weights[hit] = summed / np.maximum(seen, 1)[:, None]
+        # Every shard of the table is summed by a task of its own, so the driver gets the table once.
+        for _, (hit, summed, seen) in texts.rdd.mapPartitions(update).reduceByKey(add_rows, SHARDS).collect():
+            weights[hit] = summed / seen[:, None]
     return weights
 
 

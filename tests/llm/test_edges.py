@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from spendlake.llm import decontaminate, language_id, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, url_filter
 from spendlake.llm.queries import MIX_LEVELS, MIX_WEIGHTS
+from spendlake.llm.text import keyed
 
 LONG = " ".join(f"wort{n % 4000} and{n % 77}" for n in range(60_000))
 SHADES = ("red", "blue", "green", "gold", "black", "white")
@@ -121,6 +123,17 @@ def test_lm(odd):
     assert lm.scores(odd.limit(0), F.lit(True)).count() == 0
 
 
+def test_lm_trains_on_all_documents_of_a_large_corpus(spark):
+    """Every document leaves weights behind, however many tokens the corpus is said to hold."""
+    rows = [(n, f"left{n} right{n} left{n} right{n}") for n in range(60)]
+    docs = keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    head = dataclasses.replace(lm.vocabulary_head(lm.count_words(docs)), total=10**9)
+    weights, reader = lm.trained(docs, head), lm.Reader(head)
+    for _, text in rows:
+        for *_, found in lm.read_texts(reader, [text]):
+            assert all(weights[own].any(axis=-1).all() for own in found)
+
+
 def test_language(odd):
     rows = language_id.identify(odd, F.lit(True)).select("doc_id", "text", "language.*").collect()
     assert len(rows) == odd.count()
