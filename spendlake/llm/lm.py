@@ -1,13 +1,18 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-log P(text) is the sum over its words and its end of log P(class | history) and
-log P(word | class). The class model is a softmax over hashed features of the
-history: the previous word, the one before it (a skip), both together, and the
-classes of both. The most frequent words are classes of their own; all others
-share a class with the words of the same hashed ending, so an unseen word has a
-class as well. Within a class a word's only feature is itself, for which the
-fitted weights are its relative frequency: counts over all training documents,
-less a discount that goes to the class's unseen words as one word.
+log P(text) is the sum over its words and its end of log P(word | history). The
+words are the leaves of a tree of classes, in which a node has up to ``WIDTH``
+sub-classes: P(word | history) is the product of the softmax of every node on
+the way. Each of them has hashed features of the history: the previous word, the
+one before it (a skip), both together, and the coarse classes of both; a row of
+the weight table belongs to a feature and a node. So the history chooses between
+all words of the tree. Without features a node gives its sub-classes their
+relative frequency. The tree is a Huffman tree: frequent words are near its root.
+
+The tree has the ``HEAD`` most frequent words and ``ENDINGS`` leaves for the
+training words outside of the head, by hashed ending. Within such a leaf a word
+has its relative frequency. A discount of all counts goes to the words unseen in
+training, one word per ending, without history.
 
 Weights are fitted by distributed gradient updates: in every round each task
 starts from the same weights, runs Adagrad over its partition of the training
@@ -20,7 +25,7 @@ task; for all other words of a document the table is joined, once per document
 and word, so the vocabulary may be of any size.
 
 Defined results: a null or empty text is its end alone; without training
-documents every count is zero and every class equally likely; equal counts are
+documents every count is zero and every ending equally likely; equal counts are
 ordered by word; rows are scored one by one, and rows that repeat id and text
 have the same score; further columns are not read.
 """
@@ -28,9 +33,10 @@ have the same score; further columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from zlib import crc32
 
 import numpy as np
@@ -42,8 +48,9 @@ from spendlake.llm.text import KEY, keyed, stored
 
 SINGLE = 63
 ENDINGS = 64
-CLASSES = SINGLE + ENDINGS
-ROWS = 1 << 13
+WIDTH = 16
+ROW_BITS = 18
+ROWS = 1 << ROW_BITS
 HEAD = 200_000
 ROUNDS = 2
 # Parts of the weight table that are summed apart.
@@ -83,26 +90,56 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Head:
-    """The most frequent words: their counts by falling count, and the totals of all words."""
+    """The most frequent words: their counts by falling count, the totals of all words, and the tree."""
 
     words: list[bytes]
     counts: np.ndarray
     total: int
     distinct: int
-    # Tokens and distinct words of every class.
-    class_tokens: np.ndarray
-    class_words: np.ndarray
+    # By ending: tokens of the words outside the head, and distinct words.
+    rare_tokens: np.ndarray
+    ending_words: np.ndarray
+    # The way to leaf n is steps starts[n] to starts[n + 1]; leaves are the words and then the endings.
+    starts: np.ndarray
+    nodes: np.ndarray
+    branches: np.ndarray
+    # log of the share of every sub-class of a node.
+    bias: np.ndarray
 
     def classes(self) -> np.ndarray:
         return np.array([n if n < SINGLE else ending(word) for n, word in enumerate(self.words)], dtype=np.int64)
 
-    def within(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """log10 P(word | class) for words with these counts; 0 is an unseen word."""
-        own, words = self.class_tokens[classes], self.class_words[classes]
-        # A class of its own has no unseen words; a class never seen gives all to them.
-        seen = np.where(classes < SINGLE, counts, counts - DISCOUNT)
-        unseen = np.where(own > 0, DISCOUNT * words, 1.0)
-        return np.log10(np.where(counts > 0, seen, unseen) / np.maximum(own, 1))
+    def unseen(self) -> float:
+        """The probability of all words unseen in training."""
+        return DISCOUNT * self.distinct / self.total if self.total else 1.0
+
+
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """starts, nodes, branches and bias of the tree over these leaves."""
+    leaves = len(counts)
+    heap = [(float(c), n) for n, c in enumerate(counts)]
+    heapify(heap)
+    # Only the first node may have fewer sub-classes.
+    take = 2 + (leaves - 2) % (WIDTH - 1)
+    up, branch, bias = [-1] * leaves, [0] * leaves, []
+    while len(heap) > 1:
+        below = [heappop(heap) for _ in range(take)]
+        weight = sum(c for c, _ in below)
+        for place, (_, child) in enumerate(below):
+            up[child], branch[child] = len(bias), place
+        heappush(heap, (weight, leaves + len(bias)))
+        bias.append([math.log(c / weight) for c, _ in below] + [-50.0] * (WIDTH - take))
+        up.append(-1)
+        branch.append(0)
+        take = WIDTH
+    up, branch, at, ways = np.array(up), np.array(branch), np.arange(leaves), []
+    while (up[at] >= 0).any():
+        ways.append((up[at], branch[at]))
+        at = np.where(up[at] >= 0, leaves + up[at], at)
+    nodes, branches = (np.stack(side, axis=1) for side in zip(*ways))
+    on = nodes >= 0
+    starts = np.concatenate([[0], np.cumsum(on.sum(axis=1))])
+    return starts, nodes[on].astype(np.int32), branches[on].astype(np.int8), np.array(bias, dtype=np.float32)
 
 
 def vocabulary_head(vocabulary: DataFrame) -> Head:
@@ -123,14 +160,13 @@ def vocabulary_head(vocabulary: DataFrame) -> Head:
     by_end = vocabulary.groupBy((F.crc32(F.expr("substring(word, -2, 2)")) % ENDINGS).alias("e"))
     sums = {r.e: (r.c, r.n) for r in by_end.agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
     total, distinct = sum(c for c, _ in sums.values()), sum(n for _, n in sums.values())
-    class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
+    rare_tokens, ending_words = np.zeros(ENDINGS), np.zeros(ENDINGS)
     for e, (c, n) in sums.items():
-        class_tokens[SINGLE + e], class_words[SINGLE + e] = c, n
-    for n, (word, c) in enumerate(zip(words[:SINGLE], counts)):
-        class_tokens[n], class_words[n] = c, 1
-        class_tokens[ending(word)] -= c
-        class_words[ending(word)] -= 1
-    return Head(words, counts, total, distinct, class_tokens, class_words)
+        rare_tokens[e], ending_words[e] = c, n
+    for word, c in zip(words, counts):
+        rare_tokens[ending(word) - SINGLE] -= c
+    tree = huffman(np.concatenate([counts, np.maximum(rare_tokens, DISCOUNT)]))
+    return Head(words, counts, total, distinct, rare_tokens, ending_words, *tree)
 
 
 class Reader:
@@ -142,22 +178,24 @@ class Reader:
         self.classes = head.classes()
         self.hashes = np.array([crc32(word) for word in head.words], dtype=np.uint64)
 
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The head's number (or -1), the class and the hash of every word."""
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The head's number (or -1), the leaf, the coarse class and the hash of every word."""
         get = self.ids.get
         ids = np.fromiter((get(word, -1) for word in words), dtype=np.int64, count=len(words))
         rare = np.flatnonzero(ids < 0)
+        leaves = ids.copy()
         if not self.head.words:
             classes, hashes = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.uint64)
         else:
             classes, hashes = self.classes[ids], self.hashes[ids]
         for n in rare:
             classes[n], hashes[n] = ending(words[n]), crc32(words[n])
-        return ids, classes, hashes
+            leaves[n] = len(self.ids) + classes[n] - SINGLE
+        return ids, leaves, classes, hashes
 
 
-def features(classes: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
-    """Rows of the weight table for the history of every token; row 0 is always on. ``place``: position in its text."""
+def features(classes: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The hashed features of the history of every token. ``place``: position in its text."""
 
     def back(values: np.ndarray, steps: int) -> np.ndarray:
         shifted = np.zeros(len(values), dtype=np.uint64)
@@ -165,55 +203,65 @@ def features(classes: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> list
         shifted[place < steps] = 0
         return shifted
 
-    def row(a: np.ndarray, b: np.ndarray | int, kind: int) -> np.ndarray:
+    def mix(a: np.ndarray, b: np.ndarray | int, kind: int) -> np.ndarray:
         mixed = (a * MIX[0]) ^ (np.uint64(b) if isinstance(b, int) else b * MIX[1]) ^ np.uint64(kind * 0x51ED270B)
         mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX[1]
-        return (mixed >> np.uint64(33)).astype(np.int64) % (ROWS - 1) + 1
+        return mixed ^ (mixed >> np.uint64(32))
 
     h1, h2, c1, c2 = back(hashes, 1), back(hashes, 2), back(classes, 1), back(classes, 2)
-    return [row(h1, 0, 1), row(h2, 0, 2), row(h1, h2, 3), row(c1, c2, 4)]
+    return np.stack([mix(h1, 0, 1), mix(h2, 0, 2), mix(h1, h2, 3), mix(c1, c2, 4)], axis=1)
 
 
-def logits(weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    out = weights[rows[0]]
-    for more in rows[1:]:
-        out += weights[more]
-    out += weights[0]
+def steps(head: Head, leaves: np.ndarray, history: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of the steps down the tree: token, node, branch taken, and the rows of the weight table."""
+    for first in range(0, len(leaves), BATCH):
+        own = leaves[first : first + BATCH]
+        start, length = head.starts[own], head.starts[own + 1] - head.starts[own]
+        token = np.repeat(np.arange(len(own)), length)
+        at = np.arange(len(token)) + np.repeat(start - np.cumsum(length) + length, length)
+        node = head.nodes[at]
+        mixed = (history[first + token] ^ (node.astype(np.uint64) + np.uint64(1))[:, None] * MIX[1]) * MIX[0]
+        yield first + token, node, head.branches[at], (mixed >> np.uint64(64 - ROW_BITS)).astype(np.int32)
+
+
+def logits(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    out = bias[node]
+    for kind in range(rows.shape[1]):
+        out += weights[rows[:, kind]]
     return out
 
 
-def class_scores(weights: np.ndarray, classes: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """log10 P(class | history) of every token, in batches that stay in the cache."""
-    found = np.empty(len(classes))
-    for at in range(0, len(classes), BATCH):
-        part = slice(at, at + BATCH)
-        z = logits(weights, [r[part] for r in rows])
-        own = z[np.arange(len(z)), classes[part]]
+def leaf_scores(weights: np.ndarray, head: Head, leaves: np.ndarray, history: np.ndarray) -> np.ndarray:
+    """log10 P(leaf | history) of every token, in batches that stay in the cache."""
+    found = np.zeros(len(leaves))
+    for token, node, branch, rows in steps(head, leaves, history):
+        z = logits(weights, head.bias, node, rows)
+        own = z[np.arange(len(z)), branch]
         np.exp(z, out=z)
-        found[part] = own - np.log(z.sum(axis=1))
+        first = token[0]
+        sums = np.bincount(token - first, weights=own - np.log(z.sum(axis=1)))
+        found[first : first + len(sums)] = sums
     return found / math.log(10)
 
 
-def fit(weights: np.ndarray, chunks: Iterable[tuple[np.ndarray, list[np.ndarray]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Adagrad, one rate per row, over (classes, feature rows): the new weights and how often each row was seen."""
+def fit(weights: np.ndarray, head: Head, chunks: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Adagrad, one rate per row, over (leaves, histories): the new weights and how often each row was seen."""
     weights, squares, seen = weights.copy(), np.full(ROWS, 1e-2, dtype=np.float32), np.zeros(ROWS, dtype=np.float32)
-    for classes, rows in chunks:
-        for at in range(0, len(classes), BATCH):
-            part = slice(at, at + BATCH)
-            own = [r[part] for r in rows]
-            p = logits(weights, own)
+    for leaves, history in chunks:
+        for _, node, branch, rows in steps(head, leaves, history):
+            p = logits(weights, head.bias, node, rows)
             np.exp(p, out=p)
             p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(p)), classes[part]] -= 1
-            for r in (np.zeros(len(p), dtype=np.int64), *own):
-                order = np.argsort(r, kind="stable")
-                first = np.flatnonzero(np.diff(r[order], prepend=-1))
-                hit = r[order][first]
-                step = np.add.reduceat(p[order], first, axis=0)
-                squares[hit] += np.einsum("ij,ij->i", step, step)
-                step *= (RATE / np.sqrt(squares[hit]))[:, None]
-                weights[hit] -= step
-                seen[hit] += np.diff(np.append(first, len(r)))
+            p[np.arange(len(p)), branch] -= 1
+            r = rows.ravel()
+            order = np.argsort(r)
+            first = np.flatnonzero(np.diff(r[order], prepend=-1))
+            hit = r[order][first]
+            step = np.add.reduceat(p[order // rows.shape[1]], first, axis=0)
+            squares[hit] += np.einsum("ij,ij->i", step, step)
+            step *= (RATE / np.sqrt(squares[hit]))[:, None]
+            weights[hit] -= step
+            seen[hit] += np.diff(np.append(first, len(r)))
     return weights, seen
 
 
@@ -232,15 +280,15 @@ def add_rows(a: Rows, b: Rows) -> Rows:
     return hit, rows, seen
 
 
-def read_texts(reader: Reader, texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """Chunks of whole texts: lengths, words, head numbers, classes, hashes' features."""
+def read_texts(reader: Reader, texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    """Chunks of whole texts: lengths, words, head numbers, leaves, hashed histories."""
     words: list[bytes] = []
     lengths: list[int] = []
 
     def chunk():
-        ids, classes, hashes = reader.read(words)
+        ids, leaves, classes, hashes = reader.read(words)
         place = np.concatenate([np.arange(n) for n in lengths])
-        return lengths, words, ids, classes, place, features(classes, hashes, place)
+        return lengths, words, ids, leaves, features(classes, hashes, place)
 
     for text in texts:
         own = tokens(text)
@@ -258,14 +306,14 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
     spark = docs.sparkSession
     texts = docs.select("text")
     shared_head = spark.sparkContext.broadcast(vars(head))
-    weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
+    weights = np.zeros((ROWS, WIDTH), dtype=np.float32)
     for _ in range(ROUNDS if head.total else 0):
         current = spark.sparkContext.broadcast(weights)
 
         def update(rows) -> Iterator[tuple[int, Rows]]:
             reader = Reader(Head(**shared_head.value))
             chunks = read_texts(reader, (row.text for row in rows))
-            new, seen = fit(current.value, ((c[3], c[5]) for c in chunks))
+            new, seen = fit(current.value, reader.head, ((c[3], c[4]) for c in chunks))
             hit = np.flatnonzero(seen)
             for shard in range(SHARDS):
                 own = hit[hit % SHARDS == shard]
@@ -274,8 +322,9 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
 
         weights = weights.copy()
         # Every shard of the table is summed by a task of its own, so the driver gets the table once.
-        for _, (hit, summed, seen) in texts.rdd.mapPartitions(update).reduceByKey(add_rows, SHARDS).collect():
-            weights[hit] = summed / seen[:, None]
+        summed = texts.rdd.mapPartitions(update).reduceByKey(add_rows, SHARDS)
+        for hit, mean in summed.map(lambda part: (part[1][0], (part[1][1] / part[1][2][:, None]).astype(np.float32))).collect():
+            weights[hit] = mean
     return weights
 
 
@@ -287,48 +336,47 @@ def scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     head = vocabulary_head(vocabulary)
     weights = spark.sparkContext.broadcast(trained(learn, head))
     shared_head = spark.sparkContext.broadcast(vars(head))
-    columns = ["k_id", "k_text", "n_tokens", "n_known", "base", "own", "rare", "times"]
+    columns = ["k_id", "k_text", "n_tokens", "n_known", "base", "own", "rare", "times", "leaf"]
 
     def scored(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head = Head(**shared_head.value)
         reader = Reader(head)
         base = np.log10((head.counts + 0.5) / (head.total + 0.5 * (head.distinct + 1)))
-        within = head.within(head.counts, reader.classes)
+        # With no training words none is known.
+        seen = math.log10(max(1 - head.unseen(), 1e-9))
         for frame in frames:
             rows, at = [], 0
-            for lengths, words, ids, classes, _, rows_of in read_texts(reader, frame["text"]):
-                value = class_scores(weights.value, classes, rows_of)
+            for lengths, words, ids, leaves, history in read_texts(reader, frame["text"]):
+                value = seen + leaf_scores(weights.value, head, leaves, history)
                 known = ids >= 0
                 first = np.cumsum([0, *lengths[:-1]])
-                if len(head.words):
-                    value = value + np.where(known, within[ids], 0.0)
-                    base_value = np.where(known, base[ids], 0.0)
-                else:
-                    base_value = np.zeros(len(ids))
-                sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), base_value, value)]
+                base_value = np.where(known, base[ids], 0.0) if len(head.words) else np.zeros(len(ids))
+                sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), base_value, np.where(known, value, 0.0))]
                 for n, (start, length) in enumerate(zip(first, lengths)):
-                    rest = Counter(words[start + i] for i in np.flatnonzero(~known[start : start + length]))
+                    rest: dict[bytes, list[float]] = defaultdict(list)
+                    for i in start + np.flatnonzero(~known[start : start + length]):
+                        rest[words[i]].append(value[i])
                     key = frame["k_id"].iat[at], frame["k_text"].iat[at]
-                    rows.append((*key, length, sums[0][n], sums[1][n], sums[2][n], list(rest), list(rest.values())))
+                    rows.append((*key, length, sums[0][n], sums[1][n], sums[2][n], list(rest), [len(v) for v in rest.values()], [sum(v) for v in rest.values()]))
                     at += 1
             yield pd.DataFrame(rows, columns=columns)
 
     source = keyed(docs, id_col, text_col)
     id_type = source.schema["k_id"].dataType.simpleString()
-    schema = f"k_id {id_type}, k_text long, n_tokens long, n_known long, base double, own double, rare array<binary>, times array<long>"
+    schema = f"k_id {id_type}, k_text long, n_tokens long, n_known long, base double, own double, rare array<binary>, times array<long>, leaf array<double>"
     partial = stored(source.mapInPandas(scored, schema).withColumn("n", F.monotonically_increasing_id()), "scores")
     return _with_rare_words(partial, vocabulary, head)
 
 
 def _with_rare_words(partial: DataFrame, vocabulary: DataFrame, head: Head) -> DataFrame:
     """Adds what the words outside the head contribute, by joining their counts."""
-    rare = partial.select("n", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))))
+    rare = partial.select("n", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"), F.col("leaf").alias("leaf"))))
     kind = (F.crc32(F.expr("substring(word, -2, 2)")) % ENDINGS).cast("int")
-    sums = [F.lit([float(x) for x in values[SINGLE:]]).cast("array<double>") for values in (head.class_tokens, head.class_words)]
-    own, words = (F.get(values, kind) for values in sums)
+    tokens_of, words_of = (F.get(F.lit([float(x) for x in values]).cast("array<double>"), kind) for values in (head.rare_tokens, head.ending_words))
     c = F.coalesce("c", F.lit(0))
-    unseen = F.when(own > 0, F.lit(DISCOUNT) * words).otherwise(1.0)
-    within = F.log10(F.when(c > 0, c - DISCOUNT).otherwise(unseen) / F.greatest(own, F.lit(1.0)))
+    # A word outside the head is in a leaf of the tree if it was seen, else it has the share of its ending.
+    unseen = F.log10(F.lit(head.unseen()) * (words_of + 1) / F.lit(float(head.distinct + ENDINGS)))
+    own = F.when(c > 0, F.col("leaf") + F.col("times") * F.log10(c / F.greatest(tokens_of, F.lit(1.0)))).otherwise(F.col("times") * unseen)
     base = F.log10((c + 0.5) / F.lit(head.total + 0.5 * (head.distinct + 1)))
     more = (
         rare.join(vocabulary, "word", "left")
@@ -336,11 +384,11 @@ def _with_rare_words(partial: DataFrame, vocabulary: DataFrame, head: Head) -> D
         .agg(
             F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
             F.sum(base * F.col("times")).alias("more_base"),
-            F.sum(within * F.col("times")).alias("more_own"),
+            F.sum(own).alias("more_own"),
         )
     )
     zero = F.lit(0)
-    return partial.drop("rare", "times").join(more, "n", "left").select(
+    return partial.drop("rare", "times", "leaf").join(more, "n", "left").select(
         *KEY,
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,8 +131,23 @@ def test_lm_trains_on_all_documents_of_a_large_corpus(spark):
     head = dataclasses.replace(lm.vocabulary_head(lm.count_words(docs)), total=10**9)
     weights, reader = lm.trained(docs, head), lm.Reader(head)
     for _, text in rows:
-        for *_, found in lm.read_texts(reader, [text]):
-            assert all(weights[own].any(axis=-1).all() for own in found)
+        for *_, leaves, history in lm.read_texts(reader, [text]):
+            assert all(weights[found].any(axis=-1).all() for *_, found in lm.steps(head, leaves, history))
+
+
+def test_lm_history_chooses_between_words_of_one_class(spark):
+    """Values of equal count and ending, told apart by the word before; a node's words share its probability."""
+    pairs = [(n, m) for n in range(6) for m in range(200)]
+    rows = [(m * 6 + n, f"key{n} value{n}ly") for n, m in pairs] + [(5000 + n, f"filler{n} " * 300) for n in range(70)]
+    asked = [(9000, "key3 value3ly"), (9001, "key3 value4ly")]
+    docs = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    found = {r.k_id: r.score for r in lm.scores(docs, F.col("doc_id") < 9000).collect() if r.k_id >= 9000}
+    assert found[9000] > found[9001] + 0.5
+    head = lm.vocabulary_head(lm.count_words(keyed(docs, "doc_id", "text")))
+    leaves = np.arange(len(head.starts) - 1)
+    weights = np.random.default_rng(1).normal(size=(lm.ROWS, lm.WIDTH)).astype(np.float32)
+    history = np.full((len(leaves), 4), 77, dtype=np.uint64)
+    assert (10 ** lm.leaf_scores(weights, head, leaves, history)).sum() == pytest.approx(1, rel=1e-4)
 
 
 def test_language(odd):
