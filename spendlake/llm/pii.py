@@ -88,10 +88,11 @@ def terms(text: str) -> set[str]:
     return {word.lower() for word in TERM.findall(text)} if text else set()
 
 
-def contexts(text: str, window: int = WINDOW) -> set[tuple[str, str, int]]:
+def contexts(text: str, window: int = WINDOW) -> set[tuple[str, str, int | None]]:
     """(entity, term, context) of the words next to each entity.
 
-    Besides, once each: every entity with the term '', and every such word with the entity ''.
+    Besides, once each: every pair of them with no context (None), for the document
+    itself, every entity with the term '', and every such word with the entity ''.
     """
     rows = set()
     for _, start, end in entities(text):
@@ -101,9 +102,9 @@ def contexts(text: str, window: int = WINDOW) -> set[tuple[str, str, int]]:
         right = TERM.findall(text, end, end + 40 * window)[:window]
         near = [word.lower() for word in (*left, *right)]
         context = int.from_bytes(hashlib.blake2b(" ".join(near).encode(), digest_size=7).digest())
-        rows.add((entity, "", 0))
-        rows.update((entity, word, context) for word in near)
-        rows.update(("", word, 0) for word in near)
+        rows.add((entity, "", None))
+        for word in near:
+            rows |= {(entity, word, context), (entity, word, None), ("", word, None)}
     return rows
 
 
@@ -112,12 +113,14 @@ def co_occurrences(docs: DataFrame) -> DataFrame:
 
     def pairs(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame([row for text in frame["text"] for row in contexts(text)], columns=["entity", "term", "context"])
+            yield pd.DataFrame([row for text in frame["text"] for row in contexts(text)], columns=["entity", "term", "context"]).astype({"context": "Int64"})
 
     # Every pattern needs a digit or the sign of a mail address.
     likely = docs.filter(F.col("text").rlike("[0-9@]")).select("text")
     once = likely.mapInPandas(pairs, "entity string, term string, context long").groupBy("entity", "term", "context")
-    return once.agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_docs"))
+    # The row without a context counts documents; the others only tell how many contexts there are.
+    n_docs = F.sum(F.when(F.col("context").isNull(), F.col("n"))).alias("n_docs")
+    return once.agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("context").alias("contexts"), n_docs)
 
 
 def _terms_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:

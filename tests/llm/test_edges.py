@@ -186,6 +186,16 @@ def test_pii_terms_that_give_an_entity_away(spark):
     assert found[600].n_term == 0
 
 
+def test_pii_counts_documents_and_not_contexts(spark):
+    """An entity in many contexts of one document does not give away a word of many documents."""
+    long = " . ".join(f"a{chr(97 + n // 26)}{chr(97 + n % 26)} ask often q@mail.org" for n in range(80))
+    rows = [(0, long)] + [(n, f"people ask other{n} things") for n in range(1, 150)] + [(n, "nothing here") for n in range(150, 1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = {(r.entity, r.term): (r.contexts, r.n_docs) for r in pii.co_occurrences(keyed(docs, "doc_id", "text")).collect()}
+    assert pairs["q@mail.org", "ask"] == (80, 1) and pairs["q@mail.org", ""][1] == 1 and pairs["", "ask"][1] == 1
+    assert "ask" not in {r.term for r in pii.disclosing_terms(keyed(docs, "doc_id", "text")).collect()}
+
+
 def test_pii_joined_terms_equal_broadcast_terms(spark, monkeypatch):
     rows = [(n, f"{shade} ask Quorthon at q@mail.org soon and more plain text") for n, shade in enumerate(SHADES)] + [(9, "plain text")] * 40
     docs = spark.createDataFrame(rows, "doc_id long, text string")
