@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -89,18 +90,21 @@ def terms(text: str) -> set[str]:
 
 
 def contexts(text: str, window: int = WINDOW) -> set[tuple[str, str, int | None]]:
-    """(entity, term, context) of the words next to each entity.
+    """(entity, term, context) of the nearest whole words on either side of each entity.
 
     Besides, once each: every pair of them with no context (None), for the document
     itself, every entity with the term '', and every such word with the entity ''.
     """
-    rows = set()
-    for _, start, end in entities(text):
+    rows: set[tuple[str, str, int | None]] = set()
+    found = entities(text)
+    # All words are placed once, so many entities far from any word cost no more than the text.
+    spans = [m.span() for m in TERM.finditer(text)] if found else []
+    starts, ends = [s for s, _ in spans], [e for _, e in spans]
+    for _, start, end in found:
         entity = text[start:end].lower()
-        # A word has a bounded share of the text read here, whatever the text's length.
-        left = TERM.findall(text, max(0, start - 40 * window), start)[-window:]
-        right = TERM.findall(text, end, end + 40 * window)[:window]
-        near = [word.lower() for word in (*left, *right)]
+        left, right = bisect_right(ends, start), bisect_left(starts, end)
+        whole = (*spans[max(0, left - window) : left], *spans[right : right + window])
+        near = [text[s:e].lower() for s, e in whole]
         context = int.from_bytes(hashlib.blake2b(" ".join(near).encode(), digest_size=7).digest())
         rows.add((entity, "", None))
         for word in near:

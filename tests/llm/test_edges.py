@@ -196,6 +196,14 @@ def test_pii_counts_documents_and_not_contexts(spark):
     assert "ask" not in {r.term for r in pii.disclosing_terms(keyed(docs, "doc_id", "text")).collect()}
 
 
+def test_pii_contexts_are_whole_words_at_any_distance():
+    far, long = " 7 " * 200, "w" * 150
+    text = f"one two{far}three {long} {long}{far}q@mail.org{far}{long} four {long}{far}five six seven"
+    near = {term for entity, term, context in pii.contexts(text) if entity == "q@mail.org" and context is not None}
+    assert near == {"one", "two", "three", long, "four", "five", "six"}
+    assert {term for _, term, _ in pii.contexts("\u00e9q@mail.org then")} == {"", "then"}
+
+
 def test_pii_joined_terms_equal_broadcast_terms(spark, monkeypatch):
     rows = [(n, f"{shade} ask Quorthon at q@mail.org soon and more plain text") for n, shade in enumerate(SHADES)] + [(9, "plain text")] * 40
     docs = spark.createDataFrame(rows, "doc_id long, text string")
