@@ -8,8 +8,9 @@ decides. The margin to the runner-up, as a share of the runner-up's bytes, is th
 score; a text whose margin is narrow is rejected.
 
 The sample is bounded by ``rows_per_language`` documents, of which at most
-``chars_per_row`` characters each are read, and by ``dictionary_bytes``. The
-documents are those with the smallest hashes of their text, so the sample does
+``chars_per_row`` characters each are read, and by ``dictionary_bytes``, which the
+documents share: the longer ones are cut to one length. Copies of a text count
+once. The documents are those with the smallest hashes of their text, so the sample does
 not depend on the order of rows. Predictions read whole texts.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and
@@ -50,6 +51,15 @@ def letters_only(text: str | None) -> bytes:
     return " ".join(LETTERS.findall(text.lower())).encode() if text else b""
 
 
+def spread(parts: list[bytes], budget: int) -> bytes:
+    """All parts in a row, the longer ones cut to one length at which they fit."""
+    taken = {}
+    for k, n in enumerate(sorted(range(len(parts)), key=lambda n: len(parts[n]))):
+        taken[n] = min(len(parts[n]), budget // (len(parts) - k))
+        budget -= taken[n]
+    return b"".join(part[: taken[n]] for n, part in enumerate(parts))
+
+
 def dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """The raw dictionary of every language among the labelled rows given."""
     labelled = keyed(docs.filter(F.col(lang_col).isNotNull()), text_col, text_col, F.col(lang_col).alias("k_lang"))
@@ -59,15 +69,15 @@ def dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         raise ValueError(f"more than {MAX_LANGUAGES} languages among the labels")
     # The limit per group is applied in each task before anything is moved.
     first = F.row_number().over(Window.partitionBy("k_lang").orderBy("k_text"))
-    ids = labelled.select("k_lang", "k_text").withColumn("first", first).filter(F.col("first") <= ROWS_PER_LANGUAGE)
-    ids = F.broadcast(ids.select("k_lang", "k_text").distinct())
+    ids = labelled.select("k_lang", "k_text").distinct().withColumn("first", first).filter(F.col("first") <= ROWS_PER_LANGUAGE)
+    ids = F.broadcast(ids.select("k_lang", "k_text"))
     sample = labelled.join(ids, ["k_lang", "k_text"]).select("k_lang", "k_text", F.substring("text", 1, CHARS_PER_ROW).alias("part"))
     rows = sorted((r.k_lang, r.k_text, r.part) for r in sample.distinct().collect())
-    raw: dict[str, bytes] = {}
+    parts: dict[str, list[bytes]] = {}
     for lang, _, part in rows:
-        raw[lang] = raw.get(lang, b"") + letters_only(part) + b" "
-    # The end of a dictionary is the nearest to the data and the cheapest to refer to.
-    return {lang: content[-DICTIONARY_BYTES:] for lang, content in sorted(raw.items()) if content.strip()}
+        parts.setdefault(lang, []).append(letters_only(part) + b" ")
+    raw = {lang: spread(own, DICTIONARY_BYTES) for lang, own in sorted(parts.items())}
+    return {lang: content for lang, content in raw.items() if content.strip()}
 
 
 Compressors = dict[str, zstandard.ZstdCompressor]

@@ -163,6 +163,18 @@ def test_language(odd):
     assert language_id.keep_identified(odd, F.lit(True)).columns == odd.columns
 
 
+def test_language_sample_is_of_distinct_texts_and_all_of_them(spark):
+    def name(n):
+        return "".join(chr(97 + int(d)) for d in f"{n:03d}")
+
+    rows = [("hot copy " + name(n), "en") for n in range(5) for _ in range(400)]
+    rows += [(f"start{name(n)}x " + "long words of text " * 100, "en") for n in range(300)]
+    raw = language_id.dictionaries(spark.createDataFrame(rows, "text string, lang string"))["en"]
+    assert len(raw) <= language_id.DICTIONARY_BYTES
+    assert all(raw.count(b"hot copy " + name(n).encode()) == 1 for n in range(5))
+    assert all(f"start{name(n)}x".encode() in raw for n in range(300))
+
+
 def test_pii(odd):
     rows = {(r.k_id, r.k_text): r for r in pii.personal_data(odd).collect()}
     nine = next(r for r in rows.values() if r.k_id == 9)
