@@ -149,8 +149,13 @@ def selection(
 def mixed(docs: DataFrame, levels: Mapping[str, str], weights: Mapping[str, Mapping[str, int]], **options) -> DataFrame:
     """The documents with all their columns, each as often as it is taken."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    taken = selection(docs, levels, weights, **options).filter("n_taken > 0").select("id", "text_hash", "n_taken").distinct()
+    taken = selection(docs, levels, weights, **options).filter("n_taken > 0").select("id", "text_hash", *levels, "n_taken").distinct()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"), F.md5(text.cast("binary")).alias("row_hash"))
-    met = rows.join(taken, rows["row_id"].eqNullSafe(taken["id"]) & (rows["row_hash"] == taken["text_hash"]))
+    leaf = [F.coalesce(F.expr(node).cast("string"), F.lit("")).alias(f"row_{name}") for name, node in levels.items()]
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("row_key"), F.md5(text.cast("binary")).alias("row_hash"), *leaf)
+    # The same id and text in another leaf has a budget of its own.
+    same = rows["row_key"].eqNullSafe(taken["id"]) & (rows["row_hash"] == taken["text_hash"])
+    for name in levels:
+        same &= rows[f"row_{name}"] == taken[name]
+    met = rows.join(taken, same)
     return met.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_taken")))).select("row.*")

@@ -287,6 +287,13 @@ def test_mixing(odd):
     assert mixing.mixed(odd.limit(0), MIX_LEVELS, MIX_WEIGHTS).count() == 0
 
 
+def test_mixing_keeps_leaves_with_the_same_text_apart(spark):
+    rows = [(None, "one boilerplate text", "a"), (None, "one boilerplate text", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mixed(docs, {"source": "source"}, {"source": {"b": 0}}, share=mixing.Fraction(2))
+    assert [r.source for r in out.collect()] == ["a", "a"]
+
+
 def test_secrets(odd):
     rows = secret_scan.scan(odd).collect()
     assert len(rows) == odd.count()
