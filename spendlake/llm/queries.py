@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import decontaminate, language_id, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, url_filter
+from spendlake.llm import decontaminate, language_id, lexical_search, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, url_filter
 from spendlake.llm.text import table
 from spendlake.queries import Registry
 
@@ -394,3 +394,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array({LOW.format("coalesce(text, '')")}, '[{lexical_search.BETWEEN}]+'), lambda x: x <> '') AS w
+  FROM documents
+), i AS (
+  SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array({LOW.format("coalesce(text, '')")}, '[{lexical_search.BETWEEN}]+'), lambda x: x <> '')) AS term
+  FROM benchmark
+), whole AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM tf CROSS JOIN whole GROUP BY term, n_docs
+), m AS (SELECT r, doc_id, 100 - 50 + ((50 * CAST(len(w) AS BIGINT) * n_docs) // l) AS m FROM d CROSS JOIN whole),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN weight USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id
+), p AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM p WHERE rank <= 50
+"""
+
+
+@QUERIES.add("op12_search", "LLM12", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    found = lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
