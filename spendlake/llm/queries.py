@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import decontaminate, language_id, lexical_search, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, url_filter
+from spendlake.llm import decontaminate, language_id, lexical_search, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, spelling, url_filter
 from spendlake.llm.text import table
 from spendlake.queries import Registry
 
@@ -423,3 +423,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     found = lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
     return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@QUERIES.add("op13_spelling", "LLM13", "")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among all words of the documents."""
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
