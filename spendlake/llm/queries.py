@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.llm import decontaminate, language_id, lexical_search, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, spelling, url_filter
+from spendlake.llm import decontaminate, html_extract, language_id, lexical_search, lm, mixing, near_dedup, pii, quality, secret_scan, sharding, spelling, url_filter
 from spendlake.llm.text import table
 from spendlake.queries import Registry
 
@@ -430,3 +430,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among all words of the documents."""
     found = spelling.variants(table(spark, sf_dir, "documents"))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@QUERIES.add("op11_main_text", "LLM11", "")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.main_text(pages).select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
