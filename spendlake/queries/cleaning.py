@@ -40,6 +40,36 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, part.schema)
 
 
+# Line breaks of both kinds, quotes, commas, blank lines and empty texts inside of fields.
+BROKEN_LINES = """CASE p_partkey % 6
+    WHEN 0 THEN concat(p_name, {nl}, p_type)
+    WHEN 1 THEN concat('"', p_name, '",', {nl}, {nl}, '""', {nl}, p_brand, ',')
+    WHEN 2 THEN concat({cr}, {nl}, p_name, {cr}, {nl}, p_partkey, ',x')
+    WHEN 3 THEN concat({nl}, ',"', p_brand)
+    ELSE p_type END"""
+
+
+@QUERIES.add(
+    "src_csv_multiline",
+    "S1",
+    f"SELECT p_partkey, {BROKEN_LINES.format(nl='chr(10)', cr='chr(13)')} AS label, p_size FROM part",
+)
+def src_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that go over several lines, in files read in splits."""
+    part = table(spark, sf, "part")
+    label = F.expr(BROKEN_LINES.format(nl="char(10)", cr="char(13)"))
+    rows = part.select("p_partkey", label.alias("label"), "p_size")
+    path = scratch_path(spark, "multiline-csv")
+    # The writer doubles quotes, as the reader expects them, and keeps blanks and breaks at either end.
+    options = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**options).csv(path)
+    return read_csv(spark, path, rows.schema)
+
+
+# Files of the next query; more rows make larger files, read in splits.
+BAD_FILES = 8
+
+
 @QUERIES.add(
     "src_csv_bad_rows",
     "S1",
@@ -53,14 +83,14 @@ def src_csv_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
     quoted = F.concat(F.lit('"'), "p_name", F.lit(', ""'), "p_type", F.lit('"""'))
     line = F.when(F.col("p_size") % 5 == 0, F.concat_ws(",", "p_partkey", F.lit("x"), F.lit("y")))
     line = line.when(F.col("p_size") % 7 == 0, F.col("p_partkey").cast("string")).otherwise(F.concat_ws(",", "p_partkey", quoted))
-    paths = []
-    for half in (0, 1):
-        # A header on top of either file.
-        rows = table(spark, sf, "part").where(F.col("p_partkey") % 2 == half).select("p_partkey", line.alias("value"))
-        head = spark.createDataFrame([(-1, "p_partkey,label")], "p_partkey long, value string")
-        path = scratch_path(spark, "bad-csv")
-        head.unionByName(rows.withColumn("p_partkey", F.col("p_partkey").cast("long"))).coalesce(1).sortWithinPartitions("p_partkey").select("value").write.text(path)
-        paths.append(path)
+    part = table(spark, sf, "part").withColumn("file", F.pmod(F.hash("p_partkey"), F.lit(BAD_FILES)))
+    rows = part.select("file", F.col("p_partkey").cast("long").alias("place"), line.alias("value"))
+    # A header on top of every file; the files are dealt to tasks, and the lines of each are in order.
+    head = spark.range(BAD_FILES).select(F.col("id").cast("int").alias("file"), F.lit(-1).cast("long").alias("place"), F.lit("p_partkey,label").alias("value"))
+    folder = scratch_path(spark, "bad-csv")
+    sorted_rows = head.unionByName(rows).repartition("file").sortWithinPartitions("file", "place")
+    sorted_rows.select("file", "value").write.partitionBy("file").text(folder)
+    paths = f"{folder}/file=*"
     kind = table(spark, sf, "part").schema["p_partkey"].dataType
     schema = T.StructType([T.StructField("p_partkey", kind), T.StructField("label", T.StringType())])
     kept = read_csv(spark, paths, schema, skip_surplus=True).withColumn("reason", F.lit(None).cast("string"))

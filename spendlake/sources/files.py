@@ -10,29 +10,30 @@ from pyspark.sql import types as T
 
 from spendlake.fixed_values import MISSING_TEXTS
 from spendlake.functions import scalars as S
+from spendlake.sources.records import csv_records, fields_in, parsed
 
 
-# A comma outside quotes: an even number of quotes follows it.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _MISFIT = "_misfit"
 
 
 def _raw_csv(spark: SparkSession, path: str | list[str]) -> tuple[list[str], DataFrame]:
-    """The header, and all rows as text with the line of those whose fields are not as many as the headers.
+    """The headers, and per record its fields as text, the record itself and its place.
 
     Every file is checked for the header of the first one.
     """
-    quoted = spark.read.option("header", True).option("escape", '"')
-    headers = quoted.csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*headers, _MISFIT]])
-    options = {"enforceSchema": False, "columnPruning": False, "columnNameOfCorruptRecord": _MISFIT, "mode": "PERMISSIVE"}
-    # The reader wants a field to be asked for besides the line itself; this one is always true.
-    field = F.coalesce(F.length(S.named(headers[0])) >= 0, F.lit(True))
-    return headers, quoted.schema(schema).options(**options).csv(path).where(field)
+    headers = spark.read.option("header", True).option("escape", '"').csv(path).columns
+    header, records = csv_records(spark, path)
+    numbered = [f"_{n}" for n in range(len(headers))]
+    other = F.raise_error(F.concat(F.lit("another header than the first file's in "), F.col("file")))
+    same = parsed(F.col("header"), numbered).eqNullSafe(parsed(F.lit(header or ""), numbered)) & (fields_in(F.col("header")) == len(headers))
+    rows = records.where(F.when(F.col("header").isNull(), True).when(same, False).otherwise(other.cast("boolean")))
+    return headers, rows.select(
+        parsed(F.col("record"), numbered).alias("_fields"), F.col("record").alias(_MISFIT), F.struct("file", "block", F.col("pos").alias("line")).alias("_place")
+    )
 
 
 def _surplus(headers: Sequence[str]) -> Column:
-    return F.coalesce(F.size(F.split(_MISFIT, _COMMA)) > len(headers), F.lit(False))
+    return fields_in(F.col(_MISFIT)) > len(headers)
 
 
 def read_csv(
@@ -49,10 +50,12 @@ def read_csv(
     trimmed header and converted, bad text being an error. Without one every
     column comes as text under its raw header. A row with missing fields has
     nulls there. A row with surplus fields is an error, or with
-    ``skip_surplus`` left to ``csv_rejects``. ``order`` names a further column
-    that sorts the rows by file and place in it.
+    ``skip_surplus`` left to ``csv_rejects``. A quoted field may hold line
+    breaks, and a file is still read in splits. ``order`` names a further
+    column that sorts the rows by file and place in it.
     """
     headers, raw = _raw_csv(spark, path)
+    fields = [F.col(f"_fields._{n}").alias(name) for n, name in enumerate(headers)]
     if skip_surplus:
         raw = raw.where(~_surplus(headers))
     else:
@@ -63,11 +66,12 @@ def read_csv(
     else:
         spelled = {name.strip(): name for name in headers}
         columns = [_typed(spelled[field.name], field).alias(field.name) for field in schema.fields]
-    return raw.select(*columns, *([_place().alias(order)] if order else []))
+    rows = raw.select(*fields, F.col("_place"))
+    return rows.select(*columns, *([F.col("_place").alias(order)] if order else []))
 
 
 def csv_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The lines that ``read_csv`` does not take, with the reason."""
+    """The records that ``read_csv`` does not take, with the reason."""
     headers, raw = _raw_csv(spark, path)
     return raw.where(_surplus(headers)).select(F.lit("more fields than headers").alias("reason"), F.col(_MISFIT).alias("line"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import random
 from decimal import Decimal
 
 import pytest
@@ -14,7 +16,7 @@ from spendlake.plans import commodity, conservation, reports
 from spendlake.plans.dimensions import open_dimensions, seed_dimensions, store_dimensions
 from spendlake.plans.facts import check_dimensions, check_facts, load_facts
 from spendlake.plans.ingest import ingest, read_sources, source_payments
-from spendlake.sources.files import read_csv
+from spendlake.sources.files import csv_rejects, read_csv
 
 
 @pytest.fixture(scope="module")
@@ -448,3 +450,72 @@ def test_reports_in_sql(spark, loaded, dims):
     )
     built = reports.state_share(loaded[0], dims.subtitles, "subtitle", 100, 2014, 2015, bounded=False)
     assert share.collect() == built.collect() and len(built.collect()) == 3
+
+
+def multiline_files(folder, count, rows, seed):
+    """Files as a CSV writer makes them, with quotes, commas and breaks of both kinds in fields, and their rows in order."""
+    rng = random.Random(seed)
+    held = []
+    for file in range(count):
+        with open(folder / f"f{file}.csv", "w", newline="") as handle:
+            writer = csv.writer(handle, lineterminator=rng.choice(["\n", "\r\n"]))
+            writer.writerow(["id", "t,x", "u"])
+            for n in range(rows):
+                cells = ["".join(rng.choice(["x", '"', ",", "\n", "\r\n", " ", "y", '""']) for _ in range(rng.choice([0, 1, 9]))) for _ in range(2)]
+                writer.writerow([f"{file}-{n}", *cells])
+                held.append((f"{file}-{n}", cells[0] or None, cells[1] or None))
+    return held
+
+
+@pytest.mark.parametrize("split", ["40", "300", "1m"])
+def test_read_csv_breaks_in_fields_across_splits(spark, tmp_path, split):
+    want = multiline_files(tmp_path, 2, 60, int(len(split)))
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = [tuple(row[:3]) for row in read_csv(spark, str(tmp_path), order="ord").orderBy("ord").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == want
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n" + '1,"x\ny"\n2,z\n' * 20_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = read_csv(spark, str(tmp_path / "one.csv"))
+        assert spark.read.text(str(tmp_path / "one.csv")).rdd.getNumPartitions() >= 8
+        assert {tuple(row) for row in rows.groupBy("a", "b").count().collect()} == {("1", "x\ny", 20_000), ("2", "z", 20_000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_read_csv_odd_files(spark, tmp_path):
+    good, other, unclosed, split_head, empty = (tmp_path / name for name in ("good", "other", "unclosed", "head", "empty"))
+    # A blank line, a quote inside of a field that does not begin with one, a missing field, no line feed at the end.
+    good.write_text('\na,b\n\n5" pipe,x\n"p ""q""",\n" \n ",y\n7')
+    assert sorted(map(tuple, read_csv(spark, str(good)).collect()), key=repr) == sorted([('5" pipe', "x"), ('p "q"', None), (" \n ", "y"), ("7", None)], key=repr)
+    other.write_text("a,c\n1,2\n")
+    with pytest.raises(Exception, match="another header"):
+        read_csv(spark, [str(good), str(other)]).collect()
+    unclosed.write_text('a,b\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="not closed in .*unclosed"):
+        read_csv(spark, str(unclosed))
+    split_head.write_text('a,"b\nc"\n1,2\n')
+    with pytest.raises(ValueError, match="header goes over several lines"):
+        read_csv(spark, str(split_head))
+    empty.write_text("a,b\n")
+    assert read_csv(spark, str(empty)).count() == 0
+    (tmp_path / "surplus").write_text('a,b\n1,"x,\n,y",z\n2,y\n')
+    assert [row.line for row in csv_rejects(spark, str(tmp_path / "surplus")).collect()] == ['1,"x,\n,y",z']
+    assert [tuple(row) for row in read_csv(spark, str(tmp_path / "surplus"), skip_surplus=True).collect()] == [("2", "y")]
+
+
+def test_plain_files_are_not_shuffled(spark, plan, tmp_path):
+    (tmp_path / "plain.csv").write_text("a,b\n" + "1,2\n" * 100)
+    assert "hashpartitioning" not in plan(read_csv(spark, str(tmp_path / "plain.csv")))
