@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendlake.functions import scalars as S
+from spendlake.operators.joins import small_side
+from spendlake.session import scratch_path
 
 LEVELS = ("title", "subtitle", "program", "sub_program", "sub_sub_program")
 
@@ -38,20 +42,27 @@ def keep_not_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.where(f"NOT coalesce({S.is_in(column, values)}, false)")
 
 
-def exactly_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def exactly_once(df: DataFrame, keys: Sequence[str], bounded: bool = False) -> DataFrame:
     """Rows whose key occurs once.
 
-    One aggregation carries the row along with the count: a key held by a third
-    of all rows shrinks to one row per map task before the shuffle, and the
-    input is neither read twice nor joined to itself.
+    Only keys and their counts are shuffled, a key held by a third of all rows
+    being one row per map task. The keys that repeat, as a rule few, are stored
+    and then sent to the rows as a filter, so rows neither move nor are sorted
+    for it; if they prove many, the rows are shuffled by key. ``bounded`` says
+    that there can only be few different keys: then nothing is stored first.
     """
-    others = [S.quoted(name) for name in df.columns if name not in keys]
-    found = df.groupBy(*[S.named(key) for key in keys]).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.expr(f"first(struct({', '.join(others) or '0'}))").alias("_row"),
-    )
-    back = [S.quoted(name) if name in keys else f"_row.{S.quoted(name)}" for name in df.columns]
-    return found.where("_rows = 1").selectExpr(*back)
+    spark = df.sparkSession
+    held = {key: f"_key{n}" for n, key in enumerate(keys)}
+    counted = df.groupBy(*[S.named(key).alias(held[key]) for key in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = counted.where("_rows > 1").drop("_rows")
+    if bounded:
+        repeated = F.broadcast(repeated)
+    else:
+        path = scratch_path(spark, "repeated")
+        repeated.write.parquet(path)
+        repeated = small_side(spark.read.schema(repeated.schema).parquet(path))
+    same = reduce(and_, [S.named(key).eqNullSafe(F.col(name)) for key, name in held.items()])
+    return df.join(repeated, same, "left_anti")
 
 
 def for_node(df: DataFrame, level: str, node_id: int) -> DataFrame:

@@ -37,7 +37,7 @@ def wide_to_long(
     # Known names first: total rows, which may be out of range, never reach the
     # conversion, and what is left has at most one group per state.
     known = keep_in(df.selectExpr("state_name", *map(S.quoted, spans)), "state_name", list(codes))
-    once = exactly_once(known, ["state_name"])
+    once = exactly_once(known, ["state_name"], bounded=True)
     typed = [f"CAST({S.quoted(year)} AS {number.simpleString()}) AS {S.quoted(year)}" for year in spans]
     rows = once.selectExpr("state_name", *typed).unpivot("state_name", spans, "year", measure)
     value = F.col(measure)

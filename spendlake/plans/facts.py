@@ -19,6 +19,7 @@ from spendlake.operators.joins import (
     Dimensions,
     resolve_category,
     small_entity_dimension,
+    small_side,
 )
 from spendlake.operators.quality import (
     check_fk,
@@ -28,6 +29,7 @@ from spendlake.operators.quality import (
     check_unique,
     misfit,
 )
+from spendlake.session import scratch_path
 
 # Stored for every entity type, as payment source column -> fact column.
 _COMMON = {
@@ -50,6 +52,8 @@ _PROGRAM_NUMBERS = [
 ]
 _PROGRAM_TEXTS = ["practice_category", "practice_code"]
 _WHOLE_NUMBERS = ["recipient_count", "farm_count", "contract_count", *[n for n in _PROGRAM_NUMBERS if n != "loss_ratio"]]
+# Rows equal in everything that one task numbers.
+_PIECE = 10_000
 # What tells the facts of one source apart.
 _NATURAL_KEY = [*ENTITY_IDS, "practice_category_id", "practice_code_variant", "state_code", "year"]
 
@@ -119,34 +123,54 @@ def judge_payments(payments: DataFrame, dims: Dimensions, entities: DataFrame |
     return rows.withColumn("reason", reason).drop("_known", "_state", "_practice")
 
 
-def fact_id(source: str) -> Column:
-    """A number that the source and the natural key decide, and the place where a key repeats.
+def fact_id(source: str, repeat: Column) -> Column:
+    """A number that the source and the natural key decide, and ``repeat`` where a key repeats (-1 elsewhere).
 
     Absent values take part, so a key of one level never equals one of another.
     """
     key = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in _NATURAL_KEY]
-    place = F.when(F.col("_repeats"), F.monotonically_increasing_id()).otherwise(-1)
-    return F.xxhash64(F.lit(source), *key, place).bitwiseAND(F.lit((1 << 63) - 1))
+    return F.xxhash64(F.lit(source), *key, repeat).bitwiseAND(F.lit((1 << 63) - 1))
 
 
-def _with_repeats(rows: DataFrame) -> DataFrame:
-    """Marks rows whose natural key is not theirs alone. The keys that repeat are few or none."""
-    many = rows.groupBy(*[F.col(name).alias(f"_{name}") for name in _NATURAL_KEY]).agg(F.count(F.lit(1)).alias("_rows"))
-    same = F.lit(True)
-    for name in _NATURAL_KEY:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    repeats = F.col("_rows").isNotNull().alias("_repeats")
-    return rows.join(many.where("_rows > 1"), same, "left").select(*rows.columns, repeats)
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """The rows with ``_repeat``: -1 where the natural key is theirs alone, else what tells them from rows of equal key.
+
+    That is a hash of all the row holds, and of a number for rows that are equal
+    in everything. Nothing of it depends on the order or the split of the input,
+    so a load of the same rows gives the same ids. Equal rows are counted, one
+    row per task, and dealt out again in pieces, so a hot one is no burden.
+
+    Keys are counted by their hash. Two keys of one hash only make rows count
+    as repeated that need not.
+    """
+    spark, names = rows.sparkSession, rows.columns
+    keyed = rows.withColumn("_key", F.xxhash64(*[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in _NATURAL_KEY]))
+    path = scratch_path(spark, "repeated-keys")
+    counted = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+    counted.where("_rows > 1").select("_key").write.parquet(path)
+    repeated = spark.read.schema("_key long").parquet(path)
+    if repeated.isEmpty():
+        return rows.withColumn("_repeat", F.lit(-1).cast("long"))
+    repeated = small_side(repeated)
+    alone = keyed.join(repeated, "_key", "left_anti").select(*names, F.lit(-1).cast("long").alias("_repeat"))
+    equal = keyed.join(repeated, "_key", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    pieces = equal.select("*", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_rows") - 1).cast("long"), F.lit(_PIECE))).alias("_first"))
+    # What a hot row has beyond its first piece goes to other tasks; the others stay where they were counted.
+    spread = pieces.where("_first = 0").unionByName(pieces.where("_first > 0").repartition(F.xxhash64("_first", *names)))
+    last = F.least(F.col("_first") + _PIECE, F.col("_rows")) - 1
+    dealt = spread.select(*names, F.explode(F.sequence("_first", last)).alias("_number"))
+    content = F.xxhash64(*[F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in names], F.col("_number"))
+    return alone.unionByName(dealt.select(*names, content.alias("_repeat")))
 
 
 def accepted(judged: DataFrame, source: str = "") -> DataFrame:
     """Storable rows in the fact schema; ids are the same whenever the same rows are loaded."""
     sources = {fact: source for source, fact in _COMMON.items()}
-    rows = _with_repeats(judged.where("reason IS NULL"))
+    rows = _told_apart(judged.where("reason IS NULL"))
 
     def column(field: T.StructField):
         if field.name == "id":
-            return fact_id(source).alias("id")
+            return fact_id(source, F.col("_repeat")).alias("id")
         held = sources.get(field.name, field.name)
         have = judged.schema[held].dataType
         return storage_value(named(held), have, field.dataType, strict=True).alias(field.name)
@@ -178,6 +202,47 @@ def check_facts(facts: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:
     return checks
 
 
+def broken_rules(facts: DataFrame, dims: Dimensions) -> DataFrame:
+    """(rule, broken): for every constraint on the fact table how many rows or keys break it; rules that hold have no row.
+
+    The same numbers as counts of ``check_facts``, from one scan of the facts
+    and one shuffle of keys. The dimensions are joined as sets of keys, which
+    the planner sends to the facts; each row becomes its two keys and one entry
+    for every rule it breaks by itself, and all are counted in one go, entries
+    in the map tasks already.
+    """
+    rows, rules = facts, {}
+    rules["state and year present"] = F.col("state_code").isNull() | F.col("year").isNull()
+    for n, (column, (dimension, key)) in enumerate(schemas.PAYMENT_REFERENCES.items()):
+        known = getattr(dims, dimension).select(F.col(key).alias(f"_key{n}")).distinct().withColumn(f"_known{n}", F.lit(True))
+        rows = rows.join(known, F.col(column) == F.col(f"_key{n}"), "left")
+        rules[f"{column} known"] = F.col(column).isNotNull() & F.col(f"_known{n}").isNull()
+    for column, longest in schemas.PAYMENT_LENGTHS.items():
+        rules[f"{column} length"] = F.length(column) > longest
+    bits = sum((F.when(rule, 1 << n).otherwise(0) for n, rule in enumerate(rules.values())), F.lit(0))
+    judged = rows.select("id", *schemas.PAYMENT_UNIQUE, bits.alias("_broken"))
+    kinds = {field.name: field.dataType for field in facts.schema.fields}
+
+    def entry(rule: str, held: list[str]):
+        values = [(F.col(name) if name in held else F.lit(None).cast(kinds[name])).alias(name) for name in ("id", *schemas.PAYMENT_UNIQUE)]
+        return F.struct(F.lit(rule).alias("rule"), *values)
+
+    unique = "unique node, state and year"
+    complete = ~sum((F.col(name).isNull().cast("int") for name in schemas.PAYMENT_UNIQUE), F.lit(0)).cast("boolean")
+    entries = F.array(
+        entry("primary key", ["id"]),
+        F.when(complete, entry(unique, schemas.PAYMENT_UNIQUE)),
+        *[F.when(F.col("_broken").bitwiseAND(1 << n) != 0, entry(rule, [])) for n, rule in enumerate(rules)],
+    )
+    counted = judged.select(F.inline(F.filter(entries, lambda e: e.isNotNull()))).groupBy("rule", "id", *schemas.PAYMENT_UNIQUE).agg(F.count(F.lit(1)).alias("rows"))
+    broken = (
+        F.when(F.col("rule") == "primary key", (F.col("id").isNull() | (F.col("rows") > 1)).cast("long"))
+        .when(F.col("rule") == unique, (F.col("rows") > 1).cast("long"))
+        .otherwise(F.col("rows"))
+    )
+    return counted.groupBy("rule").agg(F.sum(broken).alias("broken")).where("broken > 0")
+
+
 def check_dimensions(dims: Dimensions) -> dict[str, DataFrame]:
     """The same for the dimensions."""
     checks = {}

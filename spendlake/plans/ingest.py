@@ -23,13 +23,14 @@ from spendlake.plans.conservation import (
     reserve_payments,
     reserve_rejects,
 )
-from spendlake.plans.facts import accepted, check_facts, judge_payments, rejected
+from spendlake.plans.facts import accepted, broken_rules, judge_payments, rejected
 from spendlake.plans.insurance import insurance_benefits, insurance_rejects
 from spendlake.plans.nutrition import costs_participation, costs_participation_rejects
 from spendlake.schemas import PAYMENTS, SOURCE_NUMBER
 from spendlake.session import scratch_path
+from spendlake.sources import parts
 from spendlake.sources.files import read_csv
-from spendlake.sources.tables import replace_source
+from spendlake.sources.tables import open_sources, stage_source
 
 ARC_PLC = {
     "payments": {V.ARC_CO: "arc_co_payments", V.ARC_IC: "arc_ic_payments", V.PLC: "plc_payments"},
@@ -154,23 +155,35 @@ def _reject_rows(rows: DataFrame, step: str) -> DataFrame:
 
 
 def load_source(name: str, source: Source, dims: Dimensions, entities: DataFrame, table: str, rejects_table: str) -> None:
-    """Judge a source once, as a stored table, and put its facts and rejects in place of what it held."""
+    """Judge a source once, as a stored table, and put its facts and rejects in place of what it held.
+
+    Both are written beside the former ones; one small write then makes them
+    count together. A load that dies before leaves the tables as they were.
+    """
     spark = source.payments.sparkSession
     judged_path = scratch_path(spark, f"judged-{name}")
     # By status, so that either side reads its own files only.
     judged = judge_payments(source.payments, dims, entities).withColumn("accepted", F.col("reason").isNull())
     judged.write.partitionBy("accepted").parquet(judged_path)
     rows = spark.read.schema(judged.schema).parquet(judged_path)
-    replace_source(accepted(rows.where("accepted").drop("accepted"), name), table, name)
+    load = parts.new_load()
+    stage_source(accepted(rows.where("accepted").drop("accepted"), name), table, name, load)
     left_out = _reject_rows(rejected(rows.where("NOT accepted").drop("accepted")), "load")
     if source.left_out is not None:
         left_out = left_out.unionByName(_reject_rows(source.left_out, "cleaning"))
-    left_out.write.mode("overwrite").parquet(f"{rejects_table.rstrip('/')}/source={name}")
+    left_out.write.mode("overwrite").parquet(parts.part_path(rejects_table, "source", name, load))
+    parts.switch(spark, table, {name: load})
 
 
 def open_facts(spark: SparkSession, table: str) -> DataFrame:
     """The fact table with its source, by declared schema: also right while it has no rows."""
-    return spark.read.schema(T.StructType([*PAYMENTS.fields, T.StructField("source", T.StringType())])).parquet(table)
+    return open_sources(spark, table, PAYMENTS)
+
+
+def open_rejects(spark: SparkSession, table: str, rejects_table: str) -> DataFrame:
+    """The rejects of the loads that count in the fact table, with their source."""
+    full = T.StructType([*REJECTS.fields, T.StructField("source", T.StringType())])
+    return parts.open_parts(spark, rejects_table, full, "source", parts.current(spark, table))
 
 
 def ingest(
@@ -185,14 +198,16 @@ def ingest(
 ) -> Load:
     """Load every given source; other sources of the tables stay, and loading one again replaces its rows.
 
-    The entity dimension is built once, as a table. What the load leaves behind
-    is checked against all constraints of the fact table.
+    The entity dimension is built once, as a table. The sources just loaded are
+    checked against all constraints of the fact table in one scan; an audit of
+    the whole table is ``broken_rules(load.facts, dims)``.
     """
     entities = scratch_path(spark, "entities")
     entity_dimension(dims).write.parquet(entities)
-    for name, source in read_sources(spark, paths, first, last, nutrition_last).items():
+    sources = read_sources(spark, paths, first, last, nutrition_last)
+    for name, source in sources.items():
         load_source(name, source, dims, spark.read.parquet(entities), table, rejects_table)
     facts = open_facts(spark, table)
-    broken = {name: rows.count() for name, rows in check_facts(facts, dims).items()}
-    rejects = spark.read.schema(T.StructType([*REJECTS.fields, T.StructField("source", T.StringType())])).parquet(rejects_table)
-    return Load(facts, rejects, {name: n for name, n in broken.items() if n})
+    loaded = facts.where(F.col("source").isin(list(sources))).drop("source")
+    broken = {row.rule: row.broken for row in broken_rules(loaded, dims).collect()}
+    return Load(facts, open_rejects(spark, table, rejects_table), broken)

@@ -27,7 +27,7 @@ from spendlake.queries.proxies import (
 from spendlake.session import scratch_path
 from spendlake.sources.files import csv_rejects, read_csv, read_lines, write_sorted_csv
 from spendlake.sources.literals import literal_relation
-from spendlake.sources.tables import append_facts, insert_if_absent, upsert
+from spendlake.sources.tables import append_facts, insert_if_absent, lay_out, open_buckets, upsert, upsert_into
 
 QUERIES = Registry()
 
@@ -185,6 +185,26 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return doubles(upsert(base, writes, ["p_partkey"], ["ord"]), "price")
 
 
+@QUERIES.add(
+    "sink_upsert_touched",
+    "S6",
+    """SELECT p_partkey, p_name, CAST(CAST(p_retailprice AS DECIMAL(14,2))
+              * CASE WHEN p_partkey % 1000 = 0 THEN 3 ELSE 1 END AS DOUBLE) AS price FROM part
+       UNION ALL SELECT -p_partkey, 'new', 1 FROM part WHERE p_partkey % 1000 = 0""",
+)
+def sink_upsert_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table changed in place: two batches, the second of which wins."""
+    base = table(spark, sf, "part").select("p_partkey", "p_name", money("p_retailprice").alias("price"))
+    path = lay_out(base, scratch_path(spark, "buckets"), ["p_partkey"], buckets=32)
+    some = base.where("p_partkey % 1000 = 0")
+    for factor in (2, 3):
+        changed = some.withColumn("price", (F.col("price") * factor).cast("decimal(14,2)"))
+        added = some.select((-F.col("p_partkey")).alias("p_partkey"), F.lit("new").alias("p_name"), F.lit(factor - 2).cast("decimal(14,2)").alias("price"))
+        batch = changed.unionByName(added).withColumn("ord", F.lit(factor))
+        upsert_into(spark, path, base.schema, batch, ["p_partkey"], ["ord"])
+    return doubles(open_buckets(spark, path, base.schema), "price")
+
+
 @QUERIES.add(
     "sink_insert_if_absent",
     "S7",

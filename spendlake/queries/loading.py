@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlake import schemas
 from spendlake.functions.parens import paren_depth as depth_of
 from spendlake.functions.scalars import normalise_code
 from spendlake.operators import quality
@@ -12,7 +13,7 @@ from spendlake.operators.combine import union_all
 from spendlake.operators.joins import entity_dimension
 from spendlake.operators.ordering import with_position
 from spendlake.plans import commodity, conservation, dimensions, facts, insurance, nutrition, practices
-from spendlake.plans.ingest import Source, load_source, open_facts
+from spendlake.plans.ingest import Source, load_source, open_facts, open_rejects
 from spendlake.queries import Registry
 from spendlake.queries.proxies import (
     CELLS_SQL,
@@ -685,7 +686,58 @@ def load_facts(spark: SparkSession, sf: str) -> DataFrame:
         "practice_code",
         "practice_code_variant",
     ]
-    return doubles(facts.accepted(_judged(spark, sf)).select(stored_columns), "payment")
+    # Judged once, as a load does.
+    return doubles(facts.accepted(stored(_judged(spark, sf), "judged")).select(stored_columns), "payment")
+
+
+# Stored rows of which some are spoiled, so that every rule is broken by some rows and by no others.
+SPOILED = {
+    "id": "CASE WHEN year = 1996 THEN NULL ELSE 100 * year + coalesce(program_id, 0) % 7 END",
+    "title_id": "CASE WHEN year = 1993 THEN -title_id ELSE title_id END",
+    "subtitle_id": "CASE WHEN year = 1994 AND subtitle_id % 2 = 0 THEN 1 ELSE subtitle_id END",
+    "program_id": "CASE WHEN state_code = '03' THEN 0 ELSE program_id END",
+    "sub_program_id": "CASE WHEN state_code = '04' THEN 0 ELSE sub_program_id END",
+    "sub_sub_program_id": "CASE WHEN state_code = '05' THEN 0 ELSE sub_sub_program_id END",
+    "practice_category_id": "CASE WHEN state_code = '06' THEN 0 ELSE practice_category_id END",
+    "state_code": "CASE WHEN state_code = '07' THEN NULL WHEN state_code = '08' THEN '008' ELSE state_code END",
+    "year": "CASE WHEN state_code = '09' THEN NULL ELSE year END",
+    "practice_code": "CASE WHEN state_code = '10' THEN 'x' || practice_code WHEN state_code = '11' THEN repeat(practice_code, 101) ELSE practice_code END",
+    "practice_code_variant": "CASE WHEN state_code = '12' THEN repeat(practice_code_variant, 101) ELSE practice_code_variant END",
+}
+
+
+def _one_pass_sql() -> str:
+    kept = [f"{expression} AS {name}" for name, expression in SPOILED.items()]
+    unique = ", ".join(schemas.PAYMENT_UNIQUE)
+    present = " AND ".join(f"{name} IS NOT NULL" for name in schemas.PAYMENT_UNIQUE)
+    keys = {
+        "state_code": "SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') FROM nation WHERE n_nationkey < 24",
+        "practice_code": """SELECT CASE WHEN k >= 100 THEN CAST(k AS VARCHAR) ELSE 'E' || k || 'X' END
+                            FROM (SELECT p_partkey % 700 AS k FROM part WHERE p_partkey % 700 < 600)""",
+    }
+    rules = [
+        "SELECT 'primary key' AS rule, count(*) AS broken FROM (SELECT id FROM spoiled GROUP BY id HAVING id IS NULL OR count(*) > 1)",
+        f"SELECT 'unique node, state and year', count(*) FROM (SELECT {unique} FROM spoiled WHERE {present} GROUP BY {unique} HAVING count(*) > 1)",
+        "SELECT 'state and year present', count(*) FROM spoiled WHERE state_code IS NULL OR year IS NULL",
+    ]
+    for column, (dimension, key) in schemas.PAYMENT_REFERENCES.items():
+        known = keys.get(column, f"SELECT {key} FROM {dimension}")
+        rules.append(f"SELECT '{column} known', count(*) FROM spoiled WHERE {column} IS NOT NULL AND {column} NOT IN ({known})")
+    for column, longest in schemas.PAYMENT_LENGTHS.items():
+        rules.append(f"SELECT '{column} length', count(*) FROM spoiled WHERE length({column}) > {longest}")
+    return f"""{_LOAD_SQL}, stored AS (SELECT *, variant AS practice_code_variant FROM judged WHERE reason IS NULL),
+        spoiled AS (SELECT {', '.join(kept)} FROM stored)
+        SELECT * FROM ({' UNION ALL '.join(rules)}) WHERE broken > 0"""
+
+
+@QUERIES.add("load_check_one_pass", "L11", _one_pass_sql())
+def load_check_one_pass(spark: SparkSession, sf: str) -> DataFrame:
+    """All constraints of a load in one scan of its facts."""
+    dims = proxy_dimensions(spark, sf)
+    rows = facts.accepted(stored(facts.judge_payments(_load_rows(spark, sf), dims), "judged"))
+    kinds = {field.name: field.dataType.simpleString() for field in schemas.PAYMENTS.fields}
+    spoiled = rows.select(*[F.expr(SPOILED.get(name, name)).cast(kind).alias(name) for name, kind in kinds.items()])
+    return facts.broken_rules(spoiled, dims)
 
 
 @QUERIES.add("load_rejects", "L11", f"{_LOAD_SQL} SELECT reason, count(*) AS row_count FROM judged WHERE reason IS NOT NULL GROUP BY reason")
@@ -697,15 +749,15 @@ def _load_by_flag(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Line items as one source per return flag, each loaded in a call of its own and the first one twice."""
     dims = proxy_dimensions(spark, sf)
     entities = stored(entity_dimension(dims), "entities")
-    rows = _load_rows(spark, sf, "l_returnflag")
+    # The files of the sources: derived once, as they would lie there.
+    rows = stored(_load_rows(spark, sf, "l_returnflag"), "source-rows")
     base = scratch_path(spark, "load")
     for flag in [*FLAGS, FLAGS[0]]:
         own = rows.where(F.col("l_returnflag") == flag).drop("l_returnflag")
         # Early years are what a cleaning step would leave out.
         early = own.where("year < 1996").select("state_code", "year", F.lit("year out of range").alias("reason"))
         load_source(flag, Source(own.where("year >= 1996"), early), dims, entities, f"{base}/facts", f"{base}/rejects")
-    rejects = spark.read.schema("step string, reason string, row string, source string").parquet(f"{base}/rejects")
-    return open_facts(spark, f"{base}/facts"), rejects
+    return open_facts(spark, f"{base}/facts"), open_rejects(spark, f"{base}/facts", f"{base}/rejects")
 
 
 @QUERIES.add(

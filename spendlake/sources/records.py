@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendlake.functions import scalars as S
-from spendlake.operators.joins import small_side
+from spendlake.operators.joins import BROADCAST_ROWS
 from spendlake.session import scratch_path
 
 # A quoted field from its opening quote, at the start or after a comma, to the next comma after the closing one.
@@ -163,12 +163,14 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> tuple[str | None,
         F.min(F.when(F.col("block") == F.col("head.block"), F.struct("file", F.col("first.line").alias("line"), F.col("first.shut").alias("shut")))).alias("top"),
         F.min(F.when(F.col("unclosed"), F.col("file"))).alias("unclosed"),
         F.every("plain").alias("plain"),
+        F.count(F.lit(1)).alias("splits"),
     ).first()
     if told.unclosed:
         raise ValueError(f"a quoted field is not closed in {told.unclosed}")
     if told.top and told.top.shut:
         raise ValueError(f"the header goes over several lines in {told.top.file}")
-    known = small_side(splits.drop("first", "unclosed"))
+    known = splits.drop("first", "unclosed")
+    known = F.broadcast(known) if told.splits <= BROADCAST_ROWS else known
     placed = lines.join(known, _SPLIT)
     # As a condition: a check or cast of records that is moved down meets a null where a line is no record.
     whole = F.when(F.col("plain"), F.col("line"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators import joins, quality
 from spendlake.operators.joins import Dimensions
-from spendlake.sources import tables
+from spendlake.sources import parts, tables
 
 
 @pytest.fixture(scope="module")
@@ -143,8 +143,10 @@ def test_append_and_replace(spark, rows, tmp_path):
     tables.replace_source(facts, path, "a")
     tables.replace_source(facts.where("year = 2015"), path, "b")
     tables.replace_source(facts.where("year = 2015"), path, "a")
-    table = spark.read.parquet(path)
+    table = tables.open_sources(spark, path, facts.schema)
     assert rows(table.groupBy("source", "year").count()) == [("a", 2015, 2), ("b", 2015, 2)]
+    assert parts.drop_replaced(spark, path, "source", parts.current(spark, path)) == 1
+    assert table.count() == 4
     pruned = table.where("year = 2014 AND source = 'a'")
     assert pruned.count() == 0
 
@@ -173,3 +175,47 @@ def test_leaf_rows(spark, rows):
     )
     assert rows(leaf_rows(facts, subs), "i") == [(3,), (4,), (5,)]
     assert rows(leaf_rows(facts.withColumn("x", F.lit(1)), subs.limit(0)), "i") == [(1,), (2,), (3,), (4,), (5,)]
+
+
+def test_a_replace_that_dies_changes_nothing(spark, rows, tmp_path):
+    facts = spark.createDataFrame([(2014, 1), (2015, 2)], "year int, v int")
+    path = str(tmp_path / "facts")
+    tables.replace_source(facts, path, "a")
+    broken = facts.withColumn("v", F.when(F.col("year") == 2015, F.raise_error(F.lit("dead"))).otherwise(7).cast("int"))
+    with pytest.raises(Exception, match="dead"):
+        tables.replace_source(broken, path, "a")
+    assert rows(tables.open_sources(spark, path, facts.schema), "year", "v", "source") == [(2014, 1, "a"), (2015, 2, "a")]
+    # Also where the files were written and only the switch was not.
+    tables.stage_source(facts.limit(1), path, "a", parts.new_load())
+    assert tables.open_sources(spark, path, facts.schema).count() == 2
+    assert tables.open_sources(spark, str(tmp_path / "none"), facts.schema).count() == 0
+
+
+def test_upsert_into_keeps_the_files_of_other_buckets(spark, rows, tmp_path):
+    base = spark.range(1000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    path = tables.lay_out(base, str(tmp_path / "t"), ["k"], 16)
+    files = lambda: {row[0] for row in tables.open_buckets(spark, path, base.schema).select("_metadata.file_path").distinct().collect()}
+    before = files()
+    updates = spark.createDataFrame([(5, "first", 1), (5, "last", 2), (5000, "new", 1)], "k long, v string, ord int")
+    assert tables.upsert_into(spark, path, base.schema, updates, ["k"], ["ord"]) <= 2
+    assert len(before & files()) >= 14
+    table = tables.open_buckets(spark, path, base.schema)
+    assert rows(table.where("v <> 'old'")) == [(5, "last"), (5000, "new")] and table.count() == 1001
+    assert tables.upsert_into(spark, path, base.schema, updates.limit(0), ["k"], ["ord"]) == 0
+    broken = updates.withColumn("v", F.when(F.col("k") == 5, F.raise_error(F.lit("dead"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="dead"):
+        tables.upsert_into(spark, path, base.schema, broken, ["k"], ["ord"])
+    assert rows(tables.open_buckets(spark, path, base.schema).where("v <> 'old'")) == [(5, "last"), (5000, "new")]
+
+
+def test_insert_of_many_rows_asks_a_bloom_filter(spark, plan, monkeypatch):
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", 10)
+    base = spark.range(0, 5000, 2).select("id", F.lit("old").alias("v"))
+    new = spark.range(1000).select("id", F.lit("new").alias("v"))
+    found = tables.insert_if_absent(base, new, ["id"], ["v"])
+    assert "bitmap_construct_agg" in plan(found)
+    assert sorted(map(tuple, found.groupBy("v").count().collect())) == [("new", 500), ("old", 2500)]
+    # None of the base keys asked for is lost, and few others pass.
+    few = tables._maybe_held(spark.range(100_000), ["id"], spark.range(0, 100_000, 100), 1000)
+    ids = {row.id for row in few.collect()}
+    assert set(range(0, 100_000, 100)) <= ids and len(ids) < 12_000

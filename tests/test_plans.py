@@ -14,9 +14,11 @@ from spendlake import fixed_values as V
 from spendlake import schemas
 from spendlake.plans import commodity, conservation, reports
 from spendlake.plans.dimensions import open_dimensions, seed_dimensions, store_dimensions
-from spendlake.plans.facts import check_dimensions, check_facts, load_facts
-from spendlake.plans.ingest import ingest, read_sources, source_payments
+from spendlake.plans import ingest as ingest_module
+from spendlake.plans.facts import broken_rules, check_dimensions, check_facts, load_facts
+from spendlake.plans.ingest import ingest, open_facts, open_rejects, read_sources, source_payments
 from spendlake.sources.files import csv_rejects, read_csv
+from spendlake.sources.tables import stage_source
 
 
 @pytest.fixture(scope="module")
@@ -286,6 +288,49 @@ def test_rows_of_equal_key_have_ids_of_their_own(spark, dims):
     assert facts.join(other, "id").count() == 0
 
 
+def test_ids_do_not_depend_on_the_layout(spark, dims):
+    """Unique keys, keys with several contents, and rows equal in everything, some of them thousands of times."""
+    values = [("program", V.PLC, "IA", 2014, 1.0)] * 25_000 + [("program", V.PLC, "IA", 2014, 2.0)] * 3
+    values += [("program", V.PLC, "IA", 2015 + n % 2, float(n)) for n in range(40)] + [("program", V.PLC, "OH", 2014, 1.0)]
+    payments = spark.createDataFrame(values, "entity_type string, entity_name string, state_code string, year int, amount double")
+    found = []
+    for parts in (1, 7):
+        facts, _ = load_facts(payments.repartition(parts), dims, "x")
+        found.append(sorted((row.id, row.year, row.payment) for row in facts.select("id", "year", "payment").collect()))
+    assert found[0] == found[1] and len(found[0]) == len(values) == len({row[0] for row in found[0]})
+
+
+def test_broken_rules_are_those_of_the_single_checks(spark, dims, loaded, plan):
+    facts = loaded[0].drop("source")
+    first = facts.limit(1)
+    spoiled = facts.unionByName(first).unionByName(first.withColumn("state_code", F.lit("XYZ")).withColumn("id", F.lit(None).cast("long")))
+    spoiled = spoiled.unionByName(first.withColumns({"year": F.lit(None).cast("int"), "program_id": F.lit(-1), "practice_code": F.lit("q" * 101)}))
+    want = {name: check.count() for name, check in check_facts(spoiled, dims).items()}
+    found = broken_rules(spoiled, dims)
+    assert {row.rule: row.broken for row in found.collect()} == {name: n for name, n in want.items() if n} and len(want) == 14
+    assert broken_rules(facts, dims).count() == 0
+    text = plan(broken_rules(loaded[0], dims))
+    assert text.count("payment") == 0 and text.count("hashpartitioning(rule") == 2
+
+
+def test_a_load_that_dies_leaves_rows_and_rejects(spark, files, dims, tmp_path, monkeypatch):
+    table, rejects = str(tmp_path / "facts"), str(tmp_path / "rejects")
+    given = {name: files[name] for name in ("snap_costs", "snap_participation")}
+    before = ingest(spark, given, dims, table, rejects, 2014, 2016, 2016)
+    held = sorted(map(str, before.facts.collect())), sorted(map(str, before.rejects.collect()))
+    dead = F.raise_error(F.lit("dead")).cast("string")
+    for target in ("_reject_rows", "stage_source"):
+        with monkeypatch.context() as m:
+            if target == "_reject_rows":
+                m.setattr(ingest_module, target, lambda rows, step: rows.select(*[dead.alias(name) for name in ("step", "reason", "row")]).union(spark.createDataFrame([("a", "b", "c")], "step string, reason string, row string").withColumn("row", dead)))
+            else:
+                m.setattr(ingest_module, target, lambda facts, *where: stage_source(facts.withColumn("payment", dead.cast("decimal(14,2)")), *where))
+            with pytest.raises(Exception, match="dead"):
+                ingest(spark, given, dims, table, rejects, 2014, 2016, 2016)
+        now = open_facts(spark, table), open_rejects(spark, table, rejects)
+        assert (sorted(map(str, now[0].collect())), sorted(map(str, now[1].collect()))) == held
+
+
 def test_load_types(loaded):
     facts, _, _ = loaded
     kinds = {field.name: field.dataType for field in schemas.PAYMENTS}
