@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from spendlake.fixed_values import MISSING_TEXTS
 from spendlake.functions import scalars as S
-from spendlake.sources.records import csv_records, fields_in, parsed
+from spendlake.sources.records import csv_records, fields_in, header_names, parsed
 
 
 _MISFIT = "_misfit"
@@ -21,8 +21,8 @@ def _raw_csv(spark: SparkSession, path: str | list[str]) -> tuple[list[str], Dat
 
     Every file is checked for the header of the first one.
     """
-    headers = spark.read.option("header", True).option("escape", '"').csv(path).columns
     header, records = csv_records(spark, path)
+    headers = header_names(header) if header else []
     numbered = [f"_{n}" for n in range(len(headers))]
     other = F.raise_error(F.concat(F.lit("another header than the first file's in "), F.col("file")))
     same = parsed(F.col("header"), numbered).eqNullSafe(parsed(F.lit(header or ""), numbered)) & (fields_in(F.col("header")) == len(headers))

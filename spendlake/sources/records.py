@@ -11,7 +11,10 @@ of records that do have breaks are brought together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import csv
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spendlake.functions import scalars as S
@@ -21,6 +24,8 @@ from spendlake.session import scratch_path
 # A quoted field from its opening quote, at the start or after a comma, to the next comma after the closing one.
 _QUOTED = r'(?:^|(?<=,))"[^"]*"[^,]*'
 _SPLIT = ["file", "block"]
+_SPLITS = """file string, unclosed boolean, head struct<block:bigint,pos:bigint>, block bigint, state boolean, origin bigint,
+    `end` boolean, plain boolean, first struct<pos:bigint,line:string,shut:boolean>"""
 
 
 def unquoted(text: Column) -> Column:
@@ -157,14 +162,18 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> tuple[str | None,
     """
     lines = _lines(spark, path)
     where = scratch_path(spark, "splits")
-    _splits(lines).write.parquet(where)
-    splits = spark.read.parquet(where)
-    told = splits.agg(
-        F.min(F.when(F.col("block") == F.col("head.block"), F.struct("file", F.col("first.line").alias("line"), F.col("first.shut").alias("shut")))).alias("top"),
+    top = F.struct("file", F.col("first.line").alias("line"), F.col("first.shut").alias("shut"))
+    # What the driver must know of the splits is gathered while they are written.
+    seen = Observation()
+    _splits(lines).observe(
+        seen,
+        F.min(F.when(F.col("block") == F.col("head.block"), top)).alias("top"),
         F.min(F.when(F.col("unclosed"), F.col("file"))).alias("unclosed"),
         F.every("plain").alias("plain"),
         F.count(F.lit(1)).alias("splits"),
-    ).first()
+    ).write.parquet(where)
+    splits = spark.read.schema(_SPLITS).parquet(where)
+    told = Row(**seen.get)
     if told.unclosed:
         raise ValueError(f"a quoted field is not closed in {told.unclosed}")
     if told.top and told.top.shut:
@@ -184,6 +193,13 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> tuple[str | None,
     return header, records
 
 
+def header_names(header: str) -> list[str]:
+    """The names in a header line: one that is empty is named after its place, and one that occurs again gets it added."""
+    names = next(csv.reader([header]))
+    held = Counter(name.lower() for name in names)
+    return [f"_c{n}" if not name else f"{name}{n}" if held[name.lower()] > 1 else name for n, name in enumerate(names)]
+
+
 def fields_in(record: Column) -> Column:
     """How many fields a record has."""
     return F.size(F.split(unquoted(record), ","))
