@@ -7,16 +7,18 @@ chosen. Short texts and near ties are encoded again with more effort, which then
 decides. The margin to the runner-up, as a share of the runner-up's bytes, is the
 score; a text whose margin is narrow is rejected.
 
-The sample is bounded by ``rows_per_language`` documents, of which at most
-``chars_per_row`` characters each are read, and by ``dictionary_bytes``, which the
-documents share: the longer ones are cut to one length. Copies of a text count
-once. The documents are those with the smallest hashes of their text, so the sample does
-not depend on the order of rows. Predictions read whole texts.
-
-Defined results: a null text or one without a letter is ``und`` with score 0 and
+The sample is bounded by ``ROWS_PER_LANGUAGE`` documents and by
+``DICTIONARY_BYTES``, which they share: a longer document gives pieces of whole
+words from all over its text, evenly spaced. Copies of a text count once. The
+documents are those with the smallest hashes of their text, so the sample does
+not depend on the order of rows; they are found in two steps, by language and
+part of the hashes and then by language. Predictions read whole texts.
+
+Defined results: a letter is what ``str.isalpha`` says; a null text or one without a letter is ``und`` with score 0 and
 rejected; with no labelled row everything is ``und``; with one language every
-text with a letter is that language with score 1; equal byte counts go to the
-first language by name, with score 0. Rows are judged one by one.
+text with a letter is that language with score 1; of a few words with equal byte
+counts all beginnings and ends are encoded too; if that is equal as well the
+language of more labelled rows is taken (then the first by name), with score 0. Rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -28,12 +30,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.text import KEY, keyed, same_key
+from spendlake.llm.text import keyed, stored
 
 ROWS_PER_LANGUAGE = 400
-CHARS_PER_ROW = 2_000
 DICTIONARY_BYTES = 1 << 17
-MAX_LANGUAGES = 500
+# Parts of the hashes that are thinned out one by one, so that a language of most rows is not one task's.
+HASH_PARTS = 64
+# Bytes that one document gives at most, and of one piece of a longer one.
+EXCERPT_BYTES = 4_096
+SPAN_BYTES = 64
 PIECE_BYTES = 2_048
 # Effort of the first encoding, and of the one that decides short texts and near ties.
 LEVEL, CLOSE_LEVEL = 3, 12
@@ -43,40 +48,71 @@ SHORT_BYTES = 400
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
 
+# Word characters but digits and the underscore; of these, what is no letter is taken out.
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def letters_only(text: str | None) -> bytes:
     """The words of a text, letters only, in lower case, one space apart."""
-    return " ".join(LETTERS.findall(text.lower())).encode() if text else b""
+    if not text:
+        return b""
+    words = LETTERS.findall(text.lower())
+    if not text.isascii():
+        words = [part for word in words for part in ([word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split())]
+    return " ".join(words).encode()
+
+
+def spaced(content: bytes, size: int) -> bytes:
+    """At most ``size`` bytes of a text, in pieces of whole words that are evenly spaced over all of it."""
+    if len(content) <= size:
+        return content
+    pieces, count = [], max(1, size // SPAN_BYTES)
+    for n in range(count):
+        start = n * (len(content) - SPAN_BYTES) // count
+        start = content.find(b" ", start) + 1 if start else 0
+        piece = content[start : start + SPAN_BYTES]
+        pieces.append(piece[: piece.rfind(b" ") + 1] or piece)
+    return b"".join(pieces)[:size]
 
 
 def spread(parts: list[bytes], budget: int) -> bytes:
-    """All parts in a row, the longer ones cut to one length at which they fit."""
+    """All parts in a row, the longer ones thinned to one length at which they fit."""
     taken = {}
     for k, n in enumerate(sorted(range(len(parts)), key=lambda n: len(parts[n]))):
         taken[n] = min(len(parts[n]), budget // (len(parts) - k))
         budget -= taken[n]
-    return b"".join(part[: taken[n]] for n, part in enumerate(parts))
+    return b"".join(spaced(part, taken[n]) for n, part in enumerate(parts))
 
 
 def dictionaries(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
-    """The raw dictionary of every language among the labelled rows given."""
+    """The raw dictionary of every language among the labelled rows given.
+
+    What reaches the driver is excerpts, taken from whole texts in the tasks: at
+    most ``2 * DICTIONARY_BYTES`` a language.
+    """
     labelled = keyed(docs.filter(F.col(lang_col).isNotNull()), text_col, text_col, F.col(lang_col).alias("k_lang"))
     labelled = labelled.drop("k_id").filter(F.col("text") != "")
-    languages = labelled.select("k_lang").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages among the labels")
     # The limit per group is applied in each task before anything is moved.
-    first = F.row_number().over(Window.partitionBy("k_lang").orderBy("k_text"))
-    ids = labelled.select("k_lang", "k_text").distinct().withColumn("first", first).filter(F.col("first") <= ROWS_PER_LANGUAGE)
-    ids = F.broadcast(ids.select("k_lang", "k_text"))
-    sample = labelled.join(ids, ["k_lang", "k_text"]).select("k_lang", "k_text", F.substring("text", 1, CHARS_PER_ROW).alias("part"))
-    rows = sorted((r.k_lang, r.k_text, r.part) for r in sample.distinct().collect())
+    part = F.pmod("k_text", F.lit(HASH_PARTS))
+    first = F.row_number().over(Window.partitionBy("k_lang", "part").orderBy("k_text"))
+    some = labelled.select("k_lang", "k_text").distinct().withColumn("part", part).withColumn("first", first).filter(F.col("first") <= ROWS_PER_LANGUAGE)
+    best = F.row_number().over(Window.partitionBy("k_lang").orderBy("k_text"))
+    chosen = some.select("k_lang", "k_text").withColumn("first", best).filter(F.col("first") <= ROWS_PER_LANGUAGE)
+    share = F.least(F.lit(EXCERPT_BYTES), F.floor(F.lit(2 * DICTIONARY_BYTES) / F.count("*").over(Window.partitionBy("k_lang"))))
+    ids = stored(chosen.select("k_lang", "k_text", share.alias("share")), "sample-ids")
+
+    @F.pandas_udf("binary")
+    def excerpt(texts: pd.Series, shares: pd.Series) -> pd.Series:
+        return pd.Series([spaced(letters_only(text), share) + b" " for text, share in zip(texts, shares)])
+
+    sample = labelled.join(F.broadcast(ids), ["k_lang", "k_text"]).select("k_lang", "k_text", excerpt("text", "share").alias("part"))
+    rows = sorted((r.k_lang, r.k_text, bytes(r.part)) for r in sample.dropDuplicates(["k_lang", "k_text"]).collect())
     parts: dict[str, list[bytes]] = {}
-    for lang, _, part in rows:
-        parts.setdefault(lang, []).append(letters_only(part) + b" ")
-    raw = {lang: spread(own, DICTIONARY_BYTES) for lang, own in sorted(parts.items())}
+    for lang, _, content in rows:
+        parts.setdefault(lang, []).append(content)
+    labels = {row.k_lang: row.n for row in labelled.groupBy("k_lang").agg(F.count("*").alias("n")).filter(F.col("k_lang").isin(list(parts))).collect()}
+    # The most frequent language first.
+    raw = {lang: spread(parts[lang], DICTIONARY_BYTES) for lang in sorted(parts, key=lambda lang: (-labels[lang], lang))}
     return {lang: content for lang, content in raw.items() if content.strip()}
 
 
@@ -95,11 +131,17 @@ def compressors(raw: dict[str, bytes], level: int) -> Compressors:
 
 
 def smallest(content: bytes, by_language: Compressors) -> tuple[str, float]:
+    """The language of the fewest bytes and its margin; of equal ones the first, as the most frequent ones come first."""
     pieces = [content[i : i + PIECE_BYTES] for i in range(0, len(content), PIECE_BYTES)]
-    sizes = sorted((sum(len(c.compress(piece)) for piece in pieces), lang) for lang, c in by_language.items())
+    sizes = sorted((sum(len(c.compress(piece)) for piece in pieces), n, lang) for n, (lang, c) in enumerate(by_language.items()))
+    if len(sizes) > 1 and sizes[0][0] == sizes[1][0] and len(content) <= SHORT_BYTES:
+        # Whole bytes are too coarse for a few words: all beginnings and ends of them are encoded.
+        parts = [part for i in range(1, len(content)) for part in (content[:i], content[i:])]
+        tied = [(n, lang) for size, n, lang in sizes if size == sizes[0][0]]
+        sizes = sorted((sum(len(by_language[lang].compress(part)) for part in parts), n, lang) for n, lang in tied)
     if len(sizes) == 1:
-        return sizes[0][1], 1.0
-    return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        return sizes[0][2], 1.0
+    return sizes[0][2], (sizes[1][0] - sizes[0][0]) / max(sizes[1][0], 1)
 
 
 def classify(text: str | None, fast: Compressors, close: Compressors) -> tuple[str, float]:
@@ -130,6 +172,8 @@ def predictor(docs: DataFrame, raw: dict[str, bytes]):
 
 def identify(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """All columns and ``language``: struct<lang_pred, score>, learned from the rows where ``train`` holds."""
+    if "language" in (name.lower() for name in docs.columns):
+        raise ValueError("the documents have a column named language")
     raw = dictionaries(docs.filter(train), text_col, lang_col)
     return docs.withColumn("language", predictor(docs, raw)(F.col(text_col)))
 

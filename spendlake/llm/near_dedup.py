@@ -44,10 +44,11 @@ SKETCH = 64
 FINE = 512
 # Chance that a link exactly at the threshold is estimated away.
 MISS = 1e-7
-# Star rounds go on while more cross pairs than this per class are ahead and each round halves them.
+# Star rounds go on while more cross meetings than this per class are ahead and each round leaves no more than this share.
 PAIRS_PER_CLASS = 8
+WORTHWHILE = 0.8
 # Leaders a class is compared with in a star round; what they miss is left to the comparison of all.
-LEADERS = 8
+LEADERS = 3
 # Rows up to which the ids of candidates are sent to every task (24 bytes each).
 BROADCAST_IDS = 400_000
 
@@ -152,8 +153,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _star_pairs(lists: DataFrame, turn: int, similarity: float) -> DataFrame:
-    """Each class with the few leaders of another component it meets in most lists."""
-    draw = F.struct(F.xxhash64(F.lit(turn), "label", "v").alias("draw"), "c", "n", "left", "label")
+    """Each class with the few leaders of another component it meets in most lists.
+
+    Leaders are by turns the class of a list that shares most of its values with
+    others, as the text does that many were copied from, and one of a random component.
+    """
+    shared = F.count("*").over(Window.partitionBy("c")) / F.col("n") if turn % 2 == 0 else F.lit(0.0)
+    lists = lists.withColumn("shared", -shared)
+    draw = F.struct("shared", F.xxhash64(F.lit(turn), "label", "v").alias("draw"), "c", "n", "left", "label")
     leaders = lists.groupBy("v", "band").agg(F.min(draw).alias("leader"))
     asked = lists.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     near = _meet(F.col("n"), F.col("left"), F.col("leader.n"), F.col("leader.left"), similarity)
@@ -176,11 +183,27 @@ def _ahead(lists: DataFrame) -> int:
 
 
 def _cross_pairs(lists: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of classes of different components that can be linked by what their lists tell."""
+    """All pairs of classes of different components that can be linked by what their lists tell.
+
+    A pair is met in the list of its first common value only: every entry has
+    the class's values that come earlier (no more than its prefix is long), and
+    entries with one of those in common met before. The conditions are hardest
+    to meet further on, so nothing is lost.
+    """
+    before = Window.partitionBy("c").orderBy(F.desc("left")).rowsBetween(Window.unboundedPreceding, -1)
+    lists = lists.withColumn("earlier", F.collect_list("v").over(before))
     one = lists.select(
-        "v", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("label").alias("l1"), F.col("c").alias("x"), F.col("n").alias("n1"), F.col("left").alias("left1")
+        "v",
+        F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"),
+        F.col("label").alias("l1"),
+        F.col("c").alias("x"),
+        F.col("n").alias("n1"),
+        F.col("left").alias("left1"),
+        F.col("earlier").alias("e1"),
+    )
+    two = lists.select(
+        "v", "band", F.col("label").alias("l2"), F.col("c").alias("y"), F.col("n").alias("n2"), F.col("left").alias("left2"), F.col("earlier").alias("e2")
     )
-    two = lists.select("v", "band", F.col("label").alias("l2"), F.col("c").alias("y"), F.col("n").alias("n2"), F.col("left").alias("left2"))
     # The smaller set, or of equal sizes the smaller class, is on the left, so a pair meets once in a list.
     ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("x") < F.col("y")))
     # As the other set is no smaller, more of the values of this one must follow.
@@ -188,7 +211,8 @@ def _cross_pairs(lists: DataFrame, similarity: float) -> DataFrame:
     far = F.when(F.col("n1") <= FINE, F.least(F.ceil(F.col("n1") * F.lit(share) - 1e-9), F.lit(needed(similarity, FINE))))
     one = one.filter(F.col("left1") + 1 >= F.coalesce(far, F.lit(needed(similarity, FINE))))
     near = _meet(F.col("n1"), F.col("left1"), F.col("n2"), F.col("left2"), similarity)
-    return _ordered(one.join(two, ["v", "band"]).filter((F.col("l1") != F.col("l2")) & ordered & near))
+    met = one.join(two, (one["v"] == two["v"]) & (one["band"] == two["band"]) & (F.col("l1") != F.col("l2")) & ordered & near & ~F.arrays_overlap("e1", "e2"))
+    return _ordered(met)
 
 
 def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -221,7 +245,7 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         ahead = _ahead(named)
         if not ahead:
             return links
-        last = ahead <= PAIRS_PER_CLASS * n_members or (before is not None and 2 * ahead > before)
+        last = ahead <= PAIRS_PER_CLASS * n_members or (before is not None and ahead > WORTHWHILE * before)
         pairs = _cross_pairs(named, similarity) if last else _star_pairs(named, turn, similarity)
         new = _linked(pairs, sets, percent)
         links = new if links is None else links.union(new)
@@ -230,29 +254,43 @@ def _links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Data
         labels, turn, before = components(links), turn + 1, ahead
 
 
+def _groups(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Per row its key, class and set size; and of every class in a group of several rows the group's first row, no_id, k_id, k_text."""
+    rows = stored(signatures(docs, size), "signatures")
+    rep = F.min(F.struct(F.col("k_id").isNull().alias("no_id"), "k_id", "k_text"))
+    grouped = rows.filter("n > 0").groupBy("c").agg(rep.alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
+    classes = stored(grouped.withColumn("rep", F.struct("first.k_id", "first.k_text")), "classes")
+    links = _links(docs, classes, size, percent)
+    named = _labelled(classes.select("c", "first", "copies"), None if links is None else components(links))
+    first = named.groupBy("label").agg(F.min("first").alias("of_group"), F.sum("copies").alias("copies")).filter("copies > 1")
+    return rows.select(*KEY, "c", "n"), named.select("c", "label").join(first, "label").select("c", "of_group")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its key, n_shingles, component_id (the smallest id of its group) and kept.
 
     Documents are linked if 100 * |intersection| >= percent * |union|.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stored(signatures(docs, size), "signatures")
-    rep = F.min(F.struct(F.col("k_id").isNull().alias("no_id"), "k_id", "k_text"))
-    grouped = rows.filter("n > 0").groupBy("c").agg(rep.alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
-    classes = stored(grouped.withColumn("rep", F.struct("rep.k_id", "rep.k_text")), "classes")
-    links = _links(docs, classes, size, percent)
-    named = _labelled(classes.select("c", "rep", "copies"), None if links is None else components(links))
-    first = named.groupBy("label").agg(F.min("rep.k_id").alias("component_id"), F.sum("copies").alias("copies")).filter("copies > 1")
-    groups = named.select("c", "label").join(first, "label").select("c", "component_id")
-    found = rows.select(*KEY, "c", "n").join(groups, "c", "left")
-    component = F.coalesce("component_id", "k_id")
-    return found.select(
+    rows, groups = _groups(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), size, percent)
+    component = F.coalesce("of_group.k_id", "k_id")
+    return rows.join(groups, "c", "left").select(
         *KEY, F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.col("k_id").eqNullSafe(component).alias("kept")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with all its columns."""
-    drop = near_duplicates(docs, size, percent).filter("NOT kept").select(*KEY).distinct()
+    """One row of each group, with all its columns.
+
+    It is a row with the smallest id (null if all are) and of those the one with
+    the smallest hash of its text, then of all its columns, so rows that repeat
+    id and text, or have no id, leave one too. A document without words is in no
+    group and stays.
+    """
+    rows, groups = _groups(docs.select("doc_id", "text"), size, percent)
+    first = F.struct(F.col("k_id").isNull().alias("no_id"), *KEY).eqNullSafe(F.col("of_group"))
+    fates = rows.filter("n > 0").join(groups, "c").select(*KEY, first.alias("stays")).distinct()
     row = keyed(docs, "doc_id", "text", F.struct("*").alias("row"))
-    return row.join(drop, same_key(row, drop), "left_anti").select("row.*")
+    judged = row.join(fates, same_key(row, fates), "left").select(row["k_id"], row["k_text"], "row", "stays")
+    # Repeats of one row are combined in every task before they meet.
+    one = judged.filter("stays").groupBy(*KEY).agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return judged.filter("stays IS NULL").select("row.*").unionByName(one.select("row.*"))

@@ -8,10 +8,14 @@ are probed more finely, until each splitter is within the tolerance. Rows below
 a splitter are known by then, so every row's place in its shard needs only its
 place in a small key range. The documents move once.
 
+Where several splitters are wanted inside the rows of one key (equal in id and
+text, or null ids of one text), the rows are numbered and cut by number: each
+partition numbers its own, and the counts of earlier partitions are added.
+
 Defined results: a null text has no bytes of its own, like an empty one; a null
-id is hashed like any value; rows equal in id and text share a key, so they
-share a shard and a splitter cannot cut between them; an empty table has no
-shards; further columns move with their rows.
+id is hashed like any value; rows equal in id and text are cut like any others;
+an empty table has no shards; further columns move with their rows, and one
+named like a result column (``shard``, ``slot``) is an error.
 """
 
 from __future__ import annotations
@@ -35,11 +39,12 @@ ROW_BYTES = 8
 
 @dataclass(frozen=True)
 class Splitter:
-    """The first key right of a cut, and exactly what lies left of it."""
+    """The first (key, number) right of a cut, and what lies left of it: rows exactly, bytes too unless it cuts a key."""
 
     key: int
     bytes_below: int
     rows_below: int
+    number: int = 0
 
 
 def size_of(text: Column) -> Column:
@@ -76,8 +81,12 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) -> list
                 for j, goal in wanted.items():
                     if low <= goal <= low + row.b and (j not in chosen):
                         near = min(left, right, key=lambda s: abs(s.bytes_below - goal))
-                        if abs(near.bytes_below - goal) <= allowed or shift == 0:
+                        if abs(near.bytes_below - goal) <= allowed:
                             chosen[j] = near
+                        elif shift == 0:
+                            # One key alone is larger than the tolerance: its rows, which are alike, are cut by number.
+                            cut = round((goal - low) * row.n / row.b)
+                            chosen[j] = right if cut == row.n else Splitter(row.bin, low + row.b * cut // row.n, count + cut, cut)
                         else:
                             open_bins[row.bin] = (low, count)
                 low, count = low + row.b, count + row.n
@@ -94,6 +103,26 @@ def splitters(keys: DataFrame, parts: int, tolerance: float = TOLERANCE) -> list
         )
 
 
+def _numbered(rows: DataFrame, heavy: list[int]) -> DataFrame:
+    """The rows with ``number``: 0, 1, ... within each heavy key, 0 elsewhere.
+
+    Rows of heavy keys are stored with a mark that fixes their order; their
+    numbers are their places in their partition after all of earlier ones.
+    """
+    if not heavy:
+        return rows.withColumn("number", F.lit(0).cast("long"))
+    is_heavy = F.col("key").isin(heavy)
+    marked = stored(rows.filter(is_heavy).withColumn("mark", F.monotonically_increasing_id()), "heavy-keys").withColumn("split", F.shiftright("mark", 33))
+    earlier = Window.partitionBy("key").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    counts = marked.groupBy("key", "split").agg(F.count("*").alias("n"))
+    before = counts.select("key", "split", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("key", "split").orderBy("mark")) - 1
+    numbered = marked.withColumn("place", place).join(before, ["key", "split"])
+    return rows.filter(~is_heavy).withColumn("number", F.lit(0).cast("long")).unionByName(
+        numbered.select(*rows.columns, (F.col("before") + F.col("place")).alias("number"))
+    )
+
+
 def placed(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (row, size, shard, slot): every row as a struct, with its shard and its place there."""
     rows = docs.select(
@@ -108,8 +137,11 @@ def placed(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, id_col:
     starts = [0] + [cut.rows_below for cut in cuts]
     for part in range(len(starts)):
         offsets[part] = starts[part] - starts[part - part % ranges]
-    part = F.size(F.filter(F.lit([cut.key for cut in cuts]).cast("array<bigint>"), lambda cut: cut <= F.col("key")))
-    ordered = Window.partitionBy("part").orderBy("key", "id", "tie")
+    rows = _numbered(rows, sorted({cut.key for cut in cuts if cut.number}))
+    places = F.array(*[F.struct(F.lit(cut.key).cast("long").alias("key"), F.lit(cut.number).cast("long").alias("number")) for cut in cuts])
+    left_of = lambda cut: (cut["key"] < F.col("key")) | ((cut["key"] == F.col("key")) & (cut["number"] <= F.col("number")))
+    part = F.size(F.filter(places, left_of)) if cuts else F.lit(0)
+    ordered = Window.partitionBy("part").orderBy("key", "number", "id", "tie")
     return rows.withColumn("part", part).select(
         "row",
         "size",
@@ -119,7 +151,8 @@ def placed(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, id_col:
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents with ``shard`` and ``slot`` after their own columns, which win if they have those names."""
-    found = placed(docs, shards)
-    new = [name for name in ("shard", "slot") if name not in docs.columns]
-    return found.select("row.*", *new)
+    """The documents with ``shard`` and ``slot`` after their own columns, which must not have those names."""
+    taken = [name for name in docs.columns if name.lower() in ("shard", "slot")]
+    if taken:
+        raise ValueError(f"the documents have columns named like results: {', '.join(taken)}")
+    return placed(docs, shards).select("row.*", "shard", "slot")

@@ -89,7 +89,16 @@ def test_near_duplicates(odd):
     assert {(6, 1, 6, True), (7, 1, 6, False), (8, 1, 6, False), (2, 0, 2, True), (3, 0, 3, True)} <= set(rows)
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
     kept = near_dedup.drop_near_duplicates(odd, 3, 85)
-    assert kept.columns == odd.columns and kept.count() == len(rows) - 3
+    assert kept.columns == odd.columns and kept.count() == len(rows) - 4
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "a"), (1, text, "b"), (1, text, "c"), (None, text + " x", "d"), (None, "a b c d e f", "e"), (None, "a b c d e f", "f"), (9, "", "g"), (9, "", "h")]
+    # Another text of the smallest id is a document of its own.
+    rows += [(1, "quite another text of words", "i")]
+    kept = near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(4)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "a b c d e f"), (1, text), (1, "quite another text of words"), (9, ""), (9, "")]
 
 
 def test_near_duplicates_in_a_group_of_many(spark):
@@ -163,6 +172,22 @@ def test_language(odd):
     assert language_id.keep_identified(odd, F.lit(True)).columns == odd.columns
 
 
+def test_signs_that_are_no_letters(spark):
+    signs = ["½", "² ³", "①", "Ⅷ", "x½", "123 _"]
+    rows = spark.createDataFrame([(n, text, "en") for n, text in enumerate([*signs, "some words"])], "doc_id long, text string, lang string")
+    found = {r.text: r.language.lang_pred for r in language_id.identify(rows, F.lit(True)).collect()}
+    assert found == {**{text: "und" for text in signs}, "x½": "en", "some words": "en"}
+    with pytest.raises(ValueError, match="language"):
+        language_id.identify(rows.withColumn("language", F.lit(1)), F.lit(True))
+
+
+def test_a_long_text_is_learned_from_all_over(spark):
+    text = " ".join(f"word{chr(97 + n // 676)}{chr(97 + n // 26 % 26)}{chr(97 + n % 26)}" for n in range(8000))
+    raw = language_id.dictionaries(spark.createDataFrame([(text, "en")], "text string, lang string"))["en"]
+    assert 0.8 * language_id.EXCERPT_BYTES <= len(raw) <= language_id.EXCERPT_BYTES + 1
+    assert b"wordaaa" in raw and raw.split()[-1] > b"wordlj" and set(raw.decode().split()) <= set(text.split())
+
+
 def test_language_sample_is_of_distinct_texts_and_all_of_them(spark):
     def name(n):
         return "".join(chr(97 + int(d)) for d in f"{n:03d}")
@@ -225,6 +250,8 @@ def test_pii_joined_terms_equal_broadcast_terms(spark, monkeypatch):
 
 
 def test_sharding(odd, spark):
+    with pytest.raises(ValueError, match="shard"):
+        sharding.sharded(odd, 3)
     out = sharding.sharded(odd.drop("shard"), 3)
     assert out.columns == [*odd.drop("shard").columns, "shard", "slot"]
     rows = out.collect()
@@ -232,11 +259,18 @@ def test_sharding(odd, spark):
     for shard in {r.shard for r in rows}:
         slots = sorted(r.slot for r in rows if r.shard == shard)
         assert slots == list(range(len(slots)))
-    assert sharding.sharded(odd.limit(0)).count() == 0
+    assert sharding.sharded(odd.drop("shard").limit(0)).count() == 0
     # A third of all rows has one text: the group is cut.
     hot = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
     sizes = [r.b for r in sharding.placed(hot, 8).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     assert len(sizes) == 8 and max(sizes) <= 1.02 * min(sizes)
+    # A third of all rows has no id and one text: rows that repeat are cut too.
+    rows = hot.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id"))).repartition(5)
+    found = sharding.sharded(rows, 8).collect()
+    by_shard = {n: [r for r in found if r.shard == n] for n in range(8)}
+    sizes = [sum(8 + len(r.text) for r in own) for own in by_shard.values()]
+    assert len(found) == 3000 and max(sizes) <= 1.02 * min(sizes)
+    assert all(sorted(r.slot for r in own) == list(range(len(own))) for own in by_shard.values())
 
 
 def test_url_filters(spark):
