@@ -190,7 +190,7 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
     "S6",
     """SELECT p_partkey, p_name, CAST(CAST(p_retailprice AS DECIMAL(14,2))
               * CASE WHEN p_partkey % 1000 = 0 THEN 3 ELSE 1 END AS DOUBLE) AS price FROM part
-       UNION ALL SELECT -p_partkey, 'new', 1 FROM part WHERE p_partkey % 1000 = 0""",
+       UNION ALL SELECT -p_partkey - 1, 'new', 1 FROM part WHERE p_partkey % 1000 = 0""",
 )
 def sink_upsert_touched(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table changed in place: two batches, the second of which wins."""
@@ -199,7 +199,7 @@ def sink_upsert_touched(spark: SparkSession, sf: str) -> DataFrame:
     some = base.where("p_partkey % 1000 = 0")
     for factor in (2, 3):
         changed = some.withColumn("price", (F.col("price") * factor).cast("decimal(14,2)"))
-        added = some.select((-F.col("p_partkey")).alias("p_partkey"), F.lit("new").alias("p_name"), F.lit(factor - 2).cast("decimal(14,2)").alias("price"))
+        added = some.select((-F.col("p_partkey") - 1).alias("p_partkey"), F.lit("new").alias("p_name"), F.lit(factor - 2).cast("decimal(14,2)").alias("price"))
         batch = changed.unionByName(added).withColumn("ord", F.lit(factor))
         upsert_into(spark, path, base.schema, batch, ["p_partkey"], ["ord"])
     return doubles(open_buckets(spark, path, base.schema), "price")
