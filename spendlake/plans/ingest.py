@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from spendlake import fixed_values as V
 from spendlake.operators.columns import to_numeric
 from spendlake.operators.combine import union_missing
-from spendlake.operators.joins import Dimensions, entity_dimension
+from spendlake.operators.joins import ENTITY_IDS, Dimensions, entity_dimension
 from spendlake.plans.commodity import arc_plc_payments, arc_plc_rejects, dairy_disaster_payments
 from spendlake.plans.conservation import (
     conservation_union,
@@ -26,6 +26,7 @@ from spendlake.plans.conservation import (
 from spendlake.plans.facts import accepted, broken_rules, judge_payments, rejected
 from spendlake.plans.insurance import insurance_benefits, insurance_rejects
 from spendlake.plans.nutrition import costs_participation, costs_participation_rejects
+from spendlake.plans.reports import node_sums
 from spendlake.schemas import PAYMENTS, SOURCE_NUMBER
 from spendlake.session import scratch_path
 from spendlake.sources import parts
@@ -155,9 +156,9 @@ def _reject_rows(rows: DataFrame, step: str) -> DataFrame:
 
 
 def load_source(name: str, source: Source, dims: Dimensions, entities: DataFrame, table: str, rejects_table: str) -> None:
-    """Judge a source once, as a stored table, and put its facts and rejects in place of what it held.
+    """Judge a source once, as a stored table, and put its facts, their sums and its rejects in place of what it held.
 
-    Both are written beside the former ones; one small write then makes them
+    All are written beside the former ones; one small write then makes them
     count together. A load that dies before leaves the tables as they were.
     """
     spark = source.payments.sparkSession
@@ -172,9 +173,22 @@ def load_source(name: str, source: Source, dims: Dimensions, entities: DataFrame
     if source.left_out is not None:
         left_out = left_out.unionByName(_reject_rows(source.left_out, "cleaning"))
     left_out.write.mode("overwrite").parquet(parts.part_path(rejects_table, "source", name, load))
+    staged = spark.read.schema(PAYMENTS).parquet(parts.part_path(table, "source", name, load))
+    stage_source(node_sums(staged), _sums_path(table), name, load)
     parts.switch(spark, table, {name: load})
 
 
+def _sums_path(table: str) -> str:
+    return f"{table.rstrip('/')}/_sums"
+
+
+def open_sums(spark: SparkSession, table: str) -> DataFrame:
+    """Payments by node, state and year with their source, for reports that need no single fact."""
+    ids = [field for field in PAYMENTS.fields if field.name in (*ENTITY_IDS, "state_code", "year")]
+    kinds = [*ids, T.StructField("payment", T.DecimalType(24, 2)), T.StructField("source", T.StringType())]
+    return parts.open_parts(spark, _sums_path(table), T.StructType(kinds), "source", parts.current(spark, table))
+
+
 def open_facts(spark: SparkSession, table: str) -> DataFrame:
     """The fact table with its source, by declared schema: also right while it has no rows."""
     return open_sources(spark, table, PAYMENTS)

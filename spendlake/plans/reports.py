@@ -1,23 +1,41 @@
-"""Totals and shares over the fact table.
+"""Totals and shares over the fact table, or over its sums.
 
 Node and year filters reach the scan as partition and row-group filters, and
 facts are summed by state before a dimension name is joined, so only one row
-per state and node moves.
+per state and node moves. Every report takes the facts or the far smaller table
+of their sums by node, state and year that a load leaves next to them
+(``ingest.open_sums``), and gives the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlake.fixed_values import CONTINUOUS_SIGN_UP, TOTAL_CRP
 from spendlake.operators.filters import for_node, years
-from spendlake.operators.joins import Dimensions, small_side, with_name
+from spendlake.operators.joins import ENTITY_IDS, Dimensions, small_side, with_name
 from spendlake.operators.ordering import rank_report
 
 
+# What a sum of stored payments has room for.
+_SUM = T.DecimalType(24, 2)
+
+
+def node_sums(facts: DataFrame) -> DataFrame:
+    """Payments summed by node of every level, state and year: sums can be summed on, so all reports can start from here."""
+    return facts.groupBy(*ENTITY_IDS, "state_code", "year").agg(F.sum("payment").alias("payment"))
+
+
+def _paid(df: DataFrame, value: Column | None = None) -> Column:
+    """The sum of payments, of one type for facts and for sums of them."""
+    total = F.sum(F.col("payment") if value is None else value)
+    return total.cast(_SUM) if df.schema["payment"].dataType == _SUM else total
+
+
 def register_views(facts: DataFrame, dims: Dimensions) -> None:
     """Temporary views of the facts (``payments``) and every dimension, for reports written in SQL."""
     facts.createOrReplaceTempView("payments")
@@ -27,13 +45,13 @@ def register_views(facts: DataFrame, dims: Dimensions) -> None:
 
 def total(facts: DataFrame, level: str, node_id: int, first: int, last: int) -> DataFrame:
     """One number: all payments of a node over a span of years."""
-    return years(for_node(facts, level, node_id), first, last).agg(F.sum("payment").alias("total_payments"))
+    return years(for_node(facts, level, node_id), first, last).agg(_paid(facts).alias("total_payments"))
 
 
 def state_totals(facts: DataFrame, level: str, node_id: int, first: int, last: int) -> DataFrame:
     """Payments of a node by state, largest first."""
     chosen = years(for_node(facts, level, node_id), first, last)
-    sums = chosen.groupBy(F.col("state_code").alias("state")).agg(F.sum("payment").alias("total_payments"))
+    sums = chosen.groupBy(F.col("state_code").alias("state")).agg(_paid(facts).alias("total_payments"))
     return rank_report(sums, "total_payments")
 
 
@@ -57,8 +75,8 @@ def state_share(
         chosen = years(chosen, first, last)
     in_span = F.when(F.col("year").between(first, last), F.col("payment"))
     sums = chosen.groupBy(key, "state_code").agg(
-        F.sum("payment").alias("_dollars"),
-        F.sum("payment" if bounded else in_span).alias("_in_span"),
+        _paid(facts).alias("_dollars"),
+        _paid(facts, None if bounded else in_span).alias("_in_span"),
     )
     # The window holds one row per state of the one node, not the facts.
     national = F.sum("_in_span").over(Window.partitionBy(key))
@@ -97,7 +115,7 @@ def program_state_totals(
         chosen = for_node(chosen, "program", node_id)
     if leaf_sub_programs is not None:
         chosen = leaf_rows(chosen, leaf_sub_programs)
-    sums = chosen.groupBy("program_id", "state_code").agg(F.sum("payment").alias("_payments"))
+    sums = chosen.groupBy("program_id", "state_code").agg(_paid(facts).alias("_payments"))
     report = (
         with_name(sums, programs, "program_id", "program_name")
         .groupBy(F.col("state_code").alias("state"), "program_name")

@@ -28,6 +28,7 @@ from spendlake.queries.proxies import (
     supplier_lines,
     table,
     wide,
+    stored,
 )
 
 QUERIES = Registry()
@@ -386,6 +387,42 @@ def state_share_open(spark: SparkSession, sf: str) -> DataFrame:
     return doubles(share, *_SHARE_COLUMNS)
 
 
+@QUERIES.add(
+    "report_from_sums",
+    "A3",
+    f"""WITH facts AS ({payments_sql(hierarchy=True, state=True)}), span AS (SELECT * FROM facts WHERE year BETWEEN 1996 AND 1998)
+        SELECT 'share' AS report, state_code AS state, r_name AS name, CAST(sum(payment) AS DOUBLE) AS payments,
+               {_SHARE.format(scope="span WHERE title_id = 100")} AS share
+        FROM span JOIN region ON title_id = r_regionkey + 100 WHERE title_id = 100 GROUP BY state_code, r_name
+        UNION ALL
+        SELECT 'state', state_code, NULL, CAST(sum(payment) AS DOUBLE), NULL FROM span WHERE subtitle_id = 107 GROUP BY state_code
+        UNION ALL
+        SELECT 'program', state_code, s_name, CAST(sum(payment) AS DOUBLE), NULL
+        FROM span JOIN supplier ON program_id = s_suppkey + 100 GROUP BY state_code, s_name
+        UNION ALL
+        SELECT 'total', NULL, NULL, CAST(sum(payment) AS DOUBLE), NULL FROM span WHERE title_id = 100""",
+)
+def report_from_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Every kind of report, none of which reads the facts again once they are summed."""
+    facts = payments(spark, sf, hierarchy=True, state=True)
+    lower = [name for name in joins.ENTITY_IDS if name not in facts.columns]
+    sums = stored(reports.node_sums(facts.withColumns({name: F.lit(None).cast("int") for name in lower})), "sums")
+    dims = dimensions(spark, sf)
+    span = (1996, 1998)
+    share = reports.state_share(sums, dims.titles, "title", 100, *span)
+    found = [
+        ("share", share, "state", "title_name", "total_payment_in_dollars", "total_payment_in_percentage_nationwide"),
+        ("state", reports.state_totals(sums, "subtitle", 107, *span), "state", None, "total_payments", None),
+        ("program", reports.program_state_totals(sums, dims.programs, None, *span), "state", "program_name", "total_payments", None),
+        ("total", reports.total(sums, "title", 100, *span), None, None, "total_payments", None),
+    ]
+    parts = []
+    for report, rows, *columns in found:
+        kinds = zip(("state", "name", "payments", "share"), columns, ("string", "string", "double", "double"))
+        parts.append(rows.select(F.lit(report).alias("report"), *[(F.col(c) if c else F.lit(None)).cast(kind).alias(name) for name, c, kind in kinds]))
+    return combine.union_all(*parts)
+
+
 @QUERIES.add(
     "program_state_totals",
     "A5",
@@ -394,7 +431,7 @@ def state_share_open(spark: SparkSession, sf: str) -> DataFrame:
         WHERE program_id = 100 AND year BETWEEN 1996 AND 1998 GROUP BY state_code, s_name""",
 )
 def program_state_totals(spark: SparkSession, sf: str) -> DataFrame:
-    facts = payments(spark, sf, hierarchy=True, state=True)
+    facts = payments(spark, sf, hierarchy=True, state=True, years=(1996, 1998))
     programs = dimensions(spark, sf).programs
     return doubles(reports.program_state_totals(facts, programs, 100, 1996, 1998), "total_payments")
 
@@ -409,7 +446,7 @@ def program_state_totals(spark: SparkSession, sf: str) -> DataFrame:
         GROUP BY state_code, s_name""",
 )
 def program_state_totals_leaf(spark: SparkSession, sf: str) -> DataFrame:
-    facts = payments(spark, sf, "l_returnflag", "l_linestatus", hierarchy=True, state=True)
+    facts = payments(spark, sf, "l_returnflag", "l_linestatus", hierarchy=True, state=True, years=(1996, 1998))
     levels = facts.withColumns(
         {
             "sub_program_id": F.col("program_id") * 3 + S.look_up(F.col("l_returnflag"), {f: i for i, f in enumerate(FLAGS)}),

@@ -16,7 +16,7 @@ from spendlake.plans import commodity, conservation, reports
 from spendlake.plans.dimensions import open_dimensions, seed_dimensions, store_dimensions
 from spendlake.plans import ingest as ingest_module
 from spendlake.plans.facts import broken_rules, check_dimensions, check_facts, load_facts
-from spendlake.plans.ingest import ingest, open_facts, open_rejects, read_sources, source_payments
+from spendlake.plans.ingest import ingest, open_facts, open_rejects, open_sums, read_sources, source_payments
 from spendlake.sources.files import csv_rejects, read_csv
 from spendlake.sources.tables import stage_source
 
@@ -331,6 +331,25 @@ def test_a_load_that_dies_leaves_rows_and_rejects(spark, files, dims, tmp_path,
         assert (sorted(map(str, now[0].collect())), sorted(map(str, now[1].collect()))) == held
 
 
+def test_reports_from_sums_equal_those_from_facts(spark, files, dims, tmp_path, plan, rows):
+    table = str(tmp_path / "facts")
+    given = {name: files[name] for name in ("snap_costs", "snap_participation", "crop_insurance")}
+    for _ in range(2):
+        facts = ingest(spark, given, dims, table, str(tmp_path / "rejects"), 2014, 2016, 2016).facts
+    sums = open_sums(spark, table)
+    kinds = [
+        lambda df: reports.total(df, "title", 102, 2014, 2016),
+        lambda df: reports.state_totals(df, "title", 102, 2014, 2015),
+        lambda df: reports.state_share(df, dims.titles, "title", 102, 2014, 2015),
+        lambda df: reports.state_share(df, dims.titles, "title", 102, 2014, 2014, bounded=False),
+        lambda df: reports.program_state_totals(df, dims.programs, None, 2014, 2016, leaf_sub_programs=dims.sub_programs),
+    ]
+    for report in kinds:
+        assert report(sums).schema == report(facts).schema and rows(report(sums)) == rows(report(facts)) != []
+    text = plan(reports.state_totals(sums, "title", 102, 2014, 2015))
+    assert text.count("FileScan") == 1 and "payment:decimal(24,2)" in text
+
+
 def test_load_types(loaded):
     facts, _, _ = loaded
     kinds = {field.name: field.dataType for field in schemas.PAYMENTS}
