@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -104,6 +105,16 @@ def is_in(name: str, values: Sequence[str | int]) -> str:
 
 
 def look_up(key: Column, table: Mapping[str | int, str | int]) -> Column:
-    """The entry of a short literal table, null where there is none."""
-    pairs = ", ".join(literal(part) for pair in table.items() for part in pair)
-    return F.try_element_at(F.expr(f"map({pairs})"), key)
+    """The entry of a literal table, null where there is none.
+
+    A literal map is searched entry by entry, so the entries are dealt to about
+    as many small maps by checksum, and a row searches the one its key falls into.
+    """
+    buckets: list[list] = [[] for _ in range(len(table) // 2 + 1)]
+    for pair in table.items():
+        buckets[zlib.crc32(str(pair[0]).encode()) % len(buckets)].append(pair)
+    # A map needs an entry for its type; the one in an empty bucket belongs to another, so no key finds it there.
+    any_pair = list(table.items())[:1]
+    maps = [f"map({', '.join(literal(part) for pair in bucket or any_pair for part in pair)})" for bucket in buckets]
+    place = F.crc32(key.cast("string").cast("binary")) % len(buckets) + 1
+    return F.try_element_at(F.try_element_at(F.expr(f"array({', '.join(maps)})"), place.cast("int")), key)

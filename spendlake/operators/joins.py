@@ -166,14 +166,24 @@ def with_name(facts: DataFrame, dimension: DataFrame, key: str, out: str) -> Dat
 def match_contains(df: DataFrame, reference: DataFrame, code: str, ref_code: str, ref_order: str) -> DataFrame:
     """For each row the first reference code, in list order, that occurs inside its code.
 
-    Substrings of the lengths that reference codes have are joined on equality,
-    so no row meets a reference it does not contain. This runs once per distinct
-    code; rows get the answer back by their code, or null.
+    Of a reference code the first or the last letters are its seed, whichever
+    fewer others share, as many as the greatest power of two that fits: at least
+    half of it. Substrings of these few lengths are joined with the seeds on
+    equality, and a code that holds a seed is searched for the whole reference.
+    So the cost does not depend on how many lengths the list has. This runs once
+    per distinct code; rows get the answer back by their code, or null.
     """
-    lengths = reference.agg(F.collect_set(F.length(S.named(ref_code))).alias("lengths"))
+    listed = reference.groupBy(S.named(ref_code).alias("_ref")).agg(F.min(S.named(ref_order)).alias("_order")).where("_ref IS NOT NULL")
+    long = F.length("_ref")
+    width = F.when(long > 0, F.pow(F.lit(2), F.floor(F.log2(long)))).otherwise(0).cast("int")
+    ends = F.array(F.substr(F.col("_ref"), F.lit(1), width), F.substr(F.col("_ref"), long - width + 1, width))
+    seeds = listed.select("_ref", "_order", width.alias("_width"), F.explode(F.array_distinct(ends)).alias("_seed"))
+    shared = seeds.groupBy("_seed").agg(F.count(F.lit(1)).alias("_refs"))
+    seeds = seeds.join(shared, "_seed").groupBy("_ref", "_order", "_width").agg(F.min_by("_seed", F.struct("_refs", "_seed")).alias("_seed"))
+    widths = listed.agg(F.collect_set(width).alias("widths"))
     codes = df.select(S.named(code).alias("_code")).where("_code IS NOT NULL").distinct()
     size = F.length("_code")
-    fitting = F.filter(F.col("_lengths"), lambda width: width <= size)
+    fitting = F.filter(F.col("_widths"), lambda width: width <= size)
     pieces = F.flatten(
         F.transform(
             fitting,
@@ -183,14 +193,12 @@ def match_contains(df: DataFrame, reference: DataFrame, code: str, ref_code: str
             ),
         )
     )
-    grams = codes.withColumn("_lengths", lengths.scalar()).select(
-        "_code", F.explode(F.array_distinct(pieces)).alias("_piece")
-    )
-    listed = reference.groupBy(S.named(ref_code).alias("_piece")).agg(F.min(S.named(ref_order)).alias("_order"))
+    grams = codes.withColumn("_widths", widths.scalar()).select("_code", F.explode(F.array_distinct(pieces)).alias("_seed"))
     best = (
-        grams.join(listed, "_piece")
+        grams.join(seeds, "_seed")
+        .where(F.contains("_code", "_ref"))
         .groupBy("_code")
-        .agg(F.min(F.struct("_order", "_piece")).alias("_best"))
-        .select("_code", F.col("_best._piece").alias("matched_code"))
+        .agg(F.min(F.struct("_order", "_ref")).alias("_best"))
+        .select("_code", F.col("_best._ref").alias("matched_code"))
     )
     return df.join(best, S.named(code) == F.col("_code"), "left").drop("_code")

@@ -154,3 +154,12 @@ def test_parentheses_far_into_a_long_line(spark):
     line = "x" * 50_000 + " (Ac.) (472)"
     assert tuple(evaluate(spark, [line], national_parts)[0])[1:] == ("Ac.", "472")
     assert evaluate(spark, ["(" * 3 + "y" * 50_000 + ")" * 3], paren_depth) == [3]
+
+
+def test_look_up_finds_every_entry(spark):
+    table = {f"key {n} é": n for n in range(300)}
+    keys = [*table, "key 300 é", "", None]
+    assert evaluate(spark, keys, lambda c: S.look_up(c, table)) == [table.get(key) for key in keys]
+    numbers = {n: f"v{n}" for n in range(0, 90, 3)}
+    rows = spark.range(100).select("id", S.look_up(F.col("id").cast("int"), numbers).alias("v")).collect()
+    assert {row.id: row.v for row in rows if row.v} == numbers

@@ -219,3 +219,22 @@ def test_insert_of_many_rows_asks_a_bloom_filter(spark, plan, monkeypatch):
     few = tables._maybe_held(spark.range(100_000), ["id"], spark.range(0, 100_000, 100), 1000)
     ids = {row.id for row in few.collect()}
     assert set(range(0, 100_000, 100)) <= ids and len(ids) < 12_000
+
+
+def test_match_contains_many_lengths(spark, plan):
+    """Reference codes of 1000 lengths that begin and end alike, and none, one and two letters long ones."""
+    rng = random.Random(7)
+    refs = ["".join(rng.choice("ab") for _ in range(3)) + "same" * (n // 4) + "xyz"[: n % 4] + str(n) for n in range(1000)] + ["q", "zz", None]
+    codes = [None, "", "q", "zzz", "none"] + [f"<{rng.choice(refs[:1000])}{rng.choice(refs[:1000])}>" for _ in range(60)]
+    order = {ref: rng.random() for ref in refs}
+    reference = spark.createDataFrame([(ref, order[ref]) for ref in refs], "ref string, place double")
+    found = joins.match_contains(spark.createDataFrame([(c,) for c in codes], "code string"), reference, "code", "ref", "place")
+    want = []
+    for code in codes:
+        held = [ref for ref in refs if ref is not None and code is not None and ref in code]
+        want.append((code, min(held, key=order.get) if held else None))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+    assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
+    # An empty reference is in every code.
+    empty = joins.match_contains(spark.createDataFrame([("a",), ("",)], "code string"), reference.limit(0).union(spark.createDataFrame([("", 1.0)])), "code", "ref", "place")
+    assert sorted(map(tuple, empty.collect())) == [("", ""), ("a", "")]
