@@ -147,13 +147,22 @@ def vocabulary_head(vocabulary: DataFrame) -> Head:
     digits = F.greatest(F.floor(F.log10(F.col("c"))) - 2, F.lit(0))
     least = (F.floor(F.col("c") / F.pow(F.lit(10.0), digits)) * F.pow(F.lit(10.0), digits)).cast("long")
     bins = sorted(((r.least, r.n) for r in vocabulary.groupBy(least.alias("least")).agg(F.count("*").alias("n")).collect()), reverse=True)
-    from_count, held = None, 0
+    taken, held = F.lit(False), 0
     for low, n in bins:
-        held += n
-        if held > HEAD:
+        if held + n > HEAD:
+            # Of words about as frequent as each other, those with the smallest hashes fill what is left.
+            place = F.shiftrightunsigned(F.xxhash64("word"), 48)
+            alike, cut = least == low, 0
+            for at, m in sorted((r.at, r.m) for r in vocabulary.filter(alike).groupBy(place.alias("at")).agg(F.count("*").alias("m")).collect()):
+                held += m
+                if held > HEAD:
+                    break
+                cut = at + 1
+            taken = taken | (alike & (place < cut))
             break
-        from_count = low
-    frequent = vocabulary.filter(F.col("c") >= from_count) if from_count is not None else vocabulary.limit(0)
+        held += n
+        taken = F.col("c") >= low
+    frequent = vocabulary.filter(taken)
     found = frequent.select("word", "c").toArrow()
     rows = sorted(zip(found["word"].to_pylist(), found["c"].to_pylist()), key=lambda r: (-r[1], r[0]))
     words, counts = [word for word, _ in rows], np.array([c for _, c in rows], dtype=np.float64)

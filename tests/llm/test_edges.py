@@ -159,6 +159,14 @@ def test_lm_history_chooses_between_words_of_one_class(spark):
     assert (10 ** lm.leaf_scores(weights, head, leaves, history)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_head_is_filled_with_words_of_one_count(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD", 500)
+    text = "often " * 50 + " ".join(f"w{n}" for n in range(3000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    head = lm.vocabulary_head(lm.count_words(keyed(docs, "doc_id", "text")))
+    assert 480 <= len(head.words) <= 500 and head.words[0] == b"often"
+
+
 def test_language(odd):
     rows = language_id.identify(odd, F.lit(True)).select("doc_id", "text", "language.*").collect()
     assert len(rows) == odd.count()
