@@ -14,8 +14,8 @@ _ROW_BITS = 33
 
 
 def rank_report(df: DataFrame, measure: str) -> DataFrame:
-    """Largest first, rows without a value in front."""
-    return df.orderBy(F.desc_nulls_first(measure))
+    """Largest first, rows without a value in front; rows of equal value in order of their other columns."""
+    return df.orderBy(F.desc_nulls_first(measure), *[named(name) for name in df.columns if name != measure])
 
 
 def order_by_code(df: DataFrame, column: str = "practice_code", ties: Sequence[str] = ()) -> DataFrame:

@@ -220,3 +220,10 @@ def test_with_position_is_dense_over_many_partitions(spark):
 
 def test_with_position_of_nothing(spark):
     assert ordering.with_position(spark.range(0), "id").count() == 0
+
+
+def test_ranked_rows_of_equal_value_have_an_order(spark):
+    df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", None), ("d", 2.0), ("a", None)], "state string, total double")
+    for parts in (1, 4):
+        found = [tuple(row) for row in ordering.rank_report(df.repartition(parts), "total").collect()]
+        assert found == [("a", None), ("c", None), ("d", 2.0), ("a", 1.0), ("b", 1.0)]
