@@ -14,11 +14,14 @@ training words outside of the head, by hashed ending. Within such a leaf a word
 has its relative frequency. A discount of all counts goes to the words unseen in
 training, one word per ending, without history.
 
-Weights are fitted by distributed gradient updates: in every round each task
-starts from the same weights, runs Adagrad over its partition of the training
-documents, and the rows of the weight table are averaged, each weighted by how
-often a task saw the feature. All training documents are read in every round.
-Texts are scored whole in numpy batches.
+Weights are fitted by distributed gradient updates. Training documents are turned
+into leaf numbers once and dealt by hash into buckets of about ``BUCKET_TOKENS``
+tokens. In every round each bucket starts from the same weights and runs Adagrad
+over its documents in the order of their hashes; the rows of the weight table are
+averaged, each weighted by how often a bucket saw the feature. The buckets depend
+on the documents alone, so scores do not depend on files, partitions or cluster.
+All training documents take part in every round. Texts are scored whole in
+numpy batches.
 
 The counts are a table. The ``HEAD`` most frequent words of it go to every
 task; for all other words of a document the table is joined, once per document
@@ -27,20 +30,22 @@ and word, so the vocabulary may be of any size.
 Defined results: a null or empty text is its end alone; without training
 documents every count is zero and every ending equally likely; equal counts are
 ordered by word; rows are scored one by one, and rows that repeat id and text
-have the same score; further columns are not read.
+have the same score (in training they are one document that counts as often);
+further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import groupby
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +58,12 @@ ROW_BITS = 18
 ROWS = 1 << ROW_BITS
 HEAD = 200_000
 ROUNDS = 2
-# Parts of the weight table that are summed apart.
-SHARDS = 12
+BUCKET_TOKENS = 2_000_000
+# Ranges of the weight table that are summed apart.
+SHARDS = 64
+# Text that is split into words at once, unless a single text is longer, and tokens that are trained at once.
+PIECE_BYTES = 8_000_000
+CHUNK_TOKENS = 50_000
 RATE = 0.25
 BATCH = 1_024
 DISCOUNT = 0.5
@@ -63,9 +72,23 @@ END = b""
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """The words in lower case (A-Z) and the end. ASCII rules hold for UTF-8 bytes as well."""
-    return [*text.encode().lower().split(), END] if text else [END]
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Tokens per text, its end included, and the words of all texts in lower case (A-Z)."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, parents = words.flatten(), pc.list_parent_indices(words)
+    kept = pc.greater(pc.binary_length(flat), 0)
+    lengths = np.bincount(parents.filter(kept).to_numpy(zero_copy_only=False), minlength=len(texts))
+    return lengths + 1, flat.filter(kept)
+
+
+def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in pieces of bounded text."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // PIECE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:]):
+            if stop > start:
+                yield batch.slice(start, stop - start)
 
 
 def ending(word: bytes) -> int:
@@ -73,19 +96,17 @@ def ending(word: bytes) -> int:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """(word, c) over keyed documents, as binary words; summed per batch before anything is moved."""
+    """(word, c) over keyed documents, as binary words; summed per piece before anything is moved."""
 
-    def counted(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter[bytes] = Counter()
-        for frame in frames:
-            for text in frame["text"]:
-                total.update(tokens(text))
-            if len(total) > 1 << 18:
-                yield pd.DataFrame(total.items(), columns=["word", "n"])
-                total = Counter()
-        yield pd.DataFrame(total.items(), columns=["word", "n"])
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            lengths, words = split(piece.column("text"))
+            found = words.value_counts()
+            own = found.field("values").cast(pa.binary()), found.field("counts").cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(list(own), names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([len(lengths)], pa.int64())], names=["word", "n"])
 
-    return docs.select("text").mapInPandas(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return docs.select("text").mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 @dataclass(frozen=True)
@@ -178,29 +199,53 @@ def vocabulary_head(vocabulary: DataFrame) -> Head:
     return Head(words, counts, total, distinct, rare_tokens, ending_words, *tree)
 
 
+@dataclass(frozen=True)
+class Tokens:
+    """Texts as arrays: lengths; the distinct words and their numbers in the head (or -1); by token its word, leaf and history."""
+
+    lengths: np.ndarray
+    words: pa.Array
+    ids: np.ndarray
+    which: np.ndarray
+    leaves: np.ndarray
+    classes: np.ndarray
+    hashes: np.ndarray
+
+    def history(self) -> np.ndarray:
+        return features(self.classes, self.hashes, places(self.lengths))
+
+
+def places(lengths: np.ndarray) -> np.ndarray:
+    """The position of every token in its text."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 class Reader:
     """Turns texts into arrays with the words of the head."""
 
     def __init__(self, head: Head):
         self.head = head
-        self.ids = {word: n for n, word in enumerate(head.words)}
-        self.classes = head.classes()
-        self.hashes = np.array([crc32(word) for word in head.words], dtype=np.uint64)
-
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The head's number (or -1), the leaf, the coarse class and the hash of every word."""
-        get = self.ids.get
-        ids = np.fromiter((get(word, -1) for word in words), dtype=np.int64, count=len(words))
+        self.words = pa.array(head.words, pa.large_binary())
+        # By leaf; for words outside the head the hash is their own.
+        self.classes = np.concatenate([head.classes(), SINGLE + np.arange(ENDINGS)])
+        self.hashes = np.array([crc32(word) for word in head.words] + [0] * ENDINGS, dtype=np.uint64)
+
+    def read(self, texts: pa.Array) -> Tokens:
+        lengths, flat = split(texts)
+        coded = flat.dictionary_encode()
+        words = pa.concat_arrays([coded.dictionary.cast(pa.large_binary()), pa.array([END], pa.large_binary())])
+        which = np.full(lengths.sum(), len(words) - 1)
+        inner = np.ones(len(which), dtype=bool)
+        inner[np.cumsum(lengths) - 1] = False
+        which[inner] = coded.indices.to_numpy()
+        ids = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         rare = np.flatnonzero(ids < 0)
+        own = words.take(pa.array(rare)).to_pylist()
         leaves = ids.copy()
-        if not self.head.words:
-            classes, hashes = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.uint64)
-        else:
-            classes, hashes = self.classes[ids], self.hashes[ids]
-        for n in rare:
-            classes[n], hashes[n] = ending(words[n]), crc32(words[n])
-            leaves[n] = len(self.ids) + classes[n] - SINGLE
-        return ids, leaves, classes, hashes
+        leaves[rare] = [len(self.words) + ending(word) - SINGLE for word in own]
+        hashes = self.hashes[leaves]
+        hashes[rare] = [crc32(word) for word in own]
+        return Tokens(lengths, words, ids, which, leaves[which], self.classes[leaves][which], hashes[which])
 
 
 def features(classes: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -234,9 +279,9 @@ def steps(head: Head, leaves: np.ndarray, history: np.ndarray) -> Iterator[tuple
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = bias[node]
+    out = np.take(bias, node, axis=0)
     for kind in range(rows.shape[1]):
-        out += weights[rows[:, kind]]
+        out += np.take(weights, rows[:, kind], axis=0)
     return out
 
 
@@ -253,87 +298,137 @@ def leaf_scores(weights: np.ndarray, head: Head, leaves: np.ndarray, history: np
     return found / math.log(10)
 
 
-def fit(weights: np.ndarray, head: Head, chunks: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Adagrad, one rate per row, over (leaves, histories): the new weights and how often each row was seen."""
-    weights, squares, seen = weights.copy(), np.full(ROWS, 1e-2, dtype=np.float32), np.zeros(ROWS, dtype=np.float32)
-    for leaves, history in chunks:
-        for _, node, branch, rows in steps(head, leaves, history):
+def fit(weights: np.ndarray, head: Head, chunks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Adagrad, one rate per row, over (leaves, histories, times): the new weights and how often each row was seen."""
+    weights, squares, seen = weights.copy(), np.full(ROWS, 1e-2, dtype=np.float32), np.zeros(ROWS)
+    lanes = np.arange(WIDTH)
+    for leaves, history, times in chunks:
+        for token, node, branch, rows in steps(head, leaves, history):
             p = logits(weights, head.bias, node, rows)
             np.exp(p, out=p)
-            p /= p.sum(axis=1, keepdims=True)
+            p *= (1 / np.einsum("ij->i", p))[:, None]
             p[np.arange(len(p)), branch] -= 1
-            r = rows.ravel()
-            order = np.argsort(r)
-            first = np.flatnonzero(np.diff(r[order], prepend=-1))
-            hit = r[order][first]
-            step = np.add.reduceat(p[order // rows.shape[1]], first, axis=0)
-            squares[hit] += np.einsum("ij,ij->i", step, step)
-            step *= (RATE / np.sqrt(squares[hit]))[:, None]
-            weights[hit] -= step
-            seen[hit] += np.diff(np.append(first, len(r)))
+            p *= times[token][:, None]
+            # One sort of (row, step) brings the steps of a row together; most rows have one step.
+            order = (rows.ravel().astype(np.int64) << 32) | np.arange(rows.size)
+            order.sort()
+            row, at = order >> 32, (order & 0xFFFFFFFF) // rows.shape[1]
+            new = np.diff(row, prepend=-1) != 0
+            first, more = np.flatnonzero(new), np.flatnonzero(~new)
+            hit, step = row[first], np.take(p, at[first], axis=0)
+            place = (np.cumsum(new) - 1)[more]
+            np.add.at(step.reshape(-1), (place[:, None] * WIDTH + lanes).ravel(), np.take(p, at[more], axis=0).ravel())
+            square = squares[hit] + np.einsum("ij,ij->i", step, step)
+            squares[hit] = square
+            step *= (RATE / np.sqrt(square))[:, None]
+            weights[hit] = np.take(weights, hit, axis=0) - step
+            seen[hit] += np.add.reduceat(times[token][at], first)
     return weights, seen
 
 
 Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
+def sums(part: Rows) -> np.ndarray:
+    """Rows times how often they were seen; a part from one bucket has the rows themselves, in half precision."""
+    return part[1].astype(np.float64) * part[2][:, None] if part[1].dtype == np.float16 else part[1]
+
+
 def add_rows(a: Rows, b: Rows) -> Rows:
     """The sum of two sparse tables (row numbers, rows, times seen)."""
     hit = np.union1d(a[0], b[0])
-    # Doubles, so that the order of the tasks does not show in the weights.
+    # Halves times counts add up exactly in doubles, so the order of the tasks does not show in the weights.
     rows, seen = np.zeros((len(hit), a[1].shape[1])), np.zeros(len(hit))
-    for own, more, times in (a, b):
-        at = np.searchsorted(hit, own)
-        rows[at] += more
-        seen[at] += times
+    for part in (a, b):
+        at = np.searchsorted(hit, part[0])
+        rows[at] += sums(part)
+        seen[at] += part[2]
     return hit, rows, seen
 
 
-def read_texts(reader: Reader, texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-    """Chunks of whole texts: lengths, words, head numbers, leaves, hashed histories."""
-    words: list[bytes] = []
-    lengths: list[int] = []
+def read_texts(reader: Reader, texts: Sequence[str | None]) -> Iterator[tuple[Tokens, np.ndarray, np.ndarray]]:
+    """Whole texts piece by piece: their tokens, leaves and hashed histories."""
+    for piece in pieces([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]):
+        found = reader.read(piece.column("text"))
+        yield found, found.leaves, found.history()
+
+
+def encoded(docs: DataFrame, shared_head) -> DataFrame:
+    """Keyed documents as leaf numbers and the hashes of words outside the head; equal rows of a piece are one, ``times`` over."""
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(Head(**shared_head.value))
+        for piece in pieces(batches):
+            own = pa.table({name: piece.column(name) for name in ("k_id", "k_text", "text")}).group_by(["k_id", "k_text", "text"]).aggregate([([], "count_all")])
+            own = own.combine_chunks().to_batches()[0]
+            found = reader.read(own.column("text"))
+            rare = found.leaves >= len(reader.words)
+            ends = np.cumsum(found.lengths)
+            leaves = [part.tobytes() for part in np.split(found.leaves.astype(np.int32), ends[:-1])]
+            hashes = [part.tobytes() for part in np.split(found.hashes[rare].astype(np.uint32), np.cumsum(rare)[ends - 1][:-1])]
+            yield pa.RecordBatch.from_arrays(
+                [own.column("k_id"), own.column("k_text"), pa.array(leaves, pa.binary()), pa.array(hashes, pa.binary()), own.column("count_all").cast(pa.int64())],
+                names=["k_id", "k_text", "leaves", "hashes", "times"],
+            )
+
+    id_type = docs.schema["k_id"].dataType.simpleString()
+    return docs.mapInArrow(encode, f"k_id {id_type}, k_text long, leaves binary, hashes binary, times long")
+
+
+def chunks_of(reader: Reader, rows: Iterable) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Chunks of the encoded documents of one bucket, sorted: leaves, histories and times of every token."""
 
     def chunk():
-        ids, leaves, classes, hashes = reader.read(words)
-        place = np.concatenate([np.arange(n) for n in lengths])
-        return lengths, words, ids, leaves, features(classes, hashes, place)
-
-    for text in texts:
-        own = tokens(text)
-        words += own
-        lengths.append(len(own))
-        if len(words) > 50_000:
+        leaves = np.concatenate([np.frombuffer(row.leaves, dtype=np.int32) for row, _ in held])
+        hashes, rare = reader.hashes[leaves], leaves >= len(reader.words)
+        hashes[rare] = np.concatenate([np.frombuffer(row.hashes, dtype=np.uint32) for row, _ in held])
+        lengths = np.array([len(row.leaves) // 4 for row, _ in held])
+        times = np.repeat(np.array([n for _, n in held], dtype=np.float32), lengths)
+        return leaves, features(reader.classes[leaves], hashes, places(lengths)), times
+
+    held, size = [], 0
+    for _, same in groupby(rows, key=lambda row: (row.k_id, row.k_text, bytes(row.leaves), bytes(row.hashes))):
+        row = next(same)
+        held.append((row, row.times + sum(other.times for other in same)))
+        size += len(row.leaves) // 4
+        if size > CHUNK_TOKENS:
             yield chunk()
-            words, lengths = [], []
-    if lengths:
+            held, size = [], 0
+    if held:
         yield chunk()
 
 
 def trained(docs: DataFrame, head: Head) -> np.ndarray:
-    """The weights after all rounds over all keyed training documents, a task per partition of them."""
+    """The weights after all rounds over all keyed training documents."""
     spark = docs.sparkSession
-    texts = docs.select("text")
-    shared_head = spark.sparkContext.broadcast(vars(head))
     weights = np.zeros((ROWS, WIDTH), dtype=np.float32)
-    for _ in range(ROUNDS if head.total else 0):
+    if not head.total:
+        return weights
+    shared_head = spark.sparkContext.broadcast(vars(head))
+    buckets = math.ceil(head.total / BUCKET_TOKENS)
+    tasks = min(buckets, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = encoded(docs, shared_head).withColumn("bucket", F.pmod(F.xxhash64("k_id", "k_text"), F.lit(buckets)))
+    dealt = dealt.repartitionById(tasks, (F.col("bucket") % tasks).cast("int"))
+    # One plan for all rounds: later ones read the files of its shuffle again.
+    rows = dealt.sortWithinPartitions("bucket", "k_text", "k_id", "leaves", "hashes").rdd
+    for _ in range(ROUNDS):
         current = spark.sparkContext.broadcast(weights)
 
         def update(rows) -> Iterator[tuple[int, Rows]]:
             reader = Reader(Head(**shared_head.value))
-            chunks = read_texts(reader, (row.text for row in rows))
-            new, seen = fit(current.value, reader.head, ((c[3], c[4]) for c in chunks))
-            hit = np.flatnonzero(seen)
-            for shard in range(SHARDS):
-                own = hit[hit % SHARDS == shard]
-                if len(own):
-                    yield shard, (own, new[own] * seen[own][:, None], seen[own])
+            for _, own in groupby(rows, key=lambda row: row.bucket):
+                new, seen = fit(current.value, reader.head, chunks_of(reader, own))
+                hit = np.flatnonzero(seen)
+                for shard, part in enumerate(np.split(hit, np.searchsorted(hit, np.arange(1, SHARDS) * (ROWS // SHARDS)))):
+                    if len(part):
+                        yield shard, (part.astype(np.int32), new[part].astype(np.float16), seen[part])
 
         weights = weights.copy()
-        # Every shard of the table is summed by a task of its own, so the driver gets the table once.
-        summed = texts.rdd.mapPartitions(update).reduceByKey(add_rows, SHARDS)
-        for hit, mean in summed.map(lambda part: (part[1][0], (part[1][1] / part[1][2][:, None]).astype(np.float32))).collect():
+        # Every range of the table is summed by a task of its own, after the buckets of a task; the driver gets the table once.
+        summed = rows.mapPartitions(update).reduceByKey(add_rows, min(SHARDS, tasks))
+        for hit, mean in summed.map(lambda part: (part[1][0], (sums(part[1]) / part[1][2][:, None]).astype(np.float32))).collect():
             weights[hit] = mean
+        current.unpersist()
     return weights
 
 
@@ -347,33 +442,36 @@ def scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     shared_head = spark.sparkContext.broadcast(vars(head))
     columns = ["k_id", "k_text", "n_tokens", "n_known", "base", "own", "rare", "times", "leaf"]
 
-    def scored(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = Head(**shared_head.value)
         reader = Reader(head)
-        base = np.log10((head.counts + 0.5) / (head.total + 0.5 * (head.distinct + 1)))
+        # The last entry is for words outside the head, numbered -1.
+        base = np.append(np.log10((head.counts + 0.5) / (head.total + 0.5 * (head.distinct + 1))), 0.0)
         # With no training words none is known.
         seen = math.log10(max(1 - head.unseen(), 1e-9))
-        for frame in frames:
-            rows, at = [], 0
-            for lengths, words, ids, leaves, history in read_texts(reader, frame["text"]):
-                value = seen + leaf_scores(weights.value, head, leaves, history)
-                known = ids >= 0
-                first = np.cumsum([0, *lengths[:-1]])
-                base_value = np.where(known, base[ids], 0.0) if len(head.words) else np.zeros(len(ids))
-                sums = [np.add.reduceat(x, first) for x in (known.astype(np.int64), base_value, np.where(known, value, 0.0))]
-                for n, (start, length) in enumerate(zip(first, lengths)):
-                    rest: dict[bytes, list[float]] = defaultdict(list)
-                    for i in start + np.flatnonzero(~known[start : start + length]):
-                        rest[words[i]].append(value[i])
-                    key = frame["k_id"].iat[at], frame["k_text"].iat[at]
-                    rows.append((*key, length, sums[0][n], sums[1][n], sums[2][n], list(rest), [len(v) for v in rest.values()], [sum(v) for v in rest.values()]))
-                    at += 1
-            yield pd.DataFrame(rows, columns=columns)
+        for piece in pieces(batches):
+            found = reader.read(piece.column("text"))
+            value = seen + leaf_scores(weights.value, head, found.leaves, found.history())
+            ids, first = found.ids[found.which], np.cumsum(found.lengths) - found.lengths
+            known = ids >= 0
+            totals = [np.add.reduceat(x, first) for x in (known.astype(np.int64), base[ids], np.where(known, value, 0.0))]
+            # The words outside the head by text and word.
+            outside, width = np.flatnonzero(~known), len(found.words)
+            text = np.repeat(np.arange(len(first)), found.lengths)[outside]
+            pair, place, times = np.unique(text * width + found.which[outside], return_inverse=True, return_counts=True)
+            ends = pa.array(np.searchsorted(pair, np.arange(len(first) + 1) * width), pa.int32())
+            rare = found.words.take(pa.array(pair % width)).cast(pa.binary())
+            lists = [rare, pa.array(times, pa.int64()), pa.array(np.bincount(place, weights=value[outside], minlength=len(pair)), pa.float64())]
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("k_id"), piece.column("k_text"), pa.array(found.lengths, pa.int64()), *(pa.array(x) for x in totals)]
+                + [pa.ListArray.from_arrays(ends, values) for values in lists],
+                names=columns,
+            )
 
     source = keyed(docs, id_col, text_col)
     id_type = source.schema["k_id"].dataType.simpleString()
     schema = f"k_id {id_type}, k_text long, n_tokens long, n_known long, base double, own double, rare array<binary>, times array<long>, leaf array<double>"
-    partial = stored(source.mapInPandas(scored, schema).withColumn("n", F.monotonically_increasing_id()), "scores")
+    partial = stored(source.mapInArrow(scored, schema).withColumn("n", F.monotonically_increasing_id()), "scores")
     return _with_rare_words(partial, vocabulary, head)
 
 
