@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.text import keyed, stored
+from spendlake.llm.text import keyed, set_aside, stored
 
 ROWS_PER_LANGUAGE = 400
 DICTIONARY_BYTES = 1 << 17
@@ -171,11 +171,12 @@ def predictor(docs: DataFrame, raw: dict[str, bytes]):
 
 
 def identify(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """All columns and ``language``: struct<lang_pred, score>, learned from the rows where ``train`` holds."""
-    if "language" in (name.lower() for name in docs.columns):
-        raise ValueError("the documents have a column named language")
+    """All columns and ``language``: struct<lang_pred, score>, learned from the rows where ``train`` holds.
+
+    A column of the documents named ``language`` is kept as ``language_input``.
+    """
     raw = dictionaries(docs.filter(train), text_col, lang_col)
-    return docs.withColumn("language", predictor(docs, raw)(F.col(text_col)))
+    return set_aside(docs, "language").withColumn("language", predictor(docs, raw)(F.col(text_col)))
 
 
 def accepted(language: Column, min_margin: float = MIN_MARGIN) -> Column:

@@ -15,7 +15,7 @@ partition numbers its own, and the counts of earlier partitions are added.
 Defined results: a null text has no bytes of its own, like an empty one; a null
 id is hashed like any value; rows equal in id and text are cut like any others;
 an empty table has no shards; further columns move with their rows, and one
-named like a result column (``shard``, ``slot``) is an error.
+named like a result column (``shard``, ``slot``) is kept as ``shard_input``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.text import stored
+from spendlake.llm.text import set_aside, stored
 
 SHARDS = 24
 # Key ranges per shard: the unit of sorting, so that no task sorts a whole shard.
@@ -151,8 +151,5 @@ def placed(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, id_col:
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents with ``shard`` and ``slot`` after their own columns, which must not have those names."""
-    taken = [name for name in docs.columns if name.lower() in ("shard", "slot")]
-    if taken:
-        raise ValueError(f"the documents have columns named like results: {', '.join(taken)}")
-    return placed(docs, shards).select("row.*", "shard", "slot")
+    """The documents with ``shard`` and ``slot`` after their own columns; of those, one with such a name gets ``_input`` after it."""
+    return placed(set_aside(docs, "shard", "slot"), shards).select("row.*", "shard", "slot")

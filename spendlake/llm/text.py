@@ -53,6 +53,18 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
     return docs.select(F.col(id_col).alias("k_id"), F.xxhash64(text).alias("k_text"), text.alias("text"), *more)
 
 
+def set_aside(docs: DataFrame, *results: str) -> DataFrame:
+    """The same rows, with ``_input`` after the name of every column that is named like a result, in either case."""
+    taken = {name.lower() for name in docs.columns}
+    names = []
+    for name in docs.columns:
+        while name.lower() in results or (name not in docs.columns and name.lower() in taken):
+            name += "_input"
+        taken.add(name.lower())
+        names.append(name)
+    return docs.toDF(*names)
+
+
 def same_key(left: DataFrame, right: DataFrame) -> Column:
     return left["k_id"].eqNullSafe(right["k_id"]) & (left["k_text"] == right["k_text"])
 
