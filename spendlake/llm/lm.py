@@ -62,7 +62,7 @@ BUCKET_TOKENS = 2_000_000
 # Ranges of the weight table that are summed apart.
 SHARDS = 64
 # Text that is split into words at once, unless a single text is longer, and tokens that are trained at once.
-PIECE_BYTES = 8_000_000
+PIECE_BYTES = 2_000_000
 CHUNK_TOKENS = 50_000
 RATE = 0.25
 BATCH = 1_024
@@ -303,6 +303,7 @@ def fit(weights: np.ndarray, head: Head, chunks: Iterable[tuple[np.ndarray, np.n
     weights, squares, seen = weights.copy(), np.full(ROWS, 1e-2, dtype=np.float32), np.zeros(ROWS)
     lanes = np.arange(WIDTH)
     for leaves, history, times in chunks:
+        met, often = [], []
         for token, node, branch, rows in steps(head, leaves, history):
             p = logits(weights, head.bias, node, rows)
             np.exp(p, out=p)
@@ -322,7 +323,9 @@ def fit(weights: np.ndarray, head: Head, chunks: Iterable[tuple[np.ndarray, np.n
             squares[hit] = square
             step *= (RATE / np.sqrt(square))[:, None]
             weights[hit] = np.take(weights, hit, axis=0) - step
-            seen[hit] += np.add.reduceat(times[token][at], first)
+            met.append(rows)
+            often.append(times[token])
+        seen += np.bincount(np.concatenate(met).ravel(), weights=np.repeat(np.concatenate(often), met[0].shape[1]), minlength=ROWS)
     return weights, seen
 
 
