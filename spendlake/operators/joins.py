@@ -31,6 +31,10 @@ class Dimensions:
     practices: DataFrame
 
 
+def _few(frames: Sequence[DataFrame], limit: int) -> bool:
+    return union_all(*[frame.select(F.lit(1).alias("row")) for frame in frames]).count() <= limit
+
+
 def small_side(df: DataFrame, *bounds: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if a count shows ``df`` is small.
 
@@ -40,8 +44,16 @@ def small_side(df: DataFrame, *bounds: DataFrame, limit: int = BROADCAST_ROWS) -
     planner cannot know beforehand, such as joins of dimensions; plain tables it
     measures and broadcasts by itself.
     """
-    counted = union_all(*[frame.select(F.lit(1).alias("row")) for frame in bounds or (df,)])
-    return F.broadcast(df) if counted.count() <= limit else df
+    return F.broadcast(df) if _few(bounds or (df,), limit) else df
+
+
+def keyed_side(df: DataFrame, *bounds: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The same for a side with one row per join key; above the limit its partitions become hash tables.
+
+    The other side is read past them without a sort, so a key that many of its
+    rows share, such as a name that is unknown, takes no memory.
+    """
+    return F.broadcast(df) if _few(bounds or (df,), limit) else df.hint("shuffle_hash")
 
 
 def combine_measures(base: DataFrame, *others: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -112,7 +124,7 @@ def entity_dimension(dims: Dimensions) -> DataFrame:
 
 def small_entity_dimension(dims: Dimensions) -> DataFrame:
     """The same, to be broadcast if small: it has at most one row per row of the four tables."""
-    return small_side(
+    return keyed_side(
         entity_dimension(dims), dims.subtitles, dims.programs, dims.sub_programs, dims.sub_sub_programs
     )
 
@@ -126,11 +138,11 @@ def resolve_program(df: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def resolve_sub_program(df: DataFrame, dims: Dimensions) -> DataFrame:
-    return df.join(small_side(sub_program_entities(dims), dims.sub_programs), "entity_name")
+    return df.join(keyed_side(sub_program_entities(dims), dims.sub_programs), "entity_name")
 
 
 def resolve_sub_sub_program(df: DataFrame, dims: Dimensions) -> DataFrame:
-    return df.join(small_side(sub_sub_program_entities(dims), dims.sub_sub_programs), "entity_name")
+    return df.join(keyed_side(sub_sub_program_entities(dims), dims.sub_sub_programs), "entity_name")
 
 
 def resolve_entities(df: DataFrame, dims: Dimensions, how: str = "inner") -> DataFrame:

@@ -238,3 +238,12 @@ def test_match_contains_many_lengths(spark, plan):
     # An empty reference is in every code.
     empty = joins.match_contains(spark.createDataFrame([("a",), ("",)], "code string"), reference.limit(0).union(spark.createDataFrame([("", 1.0)])), "code", "ref", "place")
     assert sorted(map(tuple, empty.collect())) == [("", ""), ("a", "")]
+
+
+def test_a_key_with_many_rows_is_not_sorted(spark, dims, rows, plan, monkeypatch):
+    """Above the limit rows pass hash tables of the dimension, also those of one name that is unknown."""
+    facts = spark.range(0, 3000, 1, 3).select(F.when(F.col("id") == 7, "X").otherwise("nobody").alias("entity_name"), "id")
+    monkeypatch.setitem(joins.keyed_side.__kwdefaults__, "limit", 0)
+    found = joins.resolve_sub_sub_program(facts, dims)
+    assert "ShuffledHashJoin" in plan(found) and "SortMergeJoin [entity_name" not in plan(found)
+    assert rows(found) == [("X", 7, 100, 100, 100, 101, 100)]
