@@ -14,12 +14,14 @@ from spendlake import schemas
 from spendlake.fixed_values import ENTITY_TYPES
 from spendlake.functions.scalars import nan_to_null, named, normalise_code
 from spendlake.operators.columns import storage_value
+from spendlake.operators.combine import union_all
 from spendlake.operators.joins import (
+    BROADCAST_ROWS,
     ENTITY_IDS,
     Dimensions,
+    keyed_side,
     resolve_category,
     small_entity_dimension,
-    small_side,
 )
 from spendlake.operators.quality import (
     check_fk,
@@ -88,8 +90,7 @@ def judge_payments(payments: DataFrame, dims: Dimensions, entities: DataFrame |
 
     ``entities`` is the entity dimension where the caller has it at hand.
     """
-    if entities is None:
-        entities = small_entity_dimension(dims)
+    entities = small_entity_dimension(dims) if entities is None else keyed_side(entities)
     entities = entities.withColumn("_known", F.lit(True))
     rows = _known_columns(payments).join(entities, ["entity_type", "entity_name"], "left")
     rows = resolve_category(rows, dims.practice_categories)

@@ -14,6 +14,9 @@ TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows of one hot key are alike and shrink well: many fit into few bytes.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
 }
 
 
