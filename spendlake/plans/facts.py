@@ -148,20 +148,32 @@ def _told_apart(rows: DataFrame) -> DataFrame:
     keyed = rows.withColumn("_key", F.xxhash64(*[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in _NATURAL_KEY]))
     path = scratch_path(spark, "repeated-keys")
     counted = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
-    counted.where("_rows > 1").select("_key").write.parquet(path)
-    repeated = spark.read.schema("_key long").parquet(path)
+    counted.where("_rows > 1").write.parquet(path)
+    repeated = spark.read.schema("_key long, _rows long").parquet(path)
     if repeated.isEmpty():
         return rows.withColumn("_repeat", F.lit(-1).cast("long"))
-    repeated = small_side(repeated)
-    alone = keyed.join(repeated, "_key", "left_anti").select(*names, F.lit(-1).cast("long").alias("_repeat"))
-    equal = keyed.join(repeated, "_key", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    few = repeated.count() <= BROADCAST_ROWS
+    # At most one key for so many rows, and no row is more often than its key.
+    hot = repeated.where(F.col("_rows") > _PIECE).select("_key")
+    chosen = F.broadcast(repeated.select("_key")) if few else keyed_side(hot)
+    equal = keyed.join(chosen, "_key", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
     pieces = equal.select("*", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("_rows") - 1).cast("long"), F.lit(_PIECE))).alias("_first"))
     # What a hot row has beyond its first piece goes to other tasks; the others stay where they were counted.
     spread = pieces.where("_first = 0").unionByName(pieces.where("_first > 0").repartition(F.xxhash64("_first", *names)))
     last = F.least(F.col("_first") + _PIECE, F.col("_rows")) - 1
     dealt = spread.select(*names, F.explode(F.sequence("_first", last)).alias("_number"))
     content = F.xxhash64(*[F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in names], F.col("_number"))
-    return alone.unionByName(dealt.select(*names, content.alias("_repeat")))
+    dealt = dealt.select(*names, content.alias("_repeat"))
+    if few:
+        alone = keyed.join(chosen, "_key", "left_anti")
+        return alone.select(*names, F.lit(-1).cast("long").alias("_repeat")).unionByName(dealt)
+    # Rows of many repeated keys are shuffled once, by key, which also brings equal rows together.
+    again = keyed_side(repeated.where(F.col("_rows") <= _PIECE).select("_key", F.lit(True).alias("_again")))
+    others = keyed if hot.isEmpty() else keyed.join(chosen, "_key", "left_anti")
+    found = others.join(again, "_key", "left").groupBy("_key", "_again", *names).agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = found.select("_again", *names, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1)).alias("_number"))
+    told = numbered.select(*names, F.when(F.col("_again"), content).otherwise(F.lit(-1).cast("long")).alias("_repeat"))
+    return told if hot.isEmpty() else told.unionByName(dealt)
 
 
 def accepted(judged: DataFrame, source: str = "") -> DataFrame:

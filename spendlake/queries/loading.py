@@ -640,7 +640,9 @@ judged AS (
 
 def _load_rows(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     kinds = table(spark, sf, "part").select("p_partkey", "p_type")
-    lines = mixed_entities(supplier_lines(spark, sf)).join(kinds, F.col("l_partkey") == F.col("p_partkey"))
+    # Parts first: a shuffle for them moves numbers, and no names yet.
+    parted = table(spark, sf, "lineitem").join(kinds, F.col("l_partkey") == F.col("p_partkey"))
+    lines = mixed_entities(supplier_lines(spark, sf, parted))
     category = F.when((F.col("l_linestatus") == "F") & (F.col("l_suppkey") < 3), F.col("p_type"))
     return lines.select(
         *extra,

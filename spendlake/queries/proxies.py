@@ -133,13 +133,14 @@ def payments_sql(*extra: str, hierarchy: bool = False, state: bool = False, part
     return f"SELECT {', '.join(columns)} FROM lineitem {' '.join(joins)}"
 
 
-def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the nation of their supplier."""
+def supplier_lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """Line items, or those given, with the nation of their supplier."""
+    if lines is None:
+        lines = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .withColumns({"year": F.year("l_shipdate"), "price": money("l_extendedprice")})
     )

@@ -14,6 +14,8 @@ from spendlake import fixed_values as V
 from spendlake import schemas
 from spendlake.plans import commodity, conservation, reports
 from spendlake.plans.dimensions import open_dimensions, seed_dimensions, store_dimensions
+from spendlake.operators import joins
+from spendlake.plans import facts as facts_module
 from spendlake.plans import ingest as ingest_module
 from spendlake.plans.facts import broken_rules, check_dimensions, check_facts, load_facts
 from spendlake.plans.ingest import ingest, open_facts, open_rejects, open_sums, read_sources, source_payments
@@ -300,6 +302,51 @@ def test_ids_do_not_depend_on_the_layout(spark, dims):
     assert found[0] == found[1] and len(found[0]) == len(values) == len({row[0] for row in found[0]})
 
 
+def test_ids_do_not_depend_on_how_many_keys_repeat(spark, dims, plan, monkeypatch):
+    """Many repeated keys take one shuffle of the rows, few are sent to the rows: the ids are the same."""
+    values = [("program", V.PLC, "IA", 2014, 1.0)] * 21_000 + [("program", V.PLC, "IA", 2015 + n % 2, float(n // 4)) for n in range(40)]
+    values += [("program", V.PLC, "OH", 2014, 1.0)] * 3 + [("program", V.PLC, "OH", 2015, 1.0), ("program", "nobody", "OH", 2015, 1.0)]
+    payments = spark.createDataFrame(values, "entity_type string, entity_name string, state_code string, year int, amount double")
+    found = []
+    for limit in (200_000, 0):
+        monkeypatch.setattr(facts_module, "BROADCAST_ROWS", limit)
+        monkeypatch.setitem(joins.keyed_side.__kwdefaults__, "limit", limit)
+        facts, _ = load_facts(payments, dims, "x")
+        found.append(sorted((row.id, row.state_code, row.year, row.payment) for row in facts.collect()))
+    assert found[0] == found[1] and len(found[0]) == len(values) - 1 == len({row[0] for row in found[0]})
+    # Keys in few rows: of the rows there is one shuffle, by their key.
+    facts, _ = load_facts(payments.where("year > 2014"), dims, "x")
+    wide = [line for line in plan(facts).splitlines() if "Exchange hashpartitioning(_key" in line]
+    assert len(wide) in (1, 2) and "SortMergeJoin [_key" not in plan(facts)
+
+
+def test_a_load_sorts_no_rows_of_an_unknown_name(spark, dims, plan, monkeypatch):
+    payments = spark.createDataFrame([("program", "nobody", "IA", 2014, 1.0)], "entity_type string, entity_name string, state_code string, year int, amount double")
+    entities = joins.entity_dimension(dims)
+    monkeypatch.setitem(joins.keyed_side.__kwdefaults__, "limit", 0)
+    for given in (None, entities):
+        judged = facts_module.judge_payments(payments, dims, given)
+        assert "SortMergeJoin [entity_type" not in plan(judged) and "ShuffledHashJoin [entity_type" in plan(judged)
+        assert [row.reason for row in judged.collect()] == ["unknown entity name"]
+
+
+def test_facts_without_a_lower_level_are_spread(spark, dims, plan, monkeypatch):
+    """In the check of a large dimension absent values do not meet in one task, and count as before."""
+    title, program = (dims.programs.where(F.col("name") == V.PLC).select(name).first()[0] for name in ("title_id", "id"))
+    values = [(1, title, program, None, "IA", 2014), (2, title, program, 0, "IA", 2015), (3, title, -1, None, "IA", 2016), (4, title, None, None, "XYZ", 2014)]
+    spoiled = spark.createDataFrame(values, "id long, title_id int, program_id int, sub_program_id int, state_code string, year int")
+    absent = [field for field in schemas.PAYMENTS.fields if field.name not in spoiled.columns]
+    spoiled = spoiled.withColumns({field.name: F.lit(None).cast(field.dataType) for field in absent})
+    monkeypatch.setattr(facts_module, "BROADCAST_ROWS", 0)
+    found = broken_rules(spoiled, dims)
+    text = plan(found)
+    assert {row.rule: row.broken for row in found.collect()} == {
+        "program_id known": 1, "sub_program_id known": 1, "state_code known": 1, "state_code length": 1
+    }
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("hashpartitioning(sub_program_id" in line for line in shuffles) and any("spread" in line for line in shuffles)
+
+
 def test_broken_rules_are_those_of_the_single_checks(spark, dims, loaded, plan):
     facts = loaded[0].drop("source")
     first = facts.limit(1)
