@@ -226,9 +226,17 @@ def broken_rules(facts: DataFrame, dims: Dimensions) -> DataFrame:
     """
     rows, rules = facts, {}
     rules["state and year present"] = F.col("state_code").isNull() | F.col("year").isNull()
-    for n, (column, (dimension, key)) in enumerate(schemas.PAYMENT_REFERENCES.items()):
-        known = getattr(dims, dimension).select(F.col(key).alias(f"_key{n}")).distinct().withColumn(f"_known{n}", F.lit(True))
-        rows = rows.join(known, F.col(column) == F.col(f"_key{n}"), "left")
+    keys = [getattr(dims, dimension).select(F.col(key).alias(f"_key{n}")) for n, (dimension, key) in enumerate(schemas.PAYMENT_REFERENCES.values())]
+    sizes = union_all(*[own.select(F.lit(n).alias("n")) for n, own in enumerate(keys)]).groupBy("n").agg(F.count(F.lit(1)).alias("rows"))
+    many = {row.n for row in sizes.collect() if row.rows > BROADCAST_ROWS}
+    for n, (column, own) in enumerate(zip(schemas.PAYMENT_REFERENCES, keys)):
+        known = own.distinct().withColumn(f"_known{n}", F.lit(True))
+        value, key = F.col(column), F.col(f"_key{n}")
+        if n in many:
+            # Most facts have no value at the lower levels: they meet no key, and the shuffle spreads them.
+            spread = F.when(value.isNull(), F.pmod(F.xxhash64("id", *schemas.PAYMENT_UNIQUE), F.lit(_PIECE)) + 1).otherwise(0)
+            value, key = F.struct(value.alias("value"), spread.alias("spread")), F.struct(key.alias("value"), F.lit(0).cast("long").alias("spread"))
+        rows = rows.join(known.hint("shuffle_hash") if n in many else F.broadcast(known), value == key, "left")
         rules[f"{column} known"] = F.col(column).isNotNull() & F.col(f"_known{n}").isNull()
     for column, longest in schemas.PAYMENT_LENGTHS.items():
         rules[f"{column} length"] = F.length(column) > longest
