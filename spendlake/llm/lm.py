@@ -41,7 +41,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 from itertools import groupby
-from zlib import crc32
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,7 @@ ENDINGS = 64
 WIDTH = 16
 ROW_BITS = 18
 ROWS = 1 << ROW_BITS
+LINE = np.dtype((np.void, 4 * WIDTH))
 HEAD = 200_000
 ROUNDS = 2
 BUCKET_TOKENS = 2_000_000
@@ -230,6 +231,16 @@ class Reader:
         self.classes = np.concatenate([head.classes(), SINGLE + np.arange(ENDINGS)])
         self.hashes = np.array([crc32(word) for word in head.words] + [0] * ENDINGS, dtype=np.uint64)
 
+    def shared(self) -> dict:
+        """What a broadcast holds, so that a task need not go through the words again."""
+        return {**vars(self), "head": vars(self.head)}
+
+    @classmethod
+    def of(cls, shared: dict) -> Reader:
+        reader = cls.__new__(cls)
+        vars(reader).update(shared, head=Head(**shared["head"]))
+        return reader
+
     def read(self, texts: pa.Array) -> Tokens:
         lengths, flat = split(texts)
         coded = flat.dictionary_encode()
@@ -263,37 +274,47 @@ def features(classes: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> np.n
         return mixed ^ (mixed >> np.uint64(32))
 
     h1, h2, c1, c2 = back(hashes, 1), back(hashes, 2), back(classes, 1), back(classes, 2)
-    return np.stack([mix(h1, 0, 1), mix(h2, 0, 2), mix(h1, h2, 3), mix(c1, c2, 4)], axis=1)
+    # One feature after the other in memory, as the steps read them.
+    return np.stack([mix(h1, 0, 1), mix(h2, 0, 2), mix(h1, h2, 3), mix(c1, c2, 4)]).T
 
 
 def steps(head: Head, leaves: np.ndarray, history: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Batches of the steps down the tree: token, node, branch taken, and the rows of the weight table."""
+    """Batches of the steps down the tree: token, node, branch taken, and by feature the row of the weight table."""
+    spread = (np.arange(len(head.bias), dtype=np.uint64) + np.uint64(1)) * MIX[1]
     for first in range(0, len(leaves), BATCH):
         own = leaves[first : first + BATCH]
         start, length = head.starts[own], head.starts[own + 1] - head.starts[own]
         token = np.repeat(np.arange(len(own)), length)
         at = np.arange(len(token)) + np.repeat(start - np.cumsum(length) + length, length)
         node = head.nodes[at]
-        mixed = (history[first + token] ^ (node.astype(np.uint64) + np.uint64(1))[:, None] * MIX[1]) * MIX[0]
-        yield first + token, node, head.branches[at], (mixed >> np.uint64(64 - ROW_BITS)).astype(np.int32)
+        mixed = np.take(history[first : first + BATCH].T, token, axis=1)
+        mixed ^= spread[node]
+        mixed *= MIX[0]
+        mixed >>= np.uint64(64 - ROW_BITS)
+        yield first + token, node, head.branches[at], mixed.astype(np.int64)
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
     out = np.take(bias, node, axis=0)
-    for kind in range(rows.shape[1]):
-        out += np.take(weights, rows[:, kind], axis=0)
+    for own in rows:
+        out += np.take(weights, own, axis=0)
     return out
 
 
+def taken(branch: np.ndarray) -> np.ndarray:
+    """Where the branches taken are in a flat array of (step, branch)."""
+    return np.arange(len(branch)) * WIDTH + branch
+
+
 def leaf_scores(weights: np.ndarray, head: Head, leaves: np.ndarray, history: np.ndarray) -> np.ndarray:
     """log10 P(leaf | history) of every token, in batches that stay in the cache."""
     found = np.zeros(len(leaves))
     for token, node, branch, rows in steps(head, leaves, history):
         z = logits(weights, head.bias, node, rows)
-        own = z[np.arange(len(z)), branch]
+        own = z.reshape(-1)[taken(branch)]
         np.exp(z, out=z)
         first = token[0]
-        sums = np.bincount(token - first, weights=own - np.log(z.sum(axis=1)))
+        sums = np.bincount(token - first, weights=own - np.log(np.einsum("ij->i", z)))
         found[first : first + len(sums)] = sums
     return found / math.log(10)
 
@@ -301,47 +322,76 @@ def leaf_scores(weights: np.ndarray, head: Head, leaves: np.ndarray, history: np
 def fit(weights: np.ndarray, head: Head, chunks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Adagrad, one rate per row, over (leaves, histories, times): the new weights and how often each row was seen."""
     weights, squares, seen = weights.copy(), np.full(ROWS, 1e-2, dtype=np.float32), np.zeros(ROWS)
-    lanes = np.arange(WIDTH)
+    # A row as one item is copied as a whole, and two lanes as one complex number are added at once.
+    lines, pairs = weights.view(LINE).reshape(-1), np.arange(WIDTH // 2)
     for leaves, history, times in chunks:
-        met, often = [], []
+        met, often, once = [], [], bool((times == 1).all())
         for token, node, branch, rows in steps(head, leaves, history):
-            p = logits(weights, head.bias, node, rows)
+            # One sort of (row, place) brings the places of a row together, so the table is read and written once a row.
+            bits = rows.size.bit_length()
+            kind = np.uint32 if ROW_BITS + bits <= 32 else np.uint64
+            order = (rows.T.astype(kind, order="C").reshape(-1) << kind(bits)) | np.arange(rows.size, dtype=kind)
+            order.sort()
+            row, at = order >> kind(bits), (order & kind((1 << bits) - 1)).astype(np.int64)
+            new = np.concatenate([[True], row[1:] != row[:-1]])
+            first, more, number = np.flatnonzero(new), np.flatnonzero(~new), np.cumsum(new) - 1
+            hit, local = row[first].astype(np.int64), np.empty(rows.size, dtype=np.int64)
+            local[at] = number
+            held = np.take(weights, hit, axis=0)
+            p = logits(held, head.bias, node, local.reshape(-1, len(rows)).T)
             np.exp(p, out=p)
             p *= (1 / np.einsum("ij->i", p))[:, None]
-            p[np.arange(len(p)), branch] -= 1
-            p *= times[token][:, None]
-            # One sort of (row, step) brings the steps of a row together; most rows have one step.
-            order = (rows.ravel().astype(np.int64) << 32) | np.arange(rows.size)
-            order.sort()
-            row, at = order >> 32, (order & 0xFFFFFFFF) // rows.shape[1]
-            new = np.diff(row, prepend=-1) != 0
-            first, more = np.flatnonzero(new), np.flatnonzero(~new)
-            hit, step = row[first], np.take(p, at[first], axis=0)
-            place = (np.cumsum(new) - 1)[more]
-            np.add.at(step.reshape(-1), (place[:, None] * WIDTH + lanes).ravel(), np.take(p, at[more], axis=0).ravel())
+            p.reshape(-1)[taken(branch)] -= 1
+            if not once:
+                p *= times[token][:, None]
+            at //= len(rows)
+            step, other = np.take(p, at[first], axis=0), np.take(p, at[more], axis=0)
+            place = np.repeat(number[more] * len(pairs), len(pairs)).reshape(-1, len(pairs)) + pairs
+            np.add.at(step.view(np.complex64).reshape(-1), place.reshape(-1), other.view(np.complex64).reshape(-1))
             square = squares[hit] + np.einsum("ij,ij->i", step, step)
             squares[hit] = square
             step *= (RATE / np.sqrt(square))[:, None]
-            weights[hit] = np.take(weights, hit, axis=0) - step
-            met.append(rows)
-            often.append(times[token])
-        seen += np.bincount(np.concatenate(met).ravel(), weights=np.repeat(np.concatenate(often), met[0].shape[1]), minlength=ROWS)
+            held -= step
+            lines[hit] = held.view(LINE).reshape(-1)
+            met.append(rows.reshape(-1))
+            often.append(times[:0] if once else np.tile(times[token], len(rows)))
+        seen += np.bincount(np.concatenate(met), weights=None if once else np.concatenate(often), minlength=ROWS)
     return weights, seen
 
 
 Rows = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
+def shards(weights: np.ndarray, seen: np.ndarray) -> Iterator[tuple[int, Rows]]:
+    """The rows of one bucket that were seen, by range of the table: numbers within the range, rows in half precision, times seen.
+
+    These parts are most of what training writes, so numbers and times are as short as they can be, and the upper bytes of
+    the halves (sign, exponent and two more bits) are compressed.
+    """
+    size = ROWS // SHARDS
+    for shard in range(SHARDS):
+        own = slice(shard * size, (shard + 1) * size)
+        hit = np.flatnonzero(seen[own])
+        if len(hit):
+            times = seen[own][hit].astype(np.min_scalar_type(int(seen[own].max())))
+            lower, upper = weights[own][hit].astype("<f2").view(np.uint8).reshape(-1, 2).T
+            yield shard, (hit.astype(np.min_scalar_type(size - 1)), (lower.tobytes(), compress(upper.tobytes(), 1)), times)
+
+
 def sums(part: Rows) -> np.ndarray:
-    """Rows times how often they were seen; a part from one bucket has the rows themselves, in half precision."""
-    return part[1].astype(np.float64) * part[2][:, None] if part[1].dtype == np.float16 else part[1]
+    """Rows times how often they were seen; a part from one bucket has the rows themselves."""
+    if not isinstance(part[1], tuple):
+        return part[1]
+    lower, upper = part[1][0], decompress(part[1][1])
+    halves = np.stack([np.frombuffer(own, dtype=np.uint8) for own in (lower, upper)], axis=1).view("<f2")
+    return halves.reshape(-1, WIDTH).astype(np.float64) * part[2][:, None]
 
 
 def add_rows(a: Rows, b: Rows) -> Rows:
     """The sum of two sparse tables (row numbers, rows, times seen)."""
     hit = np.union1d(a[0], b[0])
     # Halves times counts add up exactly in doubles, so the order of the tasks does not show in the weights.
-    rows, seen = np.zeros((len(hit), a[1].shape[1])), np.zeros(len(hit))
+    rows, seen = np.zeros((len(hit), WIDTH)), np.zeros(len(hit))
     for part in (a, b):
         at = np.searchsorted(hit, part[0])
         rows[at] += sums(part)
@@ -356,11 +406,11 @@ def read_texts(reader: Reader, texts: Sequence[str | None]) -> Iterator[tuple[To
         yield found, found.leaves, found.history()
 
 
-def encoded(docs: DataFrame, shared_head) -> DataFrame:
+def encoded(docs: DataFrame, shared) -> DataFrame:
     """Keyed documents as leaf numbers and the hashes of words outside the head; equal rows of a piece are one, ``times`` over."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(Head(**shared_head.value))
+        reader = Reader.of(shared.value)
         for piece in pieces(batches):
             own = pa.table({name: piece.column(name) for name in ("k_id", "k_text", "text")}).group_by(["k_id", "k_text", "text"]).aggregate([([], "count_all")])
             own = own.combine_chunks().to_batches()[0]
@@ -407,10 +457,10 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
     weights = np.zeros((ROWS, WIDTH), dtype=np.float32)
     if not head.total:
         return weights
-    shared_head = spark.sparkContext.broadcast(vars(head))
+    shared = spark.sparkContext.broadcast(Reader(head).shared())
     buckets = math.ceil(head.total / BUCKET_TOKENS)
     tasks = min(buckets, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = encoded(docs, shared_head).withColumn("bucket", F.pmod(F.xxhash64("k_id", "k_text"), F.lit(buckets)))
+    dealt = encoded(docs, shared).withColumn("bucket", F.pmod(F.xxhash64("k_id", "k_text"), F.lit(buckets)))
     dealt = dealt.repartitionById(tasks, (F.col("bucket") % tasks).cast("int"))
     # One plan for all rounds: later ones read the files of its shuffle again.
     rows = dealt.sortWithinPartitions("bucket", "k_text", "k_id", "leaves", "hashes").rdd
@@ -418,19 +468,15 @@ def trained(docs: DataFrame, head: Head) -> np.ndarray:
         current = spark.sparkContext.broadcast(weights)
 
         def update(rows) -> Iterator[tuple[int, Rows]]:
-            reader = Reader(Head(**shared_head.value))
+            reader = Reader.of(shared.value)
             for _, own in groupby(rows, key=lambda row: row.bucket):
-                new, seen = fit(current.value, reader.head, chunks_of(reader, own))
-                hit = np.flatnonzero(seen)
-                for shard, part in enumerate(np.split(hit, np.searchsorted(hit, np.arange(1, SHARDS) * (ROWS // SHARDS)))):
-                    if len(part):
-                        yield shard, (part.astype(np.int32), new[part].astype(np.float16), seen[part])
+                yield from shards(*fit(current.value, reader.head, chunks_of(reader, own)))
 
         weights = weights.copy()
         # Every range of the table is summed by a task of its own, after the buckets of a task; the driver gets the table once.
         summed = rows.mapPartitions(update).reduceByKey(add_rows, min(SHARDS, tasks))
-        for hit, mean in summed.map(lambda part: (part[1][0], (sums(part[1]) / part[1][2][:, None]).astype(np.float32))).collect():
-            weights[hit] = mean
+        for shard, hit, mean in summed.map(lambda part: (part[0], part[1][0], (sums(part[1]) / part[1][2][:, None]).astype(np.float32))).collect():
+            weights[shard * (ROWS // SHARDS) + hit.astype(np.int64)] = mean
         current.unpersist()
     return weights
 
@@ -442,12 +488,12 @@ def scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     vocabulary = stored(count_words(learn), "vocabulary")
     head = vocabulary_head(vocabulary)
     weights = spark.sparkContext.broadcast(trained(learn, head))
-    shared_head = spark.sparkContext.broadcast(vars(head))
+    shared = spark.sparkContext.broadcast(Reader(head).shared())
     columns = ["k_id", "k_text", "n_tokens", "n_known", "base", "own", "rare", "times", "leaf"]
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = Head(**shared_head.value)
-        reader = Reader(head)
+        reader = Reader.of(shared.value)
+        head = reader.head
         # The last entry is for words outside the head, numbered -1.
         base = np.append(np.log10((head.counts + 0.5) / (head.total + 0.5 * (head.distinct + 1))), 0.0)
         # With no training words none is known.

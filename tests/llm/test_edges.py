@@ -429,3 +429,41 @@ def test_pipeline_stages_take_odd_documents(odd, tmp_path):
             names = [c if name != "sharding" or c != "shard" else "shard_input" for c in odd.columns]
             assert after.columns[: len(names)] == names, name
             after.count()
+
+
+def test_lm_training_is_the_same_step_by_step():
+    """Adagrad over batches, row by row; the parts of the weights keep all rows seen, with short numbers and times."""
+    words = [f"w{n}".encode() for n in range(40)]
+    counts = np.arange(60.0, 20.0, -1)
+    head = lm.Head(words, counts, int(counts.sum()), 40, np.zeros(lm.ENDINGS), np.ones(lm.ENDINGS), *lm.huffman(np.concatenate([counts, np.full(lm.ENDINGS, 0.5)])))
+    random = np.random.default_rng(3)
+    leaves = random.integers(0, 40, 1500)
+    reader = lm.Reader.of(lm.Reader(head).shared())
+    history = lm.features(reader.classes[leaves], reader.hashes[leaves], np.arange(1500) % 30)
+    for times in (np.ones(1500, dtype=np.float32), random.integers(1, 4, 1500).astype(np.float32)):
+        found, seen = lm.fit(np.zeros((lm.ROWS, lm.WIDTH), dtype=np.float32), head, [(leaves, history, times)])
+        weights, squares, often = np.zeros((lm.ROWS, lm.WIDTH)), np.full(lm.ROWS, 1e-2), np.zeros(lm.ROWS)
+        for first in range(0, 1500, lm.BATCH):
+            change = {}
+            for token in range(first, min(first + lm.BATCH, 1500)):
+                for step in range(head.starts[leaves[token]], head.starts[leaves[token] + 1]):
+                    node = np.array([head.nodes[step] + 1], dtype=np.uint64)
+                    rows = (((history[token] ^ node * lm.MIX[1]) * lm.MIX[0]) >> np.uint64(64 - lm.ROW_BITS)).astype(int)
+                    p = np.exp(head.bias[node[0] - np.uint64(1)] + weights[rows].sum(axis=0))
+                    p /= p.sum()
+                    p[head.branches[step]] -= 1
+                    for row in rows:
+                        change[row] = change.get(row, 0) + p * times[token]
+                        often[row] += times[token]
+            for row, step in change.items():
+                squares[row] += (step**2).sum()
+                weights[row] -= lm.RATE / np.sqrt(squares[row]) * step
+        assert (seen == often).all()
+        assert found == pytest.approx(weights, abs=1e-3)
+        parts = dict(lm.shards(found, seen))
+        size = lm.ROWS // lm.SHARDS
+        for shard, part in parts.items():
+            own = shard * size + part[0].astype(np.int64)
+            assert (lm.sums(part) == found[own].astype(np.float16).astype(float) * seen[own, None]).all()
+            assert part[0].itemsize + part[2].itemsize <= 4
+        assert sum(len(part[0]) for part in parts.values()) == (seen > 0).sum()
