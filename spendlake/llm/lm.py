@@ -406,6 +406,16 @@ def read_texts(reader: Reader, texts: Sequence[str | None]) -> Iterator[tuple[To
         yield found, found.leaves, found.history()
 
 
+def leaf_bytes(leaves: np.ndarray) -> bytes:
+    """Leaf numbers in three bytes each: all lower two, then all upper ones, which shrink well."""
+    return leaves.astype("<u2").tobytes() + (leaves >> 16).astype(np.uint8).tobytes()
+
+
+def leaf_numbers(held: bytes) -> np.ndarray:
+    size = len(held) // 3
+    return np.frombuffer(held, dtype="<u2", count=size).astype(np.int32) | np.frombuffer(held, dtype=np.uint8, offset=2 * size).astype(np.int32) << 16
+
+
 def encoded(docs: DataFrame, shared) -> DataFrame:
     """Keyed documents as leaf numbers and the hashes of words outside the head; equal rows of a piece are one, ``times`` over."""
 
@@ -417,7 +427,7 @@ def encoded(docs: DataFrame, shared) -> DataFrame:
             found = reader.read(own.column("text"))
             rare = found.leaves >= len(reader.words)
             ends = np.cumsum(found.lengths)
-            leaves = [part.tobytes() for part in np.split(found.leaves.astype(np.int32), ends[:-1])]
+            leaves = [leaf_bytes(part) for part in np.split(found.leaves, ends[:-1])]
             hashes = [part.tobytes() for part in np.split(found.hashes[rare].astype(np.uint32), np.cumsum(rare)[ends - 1][:-1])]
             yield pa.RecordBatch.from_arrays(
                 [own.column("k_id"), own.column("k_text"), pa.array(leaves, pa.binary()), pa.array(hashes, pa.binary()), own.column("count_all").cast(pa.int64())],
@@ -432,10 +442,10 @@ def chunks_of(reader: Reader, rows: Iterable) -> Iterator[tuple[np.ndarray, np.n
     """Chunks of the encoded documents of one bucket, sorted: leaves, histories and times of every token."""
 
     def chunk():
-        leaves = np.concatenate([np.frombuffer(row.leaves, dtype=np.int32) for row, _ in held])
+        leaves = np.concatenate([leaf_numbers(row.leaves) for row, _ in held])
         hashes, rare = reader.hashes[leaves], leaves >= len(reader.words)
         hashes[rare] = np.concatenate([np.frombuffer(row.hashes, dtype=np.uint32) for row, _ in held])
-        lengths = np.array([len(row.leaves) // 4 for row, _ in held])
+        lengths = np.array([len(row.leaves) // 3 for row, _ in held])
         times = np.repeat(np.array([n for _, n in held], dtype=np.float32), lengths)
         return leaves, features(reader.classes[leaves], hashes, places(lengths)), times
 
@@ -443,7 +453,7 @@ def chunks_of(reader: Reader, rows: Iterable) -> Iterator[tuple[np.ndarray, np.n
     for _, same in groupby(rows, key=lambda row: (row.k_id, row.k_text, bytes(row.leaves), bytes(row.hashes))):
         row = next(same)
         held.append((row, row.times + sum(other.times for other in same)))
-        size += len(row.leaves) // 4
+        size += len(row.leaves) // 3
         if size > CHUNK_TOKENS:
             yield chunk()
             held, size = [], 0

@@ -467,3 +467,9 @@ def test_lm_training_is_the_same_step_by_step():
             assert (lm.sums(part) == found[own].astype(np.float16).astype(float) * seen[own, None]).all()
             assert part[0].itemsize + part[2].itemsize <= 4
         assert sum(len(part[0]) for part in parts.values()) == (seen > 0).sum()
+
+
+def test_lm_leaf_numbers_take_three_bytes():
+    leaves = np.array([0, 1, 65_535, 65_536, lm.HEAD + lm.ENDINGS - 1])
+    assert lm.leaf_numbers(lm.leaf_bytes(leaves)).tolist() == leaves.tolist() and len(lm.leaf_bytes(leaves)) == 15
+    assert len(lm.leaf_numbers(lm.leaf_bytes(leaves[:0]))) == 0
